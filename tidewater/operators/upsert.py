@@ -83,7 +83,7 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(latest.schema).parquet(stage)
     out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         out = out.partitionBy(*partition_cols)
@@ -98,12 +98,7 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[
 
 
 def _clear_partitions(spark, target, gone: DataFrame, partition_cols) -> None:
-    rows = gone.collect()  # partition values only: one row per emptied partition
-    if not rows:
-        return
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for r in rows:
+    from tidewater.sources import fs
+    for r in gone.collect():  # partition values only: one row per emptied partition
         sub = "/".join(f"{k}={r[k]}" for k in partition_cols)
-        p = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{sub}")
-        p.getFileSystem(conf).delete(p, True)
+        fs.delete(spark, f"{target.rstrip('/')}/{sub}")

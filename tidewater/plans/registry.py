@@ -27,4 +27,4 @@ def register(name: str, oracle: str | None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tidewater.plans import batch_queries  # noqa: F401
+    from tidewater.plans import batch_queries, stream_queries  # noqa: F401

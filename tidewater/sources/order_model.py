@@ -134,14 +134,18 @@ class OrderModel:
 
     # -- change capture -----------------------------------------------------
     def cdc(self) -> DataFrame:
-        e = self._t("events")
-        return e.select(
-            F.col("event_id").alias("detailid"),
-            F.col("user_id").alias("ordercode"),
-            F.col("value"),
-            F.when(F.col("event_type") == "signup", "I")
-             .when(F.col("event_type") == "error", "D")
-             .otherwise("U").alias("data_op_type"),
-            F.col("ts").alias("data_op_ts"),
-            F.timestamp_add("DAY", -(F.col("event_id") % 3), F.col("ts")).alias("ordertime"),
-        )
+        return cdc_from_events(self._t("events"))
+
+
+def cdc_from_events(e: DataFrame) -> DataFrame:
+    """Change-captured order rows from an events frame (batch or stream)."""
+    return e.select(
+        F.col("event_id").alias("detailid"),
+        F.col("user_id").alias("ordercode"),
+        F.col("value"),
+        F.when(F.col("event_type") == "signup", "I")
+         .when(F.col("event_type") == "error", "D")
+         .otherwise("U").alias("data_op_type"),
+        F.col("ts").alias("data_op_ts"),
+        F.timestamp_add("DAY", -(F.col("event_id") % 3), F.col("ts")).alias("ordertime"),
+    )
