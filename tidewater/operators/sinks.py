@@ -17,10 +17,16 @@ from pyspark.sql import functions as F
 def overwrite_partition(df: DataFrame, path: str, values: dict[str, str], fmt: str = "parquet",
                         partition_cols: Sequence[str] | None = None) -> None:
     """``INSERT OVERWRITE t PARTITION (p_day='d') SELECT ...``: replace exactly
-    the named partition; all other partitions are kept."""
+    the named partition; all other partitions are kept.  An empty input
+    leaves the partition empty, as a static overwrite does."""
     cols = list(partition_cols or values.keys())
     out = df.select(*[c for c in df.columns if c not in values],
                     *[F.lit(v).cast("string").alias(k) for k, v in values.items()])
+    if out.isEmpty():  # stops at the first row when there is data
+        from tidewater.sources import fs
+        sub = "/".join(f"{k}={values[k]}" for k in cols)
+        fs.delete(df.sparkSession, f"{path.rstrip('/')}/{sub}")
+        return
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*cols).format(fmt).save(path))
 

@@ -423,3 +423,40 @@ def partition_derive_dhm(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
     return e.select(F.col("user_id").cast("string").alias("user_id"), F.col("value").alias("order_amount"),
                     *dhm_partition_columns("ts"))
+
+
+# ---------------------------------------------------------------------------
+# Sink round trips: write with the sink, read the result back
+
+OVERWRITE_DAYS = ("1998-03-10", "1998-03-11")
+
+
+@register("partition_overwrite", sql.with_model(f"""
+SELECT {_ORDER_COLS} FROM om_order WHERE p_day = '{OVERWRITE_DAYS[1]}'
+UNION ALL
+SELECT {_ORDER_COLS} FROM om_order WHERE p_day = '{OVERWRITE_DAYS[0]}' AND changetype = 0""", "om_order"))
+def partition_overwrite(spark, sf_dir):
+    """Write two day partitions, then replace one of them: the other is kept."""
+    from tidewater.operators import sinks
+    from tidewater.session import scratch_dir
+    m = _model(spark, sf_dir)
+    path = scratch_dir(spark, "ods-order")
+    sinks.overwrite_partitions(m.om_order(days=OVERWRITE_DAYS), path, ["p_day"])
+    d1 = OVERWRITE_DAYS[0]
+    replacement = m.om_order(days=(d1, d1)).where(F.col("changetype") == 0).drop("p_day")
+    sinks.overwrite_partition(replacement, path, {"p_day": d1})
+    return spark.read.schema(m.om_order().schema).parquet(path)
+
+
+@register("multi_sink_counts", sql.with_model("""
+SELECT 'parquet' AS sink, count(*) AS cnt FROM om_orderdetail
+UNION ALL SELECT 'csv' AS sink, count(*) AS cnt FROM om_orderdetail""", "om_orderdetail"))
+def multi_sink_counts(spark, sf_dir):
+    """One input written to two sinks in one unit, each read back and counted."""
+    from tidewater.plans.jobs import two_sink_export
+    from tidewater.session import scratch_dir
+    pq, csv = scratch_dir(spark, "two-sink-parquet"), scratch_dir(spark, "two-sink-csv")
+    two_sink_export(_model(spark, sf_dir).om_orderdetail(), pq, csv)
+    n = F.count(F.lit(1)).alias("cnt")
+    return (spark.read.parquet(pq).agg(n).select(F.lit("parquet").alias("sink"), "cnt")
+            .unionByName(spark.read.text(csv).agg(n).select(F.lit("csv").alias("sink"), "cnt")))

@@ -16,7 +16,7 @@ from tidewater.session import scratch_dir
 
 
 def replay_as_files(df: DataFrame, order_col: str, chunks: int, name: str = "replay",
-                    fmt: str = "parquet", shuffled: bool = False) -> str:
+                    fmt: str = "parquet", shuffled: bool = False, path: str | None = None) -> str:
     """Write ``df`` into ``chunks`` files ordered by ``order_col`` (one write
     per chunk, so file times follow event time) and return the folder.
 
@@ -24,7 +24,7 @@ def replay_as_files(df: DataFrame, order_col: str, chunks: int, name: str = "rep
     replay late and out-of-order data.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, name)
+    path = path or scratch_dir(spark, name)
     num = F.col(order_col)
     if dict(df.dtypes)[order_col].startswith("timestamp"):
         num = F.unix_micros(num.cast("timestamp"))
