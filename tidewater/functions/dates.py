@@ -143,3 +143,32 @@ def day_between(ts, lo: str, hi: str) -> Column:
 def on_day(ts, day: str) -> Column:
     """``date_format(ts,'yyyy-MM-dd') = day`` as a pushable half-open range."""
     return day_between(ts, day, day)
+
+
+# SQL text of each date part over an argument named ``ts`` (same rules as
+# ``datetime_parts``), for the SQL-registered form of the function.
+_SQL_PARTS = {
+    "datetime": ("TIMESTAMP_NTZ", "ts"),
+    "date": ("TIMESTAMP_NTZ", "CAST(date_trunc('DAY', ts) AS TIMESTAMP_NTZ)"),
+    "year": ("INT", "year(ts)"),
+    "month": ("INT", "month(ts)"),
+    "day": ("INT", "day(ts)"),
+    "quarter": ("INT", "quarter(ts)"),
+    "day_of_week": ("INT", "weekday(ts) + 1"),
+    "week_start_date": ("TIMESTAMP_NTZ", "CAST(date_trunc('WEEK', ts) AS TIMESTAMP_NTZ)"),
+    "hour": ("INT", "hour(ts)"),
+}
+
+
+def register_datetime_function(spark, name: str, prefix: str) -> None:
+    """Register ``name(ts)`` for SQL users: a STRUCT of the nine prefixed parts.
+
+    A scalar SQL function is inlined into the calling projection (whole-stage
+    codegen, no join); use it as ``SELECT t.*, name(ts).* FROM t``.  A SQL
+    *table* function joined laterally would instead be decorrelated into a
+    join against the distinct timestamps, which does not scale.
+    """
+    fields = ", ".join(f"{prefix}_{p}: {_SQL_PARTS[p][0]}" for p in DATETIME_PARTS)
+    body = ", ".join(f"'{prefix}_{p}', {_SQL_PARTS[p][1]}" for p in DATETIME_PARTS)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(ts TIMESTAMP_NTZ) "
+              f"RETURNS STRUCT<{fields}> RETURN named_struct({body})")

@@ -87,12 +87,12 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[
     out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         out = out.partitionBy(*partition_cols)
-        # Partitions where every row was deleted must be emptied too.
-        touched = merged.select(*partition_cols).distinct()
-        gone = touched.join(staged.select(*partition_cols).distinct(), list(partition_cols), "left_anti")
-        _clear_partitions(spark, target, gone, partition_cols)
-    elif existing is None:
-        pass
+        if op_col and op_col in merged.columns and existing is not None:
+            # Partitions where every row was deleted must be emptied too
+            # (without deletes every touched partition keeps at least one row).
+            touched = merged.select(*partition_cols).distinct()
+            gone = touched.join(staged.select(*partition_cols).distinct(), list(partition_cols), "left_anti")
+            _clear_partitions(spark, target, gone, partition_cols)
     out.parquet(target)
     return target
 

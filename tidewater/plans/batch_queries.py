@@ -460,3 +460,13 @@ def multi_sink_counts(spark, sf_dir):
     n = F.count(F.lit(1)).alias("cnt")
     return (spark.read.parquet(pq).agg(n).select(F.lit("parquet").alias("sink"), "cnt")
             .unionByName(spark.read.text(csv).agg(n).select(F.lit("csv").alias("sink"), "cnt")))
+
+
+@register("dim_datetime_sql", sql.with_model(
+    f"SELECT ordercode, {sql.date_parts_sql('createdate', 'order', skip_datetime=False)} FROM om_order", "om_order"))
+def dim_datetime_sql(spark, sf_dir):
+    """The date-part function registered by name and called from SQL."""
+    from tidewater.functions.dates import register_datetime_function
+    _model(spark, sf_dir).om_order().createOrReplaceTempView("om_order")
+    register_datetime_function(spark, "order_dim_date_time", "order")
+    return spark.sql("SELECT ordercode, d.* FROM (SELECT ordercode, order_dim_date_time(createdate) AS d FROM om_order)")

@@ -20,7 +20,7 @@ from tidewater.streaming.sales import MilestoneSink, MinuteSalesSink, streaming_
 from tidewater.streaming.sources import file_stream, replay_as_files, run_to_end, with_event_time
 from tidewater.streaming.topn import TopNState
 
-REPLAY_CHUNKS = 6
+REPLAY_CHUNKS = 4
 
 
 def _events_stream(spark, sf_dir, where=None):

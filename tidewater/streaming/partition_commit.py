@@ -79,7 +79,8 @@ class PartitionCommitSink:
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            self._apply(spark, batch, batch_id)
+            if not batch.isEmpty():  # watermark-only batches carry no rows
+                self._apply(spark, batch, batch_id)
         finally:
             batch.unpersist()
 

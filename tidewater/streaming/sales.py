@@ -44,7 +44,8 @@ class MinuteSalesSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # several actions below read the micro-batch
         try:
-            self.merge(batch, batch_id)
+            if not batch.isEmpty():  # watermark-only batches carry no rows
+                self.merge(batch, batch_id)
         finally:
             batch.unpersist()
 
@@ -65,7 +66,8 @@ class MilestoneSink(MinuteSalesSink):
         spark = batch.sparkSession
         batch = batch.persist()
         try:
-            self._apply(spark, batch, batch_id)
+            if not batch.isEmpty():  # watermark-only batches carry no rows
+                self._apply(spark, batch, batch_id)
         finally:
             batch.unpersist()
 
