@@ -470,3 +470,48 @@ def dim_datetime_sql(spark, sf_dir):
     _model(spark, sf_dir).om_order().createOrReplaceTempView("om_order")
     register_datetime_function(spark, "order_dim_date_time", "order")
     return spark.sql("SELECT ordercode, d.* FROM (SELECT ordercode, order_dim_date_time(createdate) AS d FROM om_order)")
+
+
+from tidewater.functions.dates import DATETIME_PARTS  # noqa: E402
+
+_PAY_PARTS = ", ".join(f"x.d.pay_{p}" for p in DATETIME_PARTS if p != "datetime")
+
+PAY_SQL = """
+WITH temp AS (
+  SELECT date_format(try_to_timestamp(ordertime), 'yyyy-MM-dd') AS p_day
+  FROM om_orderstatus
+  WHERE paymentdate <> '' AND paymentdate IS NOT NULL
+    AND date_format(try_to_timestamp(paymentdate), 'yyyy-MM-dd') BETWEEN :lo AND :hi
+  GROUP BY date_format(try_to_timestamp(ordertime), 'yyyy-MM-dd'))
+SELECT x.* EXCEPT (d), {parts}, da.address_name, da.address_region, dw.ware_name, dw.ware_brand
+FROM (SELECT f.*, pay_dim_date_time(f.pay_datetime) AS d FROM (
+  SELECT od.detailid AS id, o.cuscode AS customer_id, od.warecode AS ware_id,
+         concat_ws('-', CAST(oa.provincecode AS STRING), CAST(oa.citycode AS STRING)) AS address_id,
+         os.ordercode AS order_id, CAST(try_to_timestamp(os.paymentdate) AS TIMESTAMP_NTZ) AS pay_datetime,
+         o.createdate AS order_datetime, od.qty AS pay_count, od.sumnetamt AS pay_amount,
+         o.ordersource AS order_source_id, o.shopcode AS order_shop_id,
+         concat_ws('-', CAST(o.ordersource AS STRING), o.shopcode) AS order_sale_channel_id,
+         o.changetype AS order_type, o.salemode AS order_sale_mode, o.invoicetype AS order_invoice_type
+  FROM (SELECT ordercode, paymentdate FROM om_orderstatus
+        WHERE paymentdate <> '' AND paymentdate IS NOT NULL
+          AND date_format(try_to_timestamp(paymentdate), 'yyyy-MM-dd') BETWEEN :lo AND :hi) AS os
+  JOIN (SELECT * FROM om_orderdetail WHERE p_day IN (SELECT p_day FROM temp)) AS od ON os.ordercode = od.ordercode
+  JOIN (SELECT * FROM om_order WHERE p_day IN (SELECT p_day FROM temp)) AS o ON os.ordercode = o.ordercode
+  JOIN (SELECT * FROM om_orderaddress WHERE p_day IN (SELECT p_day FROM temp)) AS oa ON os.ordercode = oa.ordercode
+  WHERE o.changetype NOT IN (1, 2, 3)) AS f) AS x
+LEFT JOIN dim_address AS da ON da.address_id = x.address_id
+LEFT JOIN dim_ware AS dw ON dw.ware_id = x.ware_id""".replace("{parts}", _PAY_PARTS)
+
+
+@register("dwd_retail_pay_sql", sql.pay_fact_sql(*facts.PAY_DAYS))
+def dwd_retail_pay_sql(spark, sf_dir):
+    """B2 written as the reference writes it: SQL text with a CTE of paid days,
+    ``p_day IN (SELECT ...)`` partition selection and the registered date-part
+    function, over the model tables exposed as views."""
+    from tidewater.functions.dates import register_datetime_function
+    m = _model(spark, sf_dir)
+    for name in ("om_orderstatus", "om_orderdetail", "om_order", "om_orderaddress", "dim_address", "dim_ware"):
+        getattr(m, name)().createOrReplaceTempView(name)
+    register_datetime_function(spark, "pay_dim_date_time", "pay")
+    lo, hi = facts.PAY_DAYS
+    return schema_cast(spark.sql(PAY_SQL, args={"lo": lo, "hi": hi}), facts.DWD_PAY_SCHEMA)

@@ -7,19 +7,31 @@ the raw tables; queries that are not SQL-expressible register ``None``.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.session import apply_conf
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str | None] = {}
 
 
 def register(name: str, oracle: str | None):
+    """Register ``fn(spark, sf_dir)``; the session settings the operators rely
+    on (UTC, ANSI, AQE, dynamic partition overwrite) are applied first, since
+    a caller may hand in a session built without them."""
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_conf(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         ORACLE[name] = oracle
         return fn
     return deco
