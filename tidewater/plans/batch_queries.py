@@ -293,7 +293,8 @@ def cross_store_left(spark, sf_dir):
 ORACLE_TOP2 = """
 SELECT user_id, event_id, value, row_num FROM (
   SELECT user_id, event_id, value,
-         row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS row_num FROM events)
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS INTEGER) AS row_num
+  FROM events)
 WHERE row_num <= 2"""
 
 
