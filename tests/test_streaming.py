@@ -83,3 +83,18 @@ def test_late_data_milestones_recomputed(spark, tmp_out):
     got = sorted(tuple(r) for r in sink.read_marks(spark).collect())
     want = sorted(tuple(r) for r in sales_milestones(e, "ts", "value", 100).collect())
     assert got == want and len(want) > 0
+
+
+def test_sensor_stream_top2_epoch_watermark(spark, tmp_out):
+    """Text lines -> typed rows -> epoch-second watermark -> continuously updated top-2."""
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+    from tidewater.sources.files import parse_delimited
+    here = os.path.dirname(os.path.abspath(__file__))
+    schema = StructType([StructField("id", StringType()), StructField("time", LongType()),
+                         StructField("temperature", DoubleType())])
+    lines = spark.readStream.format("text").option("pathGlobFilter", "sensor.txt").load(os.path.join(here, "data"))
+    s = with_event_time(parse_delimited(lines, schema), "time", "1 second", out="ts")
+    state = TopNState(tmp_out("sensor-top"), ["id"], [F.col("temperature").desc(), F.col("time")], ["time"], 2, 4)
+    run_to_end(s.select("id", "time", "temperature").writeStream.foreachBatch(state), tmp_out("sensor-ck"))
+    got = sorted((r.id, r.temperature) for r in state.read(spark).collect())
+    assert got == [("probe_a", 28.0), ("probe_a", 30.5), ("probe_b", 18.5), ("probe_b", 19.0), ("probe_c", 25.25)]

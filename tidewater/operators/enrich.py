@@ -16,11 +16,11 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     """Row count of ``df`` if it is at most ``max_rows``, else None.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
-    so the check costs at most ``max_rows + 1`` rows of work however large
-    the input is.
+    A plain ``count()``: one scan of the dimension with map-side partial
+    counts, so only one row per task is shuffled.  (``limit(n).count()``
+    would instead funnel up to n rows from every task into one reducer.)
     """
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return n if n <= max_rows else None
 
 
