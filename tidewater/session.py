@@ -21,6 +21,10 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # p_day / dt / h / m stay strings when a partitioned path is read back.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Streaming state off the JVM heap, checkpointed incrementally.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
