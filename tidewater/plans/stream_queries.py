@@ -50,7 +50,7 @@ def stream_filter_inserts(spark, sf_dir):
 def stream_top2(spark, sf_dir):
     s = _events_stream(spark, sf_dir).select("user_id", "event_id", "value")
     state = TopNState(scratch_dir(spark, "top2-state"), ["user_id"], [F.col("value").desc(), F.col("event_id")],
-                      unique=["event_id"], n=2, buckets=16)
+                      unique=["event_id"], n=2, buckets=4)
     run_to_end(s.writeStream.foreachBatch(state), scratch_dir(spark, "ckpt-top2"))
     return state.read(spark).select("user_id", "event_id", "value", "row_num")
 
