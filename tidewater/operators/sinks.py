@@ -57,11 +57,27 @@ def export_csv(df: DataFrame, path: str, max_records_per_file: int | None = None
     w.csv(path)
 
 
-def multi_sink(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]],
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and return
+    the written table: the lineage is cut on shared storage, so a lost
+    executor costs a re-read, not a recomputation of the joins behind ``df``."""
+    from tidewater.session import scratch_dir
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def multi_sink(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]], staged: bool = True,
                level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> None:
     """Several inserts from one input as one unit: the input is computed once
-    (persisted; lost blocks are recomputed from lineage) and each sink
-    writes from the cached rows."""
+    and each sink writes from that copy.  ``staged`` (default) writes the
+    copy to shared storage; ``staged=False`` caches it on the executors
+    instead (fine for inputs that are cheap to recompute)."""
+    if staged:
+        copy = stage_table(df, "multi-sink")
+        for sink in sinks:
+            sink(copy)
+        return
     cached = df.persist(level)
     try:
         for sink in sinks:

@@ -65,13 +65,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     system; only when it is unset (local runs, tests) do we pick a folder of
     our own and register it, so later ``checkpoint()`` calls use it too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)  # so DataFrame.checkpoint() writes there too
     return root
 
 

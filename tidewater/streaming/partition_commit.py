@@ -57,22 +57,35 @@ class PartitionCommitSink:
         self.tracker = (tracker or f"{self.path}_commit_tracker").rstrip("/")
 
     # -- tracker ------------------------------------------------------------
+    # state-<b>.json: {max_event_time, pending} after batch b (pending is
+    # bounded by the partitions still inside watermark lag + commit delay);
+    # commits-<b>.json: partitions committed by batch b (the commit log).
+    # Committing is idempotent, so no list of all committed partitions is kept.
+    RETAIN = 100
+
+    def _ids(self, spark: SparkSession, prefix: str) -> list[int]:
+        return sorted(int(n[len(prefix) + 1:-5]) for n in fs.list_names(spark, self.tracker)
+                      if n.startswith(prefix + "-") and n.endswith(".json"))
+
     def _load(self, spark: SparkSession, batch_id: int) -> dict:
-        ids = sorted(int(n[6:-5]) for n in fs.list_names(spark, self.tracker)
-                     if n.startswith("state-") and n.endswith(".json") and int(n[6:-5]) < batch_id)
+        ids = [i for i in self._ids(spark, "state") if i < batch_id]
         if not ids:
-            return {"max_event_time": None, "pending": [], "committed": []}
+            return {"max_event_time": None, "pending": []}
         return json.loads(fs.read_text(spark, f"{self.tracker}/state-{ids[-1]}.json"))
 
-    def _save(self, spark: SparkSession, batch_id: int, state: dict) -> None:
+    def _save(self, spark: SparkSession, batch_id: int, state: dict, committed_now: list) -> None:
+        fs.write_text(spark, f"{self.tracker}/commits-{batch_id}.json", json.dumps(committed_now, sort_keys=True))
         fs.write_text(spark, f"{self.tracker}/state-{batch_id}.json", json.dumps(state, sort_keys=True))
+        for old in self._ids(spark, "state")[:-self.RETAIN]:
+            fs.delete(spark, f"{self.tracker}/state-{old}.json")
 
     def committed(self, spark: SparkSession) -> list[dict]:
-        names = [n for n in fs.list_names(spark, self.tracker) if n.startswith("state-")]
-        if not names:
-            return []
-        last = max(int(n[6:-5]) for n in names)
-        return json.loads(fs.read_text(spark, f"{self.tracker}/state-{last}.json"))["committed"]
+        """Partitions committed so far (read from the commit log)."""
+        seen = {}
+        for i in self._ids(spark, "commits"):
+            for p in json.loads(fs.read_text(spark, f"{self.tracker}/commits-{i}.json")):
+                seen[json.dumps(p, sort_keys=True)] = p
+        return [seen[k] for k in sorted(seen)]
 
     # -- batch ----------------------------------------------------------------
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -98,22 +111,19 @@ class PartitionCommitSink:
             times.append(dt.datetime.strptime(state["max_event_time"], _TS_FMT))
         mx = max(times, default=None)
         key = lambda vals: json.dumps(vals, sort_keys=True)
-        pending = {key(p) for p in state["pending"]}
-        committed = {key(p) for p in state["committed"]}
         # new data, or late data for a committed partition: (re)commit
+        pending = {key(p) for p in state["pending"]}
         pending |= {key({c: str(r[c]) for c in self.partition_cols}) for r in stats}
+        ready = set()
         if mx is not None:
             watermark = mx - self.wm_delay
             ready = {k for k in pending
                      if watermark > partition_time(self.pattern, json.loads(k)) + self.commit_delay}
             for k in sorted(ready):
                 self._commit(spark, json.loads(k))
-            committed |= ready
-            pending -= ready
         state = {"max_event_time": mx.strftime(_TS_FMT) if mx else None,
-                 "pending": [json.loads(k) for k in sorted(pending)],
-                 "committed": [json.loads(k) for k in sorted(committed)]}
-        self._save(spark, batch_id, state)
+                 "pending": [json.loads(k) for k in sorted(pending - ready)]}
+        self._save(spark, batch_id, state, [json.loads(k) for k in sorted(ready)])
 
     def _commit(self, spark: SparkSession, vals: dict) -> None:
         sub = "/".join(f"{c}={vals[c]}" for c in self.partition_cols)
