@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+
 from tidewater.functions.dates import (datetime_columns, first_day_after, first_day_at_or_after, on_day,
                                        strict_timestamp)
 
@@ -39,3 +40,14 @@ def test_strict_timestamp(spark):
     df = spark.createDataFrame([("2020-01-02 03:04:05.678",), ("2020-13-02 03:04:05.678",), ("",)], "s string")
     got = [r[0] for r in df.select(strict_timestamp("s").cast("timestamp_ntz")).collect()]
     assert got == [dt.datetime(2020, 1, 2, 3, 4, 5, 678000), None, None]
+
+
+def test_range_equals_string_between_exhaustively(spark):
+    """The emitted range selects exactly the days the string BETWEEN selects."""
+    from tidewater.functions.dates import day_between
+    days = spark.range(0, 800).select(
+        F.timestamp_add("HOUR", F.col("id") * 11, F.lit("2019-12-01 00:00:00").cast("timestamp_ntz")).alias("ts"))
+    for lo, hi in [("2020-01-31", "2020-02-30"), ("2020-02-29", "2020-03-01"), ("2020-04-31", "2020-06-00"),
+                   ("2020-02-10 12:00", "2020-02-12 08"), ("2020-13-01", "2021-01-01")]:
+        want = days.where(F.date_format("ts", "yyyy-MM-dd").between(lo, hi)).count()
+        assert days.where(day_between("ts", lo, hi)).count() == want, (lo, hi)

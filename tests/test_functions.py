@@ -1,7 +1,6 @@
 import decimal
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
                                StringType, StructField, StructType)
 

@@ -2,7 +2,6 @@ import datetime as dt
 import glob
 import os
 
-from pyspark.sql import functions as F
 
 from tidewater.operators import sinks
 from tidewater.operators.upsert import latest_per_key, upsert

@@ -128,16 +128,19 @@ def first_day_after(s: str) -> _dt.date | None:
 
 
 def day_between(ts, lo: str, hi: str) -> Column:
-    """``date_format(ts,'yyyy-MM-dd') BETWEEN lo AND hi`` on strings, plus the
-    equivalent timestamp range so the scan can skip row groups."""
-    exact = day_string(ts).between(F.lit(lo), F.lit(hi))
+    """``date_format(ts,'yyyy-MM-dd') BETWEEN lo AND hi`` on strings.
+
+    For bounds of the form ``yyyy-MM-dd...`` (real dates or not, such as
+    ``'2020-09-31'``) the string test equals a half-open timestamp range
+    computed here from the literals, and only that range is emitted, so it
+    reaches the scan even inside an OR.  Other bounds keep the string form.
+    """
     start, stop = first_day_at_or_after(lo), first_day_after(hi)
     if start is None or stop is None:
-        return exact
+        return day_string(ts).between(F.lit(lo), F.lit(hi))
     t = _c(ts)
-    rng = (t >= F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")) & \
-          (t < F.lit(f"{stop.isoformat()} 00:00:00").cast("timestamp_ntz"))
-    return rng & exact
+    return ((t >= F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")) &
+            (t < F.lit(f"{stop.isoformat()} 00:00:00").cast("timestamp_ntz")))
 
 
 def on_day(ts, day: str) -> Column:
