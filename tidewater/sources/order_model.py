@@ -41,6 +41,15 @@ from tidewater.sources.tables import read_table
 TS_TEXT_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
+def day_broadcast(day_set: DataFrame, name: str) -> DataFrame:
+    """A set of day strings, broadcast.
+
+    Size bound: distinct ``yyyy-MM-dd`` values, i.e. at most one row per
+    calendar day (about 37k rows for a century), whatever the data volume.
+    """
+    return F.broadcast(day_set.select(F.col(day_set.columns[0]).alias(name)).distinct())
+
+
 class OrderModel:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -57,8 +66,7 @@ class OrderModel:
         if days is not None:
             o = o.where(day_between("o_orderdate", *days))
         if day_set is not None:
-            ds = day_set.select(F.col(day_set.columns[0]).alias("_sel_day"))
-            o = o.join(ds, day_string("o_orderdate") == ds._sel_day, "left_semi")
+            o = o.join(day_broadcast(day_set, "_sel_day"), day_string("o_orderdate") == F.col("_sel_day"), "left_semi")
         return o
 
     # -- ODS tables ---------------------------------------------------------
@@ -118,7 +126,8 @@ class OrderModel:
     def dim_address(self) -> DataFrame:
         n = self._t("nation")
         r = self._t("region").where(F.col("r_regionkey") != 0)
-        return n.join(r, n.n_regionkey == r.r_regionkey, "inner").select(
+        # region is a fixed 5-row table
+        return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner").select(
             F.concat_ws("-", F.col("n_regionkey").cast("string"),
                         F.col("n_nationkey").cast("string")).alias("address_id"),
             F.col("n_name").alias("address_name"),

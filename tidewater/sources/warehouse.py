@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators import sinks
-from tidewater.sources.order_model import OrderModel
+from tidewater.sources.order_model import OrderModel, day_broadcast
 
 PARTITIONED = ("om_order", "om_orderdetail", "om_orderaddress")
 UNPARTITIONED = ("om_orderstatus", "dim_address", "dim_ware", "cdc")
@@ -46,9 +46,8 @@ class WarehouseTables:
     def _days(self, df: DataFrame, days=None, day_set: DataFrame | None = None) -> DataFrame:
         if days is not None:
             df = df.where(F.col("p_day").between(*days))
-        if day_set is not None:
-            ds = day_set.select(F.col(day_set.columns[0]).alias("p_day"))
-            df = df.join(ds, "p_day", "left_semi")
+        if day_set is not None:  # broadcast build side: also what lets DPP prune the scan
+            df = df.join(day_broadcast(day_set, "p_day"), "p_day", "left_semi")
         return df
 
     def _ordered(self, name: str, cols: list[str], days=None, day_set=None) -> DataFrame:
