@@ -16,12 +16,18 @@ from tidewater.session import scratch_dir
 
 
 def replay_as_files(df: DataFrame, order_col: str, chunks: int, name: str = "replay",
-                    fmt: str = "parquet", shuffled: bool = False, path: str | None = None) -> str:
-    """Write ``df`` into ``chunks`` files ordered by ``order_col`` (one write
-    per chunk, so file times follow event time) and return the folder.
-
-    ``shuffled=True`` writes the chunks in a scrambled order instead, to
-    replay late and out-of-order data.
+                    fmt: str = "parquet", shuffled: bool = False, path: str | None = None,
+                    rows_per_chunk: int = 2_000_000) -> str:
+    """Write ``df`` as a stream of files ordered by ``order_col`` and return the folder.
+
+    One parallel pass tags each row with its chunk (equal-width slices of
+    ``order_col``) and stages the table partitioned by chunk; then each chunk
+    is appended as one file, in order, so file times follow event time and a
+    file stream with ``maxFilesPerTrigger=1`` replays one chunk per
+    micro-batch.  At least ``chunks`` chunks are made, more when needed to
+    keep a chunk under ``rows_per_chunk`` rows, so no single writer handles
+    more than a bounded slice.  ``shuffled=True`` appends the chunks in a
+    scrambled order, to replay late and out-of-order data.
     """
     spark = df.sparkSession
     path = path or scratch_dir(spark, name)
@@ -29,19 +35,23 @@ def replay_as_files(df: DataFrame, order_col: str, chunks: int, name: str = "rep
     if dict(df.dtypes)[order_col].startswith("timestamp"):
         num = F.unix_micros(num.cast("timestamp"))
     num = num.cast("double")
-    lo, hi = df.select(F.min(num), F.max(num)).first()
-    if lo is None:
-        df.limit(0).write.mode("overwrite").format(fmt).save(path)
+    lo, hi, n = df.select(F.min(num), F.max(num), F.count(F.lit(1))).first()
+    if not n:
+        df.limit(0).write.mode("append").format(fmt).save(path)
         return path
+    chunks = max(chunks, -(-n // rows_per_chunk))
     width = max(hi - lo, 1e-9)
     pos = (num - F.lit(lo)) / F.lit(width) * chunks
-    keyed = df.withColumn("_chunk", F.least(F.lit(chunks - 1), F.floor(pos).cast("int")))
+    stage = scratch_dir(spark, f"{name}-stage")
+    (df.withColumn("_chunk", F.least(F.lit(chunks - 1), F.floor(pos).cast("int")))
+       .write.partitionBy("_chunk").parquet(stage))
+    staged = spark.read.schema(df.schema.add("_chunk", "string")).parquet(stage)
     order = list(range(chunks))
     if shuffled:
         order = order[1::2] + order[0::2]
     for i in order:
-        part = keyed.where(F.col("_chunk") == i).drop("_chunk")
-        part.coalesce(1).write.mode("append").format(fmt).save(path)
+        part = staged.where(F.col("_chunk") == str(i)).drop("_chunk")
+        part.coalesce(1).write.mode("append").format(fmt).save(path)  # <= rows_per_chunk rows
     return path
 
 
