@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.session import scratch_dir
 
@@ -45,7 +45,8 @@ def replay_as_files(df: DataFrame, order_col: str, chunks: int, name: str = "rep
     stage = scratch_dir(spark, f"{name}-stage")
     (df.withColumn("_chunk", F.least(F.lit(chunks - 1), F.floor(pos).cast("int")))
        .write.partitionBy("_chunk").parquet(stage))
-    staged = spark.read.schema(df.schema.add("_chunk", "string")).parquet(stage)
+    staged_schema = StructType(list(df.schema.fields) + [StructField("_chunk", StringType())])
+    staged = spark.read.schema(staged_schema).parquet(stage)
     order = list(range(chunks))
     if shuffled:
         order = order[1::2] + order[0::2]
