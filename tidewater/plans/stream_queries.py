@@ -133,3 +133,4 @@ def stream_dim_join(spark, sf_dir):
     dest = scratch_dir(spark, "stream-dim")
     run_to_end(out.writeStream.format("parquet").option("path", dest), scratch_dir(spark, "ckpt-dim"))
     return spark.read.parquet(dest)
+

@@ -56,3 +56,71 @@ class TopNState:
         ranked.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
         (spark.read.schema(ranked.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("_bucket").parquet(self.path))
+
+
+# ---------------------------------------------------------------------------
+# Keyed-state form: Spark's stateful operator keeps each key's current top-N
+# in the state store (RocksDB), so a micro-batch touches only its own keys.
+
+from collections.abc import Iterator  # noqa: E402
+
+import pandas as pd  # noqa: E402
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle  # noqa: E402
+from pyspark.sql.types import IntegerType, StructField, StructType  # noqa: E402
+
+
+class _TopNProcessor(StatefulProcessor):
+    """Per key: merge the batch's rows into the stored top-N, emit the new top-N.
+
+    The key's rows arrive as Arrow-sized pandas chunks and are folded in one
+    chunk at a time, so memory stays at N + one chunk even for a key that
+    holds a large share of the batch.
+    """
+
+    def __init__(self, value_schema: StructType, order: list[tuple[str, bool]], unique: list[str], n: int,
+                 rank_col: str, ttl_ms: int | None):
+        self.value_schema, self.order, self.unique, self.n = value_schema, order, unique, n
+        self.rank_col, self.ttl_ms = rank_col, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.top = handle.getListState("top", self.value_schema, self.ttl_ms)
+
+    def _best(self, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates(self.unique)
+        return frame.sort_values([c for c, _ in self.order], ascending=[not d for _, d in self.order],
+                                 kind="mergesort").head(self.n)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        names = self.value_schema.names
+        best = pd.DataFrame(list(self.top.get()), columns=names) if self.top.exists() else None
+        for chunk in rows:
+            part = chunk[names]
+            best = self._best(part if best is None or best.empty else pd.concat([best, part], ignore_index=True))
+        if best is None:
+            return
+        self.top.put([tuple(r) for r in best.itertuples(index=False, name=None)])
+        out = best.reset_index(drop=True)
+        out[self.rank_col] = range(1, len(out) + 1)
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def stateful_top_n(stream: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]],
+                   unique: Sequence[str], n: int, rank_col: str = "row_num",
+                   ttl_ms: int | None = None) -> DataFrame:
+    """Continuously updated top-N per key with keyed state.
+
+    ``order`` is ``[(column, descending), ...]`` ending in a unique tie-break.
+    Emits, for every key present in a micro-batch, its complete new top-N
+    (update semantics: the rows replace the key's previous ones).  ``ttl_ms``
+    expires the state of keys idle for that long.
+    """
+    values = [f for f in stream.schema.fields]
+    value_schema = StructType(values)
+    out_schema = StructType(values + [StructField(rank_col, IntegerType())])
+    proc = _TopNProcessor(value_schema, list(order), list(unique), n, rank_col, ttl_ms)
+    return (stream.groupBy(*keys)
+                  .transformWithStateInPandas(proc, out_schema, outputMode="Update",
+                                              timeMode="ProcessingTime" if ttl_ms else "None"))
