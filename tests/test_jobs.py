@@ -41,3 +41,22 @@ def test_bulk_export_csv(spark, tmp_out):
                          max_records_per_file=50)
     rows = spark.read.text(path).count()
     assert rows == OrderModel(spark, SF_SMALL).om_orderdetail(("1998-01-01", "1998-12-31")).count() > 0
+
+
+def test_backfill_serving_and_ts_check_load(spark, tmp_out):
+    from pyspark.sql.types import StructField, StructType, TimestampNTZType
+    from tidewater.plans.batch_queries import SERVING_ORDER_SCHEMA
+    m = OrderModel(spark, SF_SMALL)
+    days = ("1998-01-01", "1998-12-31")
+    target = tmp_out("serving")
+    schema = StructType(list(SERVING_ORDER_SCHEMA.fields) + [StructField("data_modified_datetime", TimestampNTZType())])
+    src = m.om_order(days)
+    jobs.backfill_serving(spark, src, target, schema, ["ordercode"], ["createdate"])
+    jobs.backfill_serving(spark, src, target, schema, ["ordercode"], ["createdate"])  # idempotent
+    t = spark.read.parquet(target)
+    assert t.count() == src.count() and t.where(F.col("is_delete").isNotNull()).count() == 0
+    assert t.where(F.col("data_modified_datetime").isNull()).count() == 0
+    path = tmp_out("ts-check")
+    jobs.ts_check_load(m.om_order(("1998-03-10", "1998-03-10")).drop("p_day"), "createdate", "1998-03-10", path)
+    back = spark.read.parquet(path)
+    assert back.where(F.col("createdate_text") != F.col("createdate").cast("string")).count() == 0

@@ -47,6 +47,14 @@ def sync_to_serving(spark: SparkSession, source: DataFrame, target: str, target_
     return upsert(spark, target, schema_cast(source, target_schema), keys, order, partition_cols, op_col=None)
 
 
+def backfill_serving(spark: SparkSession, source: DataFrame, target: str, target_schema: StructType,
+                     keys: Sequence[str], order: Sequence[str], partition_cols: Sequence[str] = ()) -> str:
+    """B6: warehouse rows with the CDC columns added ('I', NULL delete flag,
+    load time), cast to the serving schema and upserted by key."""
+    rows = schema_cast(cdcops.with_cdc_columns(source), target_schema)
+    return upsert(spark, target, rows, keys, order, partition_cols, op_col=None)
+
+
 # -- ODS sync (B3, B4, B5, B15, B20) ------------------------------------------
 
 def ods_increment(cdc: DataFrame, day: str, target: str, target_schema: StructType,
