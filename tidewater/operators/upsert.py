@@ -79,6 +79,9 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[
     if op_col and op_col in latest.columns:
         latest = without_deletes(latest, op_col)
     stage = scratch_dir(spark, "upsert-stage")
+    if partition_cols:
+        # few files per partition; AQE splits a partition holding many rows
+        latest = latest.hint("rebalance", *partition_cols)
     w = latest.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)

@@ -98,7 +98,8 @@ class PartitionCommitSink:
             batch.unpersist()
 
     def _apply(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(str(batch_id)))
+        # rebalance: few files per partition per batch, hot partitions split by AQE
+        rows = batch.withColumn("batch_id", F.lit(str(batch_id))).hint("rebalance", *self.partition_cols)
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*self.partition_cols, "batch_id").format(self.fmt).save(self.path))
         # per touched partition: one row (partition values, max event time as text)
