@@ -119,3 +119,23 @@ def test_stateful_top_n_matches_batch(spark, tmp_out):
     got = sorted(tuple(r) for r in top_n(emitted, ["user_id"], [F.col("value").desc(), F.col("event_id")], 2).collect())
     want = sorted(tuple(r) for r in top_n(e, ["user_id"], [F.col("value").desc(), F.col("event_id")], 2).collect())
     assert got == want
+
+
+def test_partition_compaction_on_commit(spark, tmp_out):
+    e = _events(spark).where(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"))
+    src = replay_as_files(e, "ts", 4, name="cmp-src")
+    s = with_event_time(file_stream(spark, src, e.schema), "ts", "0 seconds", out="event_time")
+    s = s.select("event_id", "event_time", F.date_format("event_time", "yyyy-MM-dd").alias("dt"))
+    path = tmp_out("cmp-table")
+    sink = PartitionCommitSink(path, ["dt"], "event_time", "$dt 00:00:00", commit_delay="1 day",
+                               compact_on_commit=True)
+    run_to_end(s.writeStream.foreachBatch(sink), tmp_out("cmp-ckpt"))
+    table = sink.read(spark)
+    assert table.count() == e.count()
+    assert table.select("event_id").distinct().count() == e.count()
+    committed = sink.committed(spark)
+    assert [c["dt"] for c in committed] == ["2024-01-01"]
+    batches = [d for d in os.listdir(os.path.join(local_path(path), "dt=2024-01-01")) if d.startswith("batch_id=")]
+    assert len(batches) == 1 and batches[0].startswith("batch_id=c")  # one compacted folder
+    sink.compact(spark, {"dt": "2024-01-01"})  # re-run: nothing changes
+    assert sink.read(spark).count() == e.count()

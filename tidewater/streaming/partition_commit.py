@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import scratch_dir
 from tidewater.sources import fs
 
 _TS_FMT = "%Y-%m-%d %H:%M:%S"
@@ -49,12 +50,13 @@ def _parse_delay(s) -> dt.timedelta:
 class PartitionCommitSink:
     def __init__(self, path: str, partition_cols: Sequence[str], time_col: str, pattern: str,
                  watermark_delay="0 seconds", commit_delay="0 seconds", fmt: str = "parquet",
-                 table: str | None = None, tracker: str | None = None):
+                 table: str | None = None, tracker: str | None = None, compact_on_commit: bool = False):
         self.path = path.rstrip("/")
         self.partition_cols = list(partition_cols)
         self.time_col, self.pattern, self.fmt, self.table = time_col, pattern, fmt, table
         self.wm_delay, self.commit_delay = _parse_delay(watermark_delay), _parse_delay(commit_delay)
         self.tracker = (tracker or f"{self.path}_commit_tracker").rstrip("/")
+        self.compact_on_commit = compact_on_commit
 
     # -- tracker ------------------------------------------------------------
     # state-<b>.json: {max_event_time, pending} after batch b (pending is
@@ -126,7 +128,40 @@ class PartitionCommitSink:
                  "pending": [json.loads(k) for k in sorted(pending - ready)]}
         self._save(spark, batch_id, state, [json.loads(k) for k in sorted(ready)])
 
+    def compact(self, spark: SparkSession, vals: dict) -> None:
+        """Rewrite one partition's per-batch folders as a single folder.
+
+        The rows of every ``batch_id=<n>`` folder are written to
+        ``batch_id=c<max n>`` (one dynamic-overwrite job, atomic at commit),
+        then the other folders are deleted.  A compacted folder whose id is
+        at least every other id already holds their rows, so a re-run after a
+        failure between the two steps only finishes the deletes.
+        """
+        sub = "/".join(f"{c}={vals[c]}" for c in self.partition_cols)
+        part = f"{self.path}/{sub}"
+        dirs = [n for n in fs.list_names(spark, part) if n.startswith("batch_id=")]
+        ids = {n: int(n[len("batch_id="):].lstrip("c")) for n in dirs}
+        if len(dirs) <= 1:
+            return
+        top = max(ids.values())
+        done = f"batch_id=c{top}"
+        if done not in dirs:
+            rows = spark.read.option("basePath", self.path).format(self.fmt).load(part)
+            out = rows.drop("batch_id").withColumn("batch_id", F.lit(f"c{top}"))
+            for c in self.partition_cols:
+                out = out.withColumn(c, F.lit(vals[c]))
+            staged = scratch_dir(spark, "compact-stage")
+            out.write.mode("overwrite").partitionBy(*self.partition_cols, "batch_id").format(self.fmt).save(staged)
+            (spark.read.option("basePath", staged).format(self.fmt).load(staged)
+                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                  .partitionBy(*self.partition_cols, "batch_id").format(self.fmt).save(self.path))
+        for n in dirs:
+            if n != done:
+                fs.delete(spark, f"{part}/{n}")
+
     def _commit(self, spark: SparkSession, vals: dict) -> None:
+        if self.compact_on_commit:
+            self.compact(spark, vals)
         sub = "/".join(f"{c}={vals[c]}" for c in self.partition_cols)
         fs.write_text(spark, f"{self.path}/{sub}/_SUCCESS", "")
         if self.table:
