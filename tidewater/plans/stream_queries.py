@@ -134,3 +134,29 @@ def stream_dim_join(spark, sf_dir):
     run_to_end(out.writeStream.format("parquet").option("path", dest), scratch_dir(spark, "ckpt-dim"))
     return spark.read.parquet(dest)
 
+
+
+@register("stream_top2_stateful", bq.ORACLE_TOP2)
+def stream_top2_stateful(spark, sf_dir):
+    """T4 with Spark's keyed state: each key's top-2 lives in the state store;
+    every micro-batch emits the new top-2 of the keys it touched, and the sink
+    replaces those keys' rows in a table keyed by (user_id, row_num)."""
+    from tidewater.operators.upsert import upsert
+    from tidewater.streaming.topn import stateful_top_n
+    s = _events_stream(spark, sf_dir).select("user_id", "event_id", "value")
+    top = stateful_top_n(s, ["user_id"], [("value", True), ("event_id", False)], ["event_id"], 2)
+    path = scratch_dir(spark, "top2-stateful")
+
+    def replace_keys(batch, batch_id):
+        # the stateful batch is computed once: persist, then act
+        rows = batch.select("*", F.lit(batch_id).alias("batch_id"),
+                            F.pmod(F.hash("user_id"), F.lit(4)).cast("string").alias("_bucket")).persist()
+        try:
+            if not rows.isEmpty():
+                upsert(batch.sparkSession, path, rows, ["user_id", "row_num"], ["batch_id"], ["_bucket"],
+                       op_col=None)
+        finally:
+            rows.unpersist()
+
+    run_to_end(top.writeStream.outputMode("update").foreachBatch(replace_keys), scratch_dir(spark, "ckpt-top2s"))
+    return spark.read.parquet(path).select("user_id", "event_id", "value", "row_num")

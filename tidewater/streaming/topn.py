@@ -115,7 +115,9 @@ def stateful_top_n(stream: DataFrame, keys: Sequence[str], order: Sequence[tuple
     ``order`` is ``[(column, descending), ...]`` ending in a unique tie-break.
     Emits, for every key present in a micro-batch, its complete new top-N
     (update semantics: the rows replace the key's previous ones).  ``ttl_ms``
-    expires the state of keys idle for that long.
+    expires the state of keys idle for that long; it needs processing-time
+    mode, meant for continuous triggers (with ``availableNow`` the query did
+    not finish locally, so bounded replays run without TTL).
     """
     values = [f for f in stream.schema.fields]
     value_schema = StructType(values)
