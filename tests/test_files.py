@@ -31,3 +31,25 @@ def test_sensor_top2(spark):
     got = sorted((r.id, r.temperature) for r in
                  top_n(df, ["id"], [F.col("temperature").desc(), F.col("time")], 2).collect())
     assert got == [("probe_a", 28.0), ("probe_a", 30.5), ("probe_b", 18.5), ("probe_b", 19.0), ("probe_c", 25.25)]
+
+
+def test_stream_csv_filter_to_view(spark, tmp_out):
+    """Text stream -> typed rows -> temp view -> SQL filter (the file-filter job)."""
+    from tidewater.sources.files import stream_csv
+    from tidewater.streaming.sources import run_to_end
+    s = stream_csv(spark, os.path.join(HERE, "data"), PLAYER, max_files_per_trigger=1)
+    s = s.where(F.col("season").isNotNull() & F.col("player").isNotNull())
+    s.createOrReplaceTempView("score_stream")
+    out = spark.sql("SELECT season, player, scores FROM score_stream WHERE player = 'Player Alpha'")
+    dest = tmp_out("csv-stream")
+    run_to_end(out.writeStream.format("parquet").option("path", dest), tmp_out("csv-stream-ck"))
+    assert spark.read.parquet(dest).count() == 3
+
+
+def test_jdbc_reader_needs_one_of_table_or_query(spark):
+    import pytest
+    from tidewater.sources.jdbc import read_jdbc
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none", table="t", query="select 1")
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none")

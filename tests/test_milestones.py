@@ -64,3 +64,16 @@ def test_closed_form_matches_sequential_replay(spark):
         got.setdefault(r.submit_date, []).append(r.mark_minute)
     for day, want in cases.items():
         assert got.get(day, []) == want, day
+
+
+def test_milestone_arrays_in_emission_order(spark):
+    minutes = spark.createDataFrame([
+        (dt.date(2024, 1, 1), "2024-01-01 00:05", Decimal("600.00")),
+        (dt.date(2024, 1, 1), "2024-01-01 00:01", Decimal("450.00")),
+        (dt.date(2024, 1, 1), "2024-01-01 00:09", Decimal("1000.00")),
+        (dt.date(2024, 1, 2), "2024-01-02 23:59", Decimal("499.99")),
+    ], "submit_date date, minute string, sale_amount decimal(38,2)")
+    from tidewater.operators.milestones import milestone_arrays
+    got = {r.submit_date: r.milestones for r in milestone_arrays(milestones_from_minutes(minutes, 500)).collect()}
+    # running totals 450, 1050, 2050 -> marks at 00:05 (500, 1000), 00:09 (1500, 2000)
+    assert got == {dt.date(2024, 1, 1): ["00:05", "00:05", "00:09", "00:09"]}
