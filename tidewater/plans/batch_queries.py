@@ -477,6 +477,7 @@ from tidewater.functions.dates import DATETIME_PARTS  # noqa: E402
 
 _PAY_PARTS = ", ".join(f"x.d.pay_{p}" for p in DATETIME_PARTS if p != "datetime")
 
+# temp holds at most one row per calendar day: broadcast (as the DataFrame form does)
 PAY_SQL = """
 WITH temp AS (
   SELECT date_format(try_to_timestamp(ordertime), 'yyyy-MM-dd') AS p_day
@@ -484,7 +485,7 @@ WITH temp AS (
   WHERE paymentdate <> '' AND paymentdate IS NOT NULL
     AND date_format(try_to_timestamp(paymentdate), 'yyyy-MM-dd') BETWEEN :lo AND :hi
   GROUP BY date_format(try_to_timestamp(ordertime), 'yyyy-MM-dd'))
-SELECT x.* EXCEPT (d), {parts}, da.address_name, da.address_region, dw.ware_name, dw.ware_brand
+SELECT /*+ BROADCAST(da) */ x.* EXCEPT (d), {parts}, da.address_name, da.address_region, dw.ware_name, dw.ware_brand
 FROM (SELECT f.*, pay_dim_date_time(f.pay_datetime) AS d FROM (
   SELECT od.detailid AS id, o.cuscode AS customer_id, od.warecode AS ware_id,
          concat_ws('-', CAST(oa.provincecode AS STRING), CAST(oa.citycode AS STRING)) AS address_id,
@@ -496,9 +497,9 @@ FROM (SELECT f.*, pay_dim_date_time(f.pay_datetime) AS d FROM (
   FROM (SELECT ordercode, paymentdate FROM om_orderstatus
         WHERE paymentdate <> '' AND paymentdate IS NOT NULL
           AND date_format(try_to_timestamp(paymentdate), 'yyyy-MM-dd') BETWEEN :lo AND :hi) AS os
-  JOIN (SELECT * FROM om_orderdetail WHERE p_day IN (SELECT p_day FROM temp)) AS od ON os.ordercode = od.ordercode
-  JOIN (SELECT * FROM om_order WHERE p_day IN (SELECT p_day FROM temp)) AS o ON os.ordercode = o.ordercode
-  JOIN (SELECT * FROM om_orderaddress WHERE p_day IN (SELECT p_day FROM temp)) AS oa ON os.ordercode = oa.ordercode
+  JOIN (SELECT * FROM om_orderdetail WHERE p_day IN (SELECT /*+ BROADCAST(temp) */ p_day FROM temp)) AS od ON os.ordercode = od.ordercode
+  JOIN (SELECT * FROM om_order WHERE p_day IN (SELECT /*+ BROADCAST(temp) */ p_day FROM temp)) AS o ON os.ordercode = o.ordercode
+  JOIN (SELECT * FROM om_orderaddress WHERE p_day IN (SELECT /*+ BROADCAST(temp) */ p_day FROM temp)) AS oa ON os.ordercode = oa.ordercode
   WHERE o.changetype NOT IN (1, 2, 3)) AS f) AS x
 LEFT JOIN dim_address AS da ON da.address_id = x.address_id
 LEFT JOIN dim_ware AS dw ON dw.ware_id = x.ware_id""".replace("{parts}", _PAY_PARTS)
