@@ -84,7 +84,7 @@ class MilestoneSink(MinuteSalesSink):
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("p_day").parquet(self.marks_path))
         # days whose milestones all vanished (amounts corrected downwards) must be emptied
-        kept = {r[0] for r in staged.select("p_day").distinct().collect()}
+        kept = {r[0] for r in staged.select("p_day").distinct().collect()}  # day list: metadata
         from tidewater.operators.upsert import _clear_partitions
         gone = [d for d in days if d not in kept]
         if gone:
