@@ -70,3 +70,8 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
 def words(text: Column) -> Column:
     """Words: runs of anything but the ASCII white space 0x20, 0x09-0x0D."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
