@@ -1,4 +1,4 @@
 """Loads every module of the subpackage that registers a query."""
 
-from tidewater.llm import chat_format, fingerprint, mixing, quality_rules, url_cascade  # noqa: F401
+from tidewater.llm import chat_format, compress_quality, fingerprint, mixing, quality_rules, toxicity, url_cascade  # noqa: F401
 from tidewater.llm.base import ORACLE, QUERIES  # noqa: F401
