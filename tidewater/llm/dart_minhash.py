@@ -13,12 +13,16 @@ similarity.
 
 *Candidates.*  Equal texts are one class from the start.  Signatures are cut
 into bands; texts with an equal band share a bucket.  Buckets are joined
-without forming their pairs: every member is paired with the bucket's centre
-(least priority, the same for a text in all its buckets) and, in a second
-round, with its neighbours in the order of the next band's coordinates, but
-only where the first round left them in different groups.  Large buckets are
-cut along that order.  Every pair is verified exactly on the shingles, and
-verified pairs are contracted to connected components.
+without forming their pairs.  First every member is paired with the bucket's
+centre (least priority, the same for a text in all its buckets), pairs are
+verified on the shingles and verified pairs contracted to components.  Then,
+in buckets that still hold several components, every text outside the largest
+one is compared with all members by signature (one byte a coordinate, inside
+the task), and paired with the most alike of other components if the estimate
+does not rule them out.  This repeats until a round adds no link.  Buckets of
+over ``SLOT`` texts are dealt into slots of that size for the second step, so
+no group is ever gathered as a whole; a text meets 24 different samples of such
+a bucket, and its centre in any case.
 
 Defined results: null and empty texts are one class; texts of fewer than five
 words have a single shingle; rows with the same doc_id count as one document;
@@ -43,10 +47,12 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 COORDINATES = BANDS * ROWS
-#: Neighbours in bucket order that the second round pairs a text with, and the
-#: bucket size from which that order is cut into several windows.
-NEIGHBOURS = 3
+#: Texts compared at once within a bucket, partners that a text is paired with
+#: there, and the estimate below which a pair is ruled out (over four standard
+#: errors of the estimate under the threshold).
 SLOT = 2048
+PARTNERS = 3
+LEAST_ESTIMATE = 0.65
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(n) for n in range(20)])
@@ -134,35 +140,78 @@ def weighted_members(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return np.unique((names >> np.uint64(32)).astype(np.uint32).view(np.int32))
 
 
-def bands_of(sig: np.ndarray, bands: int = BANDS) -> tuple[np.ndarray, np.ndarray]:
-    """For each band its bucket, and the order key: 16 bits of four coordinates of the next band."""
+def bands_of(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """The bucket of each band."""
     rows = sig.reshape(bands, -1)
     bucket = (np.arange(bands) + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     for j in range(rows.shape[1]):
         bucket = mix(bucket * _GOLD + rows[:, j])
-    nxt = np.roll(rows, -1, axis=0) & np.uint64(0xFFFF)
-    order = np.zeros(bands, dtype=np.uint64)
-    for j in range(min(4, rows.shape[1])):
-        order = (order << np.uint64(16)) | nxt[:, j]
-    return bucket.view(np.int64), (order >> np.uint64(1)).view(np.int64)
+    return bucket.view(np.int64)
 
 
 def signature_column(text: Column) -> Column:
-    """struct(bucket, ord, members) of a text; empty arrays for a text without words."""
+    """struct(bucket, brief, members) of a text: its buckets, its signature at
+    one byte a coordinate, its shingles' names; empty for a text without words."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingle = Shingler()
-        none = np.zeros(0, dtype=np.int64)
+        none = (np.zeros(0, dtype=np.int64), b"", np.zeros(0, dtype=np.int32))
         for batch in batches:
             out = []
             for t in batch:
                 elements, weights = shingle(t)
                 if len(elements):
-                    out.append((*bands_of(signature(elements, weights)), weighted_members(elements, weights)))
+                    sig = signature(elements, weights)
+                    out.append((bands_of(sig), sig.astype(np.uint8).tobytes(), weighted_members(elements, weights)))
                 else:
-                    out.append((none, none, none.astype(np.int32)))
-            yield pd.DataFrame(out, columns=["bucket", "ord", "members"])
+                    out.append(none)
+            yield pd.DataFrame(out, columns=["bucket", "brief", "members"])
+
+    return F.pandas_udf(run, "bucket array<long>, brief binary, members array<int>")(text)
+
+
+def estimates(brief: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Estimated similarity of some rows to all rows of a (texts x coordinates) byte matrix."""
+    agree = np.empty((len(rows), len(brief)))
+    for i in range(0, len(rows), 32):
+        agree[i:i + 32] = (brief[rows[i:i + 32], None, :] == brief[None, :, :]).mean(axis=2)
+    return (agree - 1 / 256) / (1 - 1 / 256)
+
+
+def partners(node: np.ndarray, comp: np.ndarray, brief: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of one slot: each text outside the largest component, with the most alike texts of other components."""
+    names, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
+    rows = np.flatnonzero(which != np.argmax(sizes))
+    alike = estimates(brief, rows)
+    alike[which[rows][:, None] == which[None, :]] = -1
+    out = []
+    for r, line in zip(rows, alike):
+        for j in np.argsort(-line, kind="stable")[:PARTNERS]:
+            if line[j] >= LEAST_ESTIMATE:
+                out.append((int(min(node[r], node[j])), int(max(node[r], node[j]))))
+    return out
+
+
+def slot_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``partners`` of every slot in rows sorted by (bucket, slot); a slot may go on in the next batch."""
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        key = rows[["bucket", "slot"]].to_numpy()
+        starts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]
+        rest = rows.iloc[starts[-1]:]
+        yield _pairs_in(rows.iloc[:starts[-1]], starts)
+    if rest is not None and len(rest):
+        yield _pairs_in(rest, np.array([0, len(rest)]))
 
-    return F.pandas_udf(run, "bucket array<long>, ord array<long>, members array<int>")(text)
+
+def _pairs_in(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+    node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
+    brief = np.frombuffer(b"".join(rows["brief"]), dtype=np.uint8).reshape(len(rows), -1) if len(rows) else None
+    out: list[tuple[int, int]] = []
+    for lo, hi in zip(starts[:-1], starts[1:]):
+        if hi - lo > 1 and len(rows):
+            out += partners(node[lo:hi], comp[lo:hi], brief[lo:hi])
+    return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
 
 
 def node_key(doc_id: Column, text: Column) -> Column:
@@ -206,6 +255,16 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _further_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame) -> DataFrame:
+    """(a, b): promising pairs of texts that share a bucket but not yet a component."""
+    named = shared.join(groups, "node").withColumn("slot", F.pmod(F.xxhash64("bucket", "node"), F.ceil(F.col("n") / SLOT)))
+    split = (named.groupBy("bucket", "slot").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .where("lo <> hi").select("bucket", "slot"))
+    rows = named.join(split, ["bucket", "slot"]).join(briefs, "node").select("bucket", "slot", "node", "comp", "brief")
+    return (rows.repartition("bucket", "slot").sortWithinPartitions("bucket", "slot", "node")
+            .mapInPandas(slot_pairs, "a long, b long").distinct())
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """node, text_class, class_id for every document: the least document with
     the same text, and the least of its group of near-duplicates."""
@@ -218,34 +277,31 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sigs = rows.withColumn("s", signature_column(F.col("text"))).select("node", "hash", "s.*").where("size(bucket) > 0")
     sigs = stored(sigs, "signatures")
     # one row for each different text; its copies' signatures are left behind
-    sigs = sigs.select("node", "hash", "bucket", "ord", "members").join(heads, ["node", "hash"], "left_semi")
-    members = sigs.select("node", "members").dropDuplicates(["node"])
-    banded = sigs.select("node", F.explode(F.arrays_zip("bucket", "ord")).alias("z")).select(
-        "node", F.col("z.bucket").alias("bucket"), F.col("z.ord").alias("ord"), F.xxhash64("node").alias("prio"))
+    heads_of = lambda *cols: sigs.select("node", "hash", *cols).join(
+        heads, ["node", "hash"], "left_semi").dropDuplicates(["node", "hash"]).select("node", *cols)
+    banded = heads_of("bucket").select("node", F.explode("bucket").alias("bucket"), F.xxhash64("node").alias("prio"))
     centres = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("prio", "node")).alias("c"))
                .where("n > 1").select("bucket", "n", F.col("c.node").alias("centre")))
-    shared = stored(banded.select("node", "bucket", "ord").join(centres, "bucket"), "buckets")
-    stars = stored(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), "stars")
-    links = stored(verified(stars, members), "star-links")
+    shared = stored(banded.select("node", "bucket").join(centres, "bucket"), "buckets")
+    # shingles and short signatures of the texts that share any bucket
+    details = stored(heads_of("brief", "members").join(shared.select("node").distinct(), "node", "left_semi"), "candidates")
+    members, briefs = details.select("node", "members"), details.select("node", "brief")
+    tried = stored(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), "stars")
     nodes = classes.select(F.col("text_class").alias("node")).distinct()
-    first = components(nodes, links)
-    # second round: neighbours in bucket order that are still in different groups
-    named = shared.join(first, "node").withColumn("slot", F.pmod(F.shiftright("ord", 47), F.ceil(F.col("n") / SLOT)))
-    mixed = named.groupBy("bucket", "slot").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    named = named.join(mixed.select("bucket", "slot"), ["bucket", "slot"])
-    line = Window.partitionBy("bucket", "slot").orderBy("ord", "node")
-    after = F.array(*[F.struct(F.lead("node", d).over(line).alias("b"), F.lead("comp", d).over(line).alias("cb"))
-                      for d in range(1, NEIGHBOURS + 1)])
-    chain = named.select(F.col("node").alias("a"), F.col("comp").alias("ca"), F.filter(
-        after, lambda x: x["b"].isNotNull() & (x["cb"] != F.col("comp"))).alias("after"))
-    chain = ordered(chain.select("a", F.explode("after").alias("x")).select("a", F.col("x.b").alias("b")))
-    more = stored(verified(chain.join(stars, ["a", "b"], "left_anti"), members), "chain-links")
-    joined = (more.join(first.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a")
-              .join(first.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
-              .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    second = components(first.select(F.col("comp").alias("node")).distinct(), joined)
-    groups = first.join(second.select(F.col("node").alias("comp"), F.col("comp").alias("class_id")), "comp").select(
-        F.col("node").alias("text_class"), "class_id")
+    groups = components(nodes, verified(tried, members))
+    while True:
+        pairs = _further_pairs(shared, groups, briefs).join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        links = stored(verified(pairs, members), "links")
+        if links.isEmpty():
+            break
+        tried = tried.unionByName(pairs)
+        of = lambda x: groups.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))  # noqa: E731,B023
+        joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        merged = components(groups.select(F.col("comp").alias("node")).distinct(), joined)
+        groups = stored(groups.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp")
+                        .select("node", F.col("to").alias("comp")), "groups")
+    groups = groups.select(F.col("node").alias("text_class"), F.col("comp").alias("class_id"))
     # rows that share an id are one document: it has the least class of its texts
     return stored(classes.join(groups, "text_class").groupBy("node").agg(
         F.min("text_class").alias("text_class"), F.min("class_id").alias("class_id")), "groups")
