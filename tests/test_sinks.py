@@ -2,9 +2,11 @@ import datetime as dt
 import glob
 import os
 
+import pytest
+from pyspark.sql import functions as F
 
 from tidewater.operators import sinks
-from tidewater.operators.upsert import latest_per_key, upsert
+from tidewater.operators.upsert import latest_per_key, read_upserted, upsert
 from tidewater.session import local_path
 
 ROWS = [("k1", "2020-11-01", 1, "I", dt.datetime(2020, 11, 1, 1)),
@@ -53,25 +55,36 @@ def test_latest_per_key_handles_hot_key(spark):
     assert got == {"hot": 1999, "cold": 1}
 
 
-def test_upsert_latest_wins_and_is_idempotent(spark, tmp_out):
+def test_upsert_replaces_by_key_and_is_idempotent(spark, tmp_out):
     path = tmp_out("upsert")
-    base = spark.createDataFrame(ROWS, SCHEMA)
-    upsert(spark, path, base, ["k"], ["data_op_ts"], ["p_day"])
+    upsert(spark, path, spark.createDataFrame(ROWS, SCHEMA), ["k"], ["data_op_ts"], buckets=3)
     upd = spark.createDataFrame([
-        ("k1", "2020-11-01", 10, "U", dt.datetime(2020, 11, 1, 5)),
+        ("k1", "2020-11-09", 10, "U", dt.datetime(2020, 10, 1, 5)),   # older by its own time, another day: it replaces
         ("k2", "2020-11-01", 0, "D", dt.datetime(2020, 11, 1, 6)),
-        ("k3", "2020-11-02", 0, "D", dt.datetime(2020, 11, 2, 6)),
-        ("k4", "2020-11-03", 4, "I", dt.datetime(2020, 11, 3, 1)),
-        ("k1", "2020-11-01", 7, "U", dt.datetime(2020, 11, 1, 4)),   # older than the update above
+        ("k3", None, 0, "D", dt.datetime(2020, 11, 2, 6)),
+        ("k4", None, 4, "I", dt.datetime(2020, 11, 3, 1)),
+        ("k1", "2020-11-01", 7, "U", dt.datetime(2020, 9, 1, 4)),     # of two updates of a key, order decides
     ], SCHEMA)
-    upsert(spark, path, upd, ["k"], ["data_op_ts"], ["p_day"])
-    first = sorted((r.k, r.v, r.p_day) for r in spark.read.parquet(path).collect())
-    assert first == [("k1", 10, "2020-11-01"), ("k4", 4, "2020-11-03")]
-    upsert(spark, path, upd, ["k"], ["data_op_ts"], ["p_day"])  # retry: same table
-    again = sorted((r.k, r.v, r.p_day) for r in spark.read.parquet(path).collect())
-    assert again == first
-    # the emptied day partition is gone
-    assert not os.path.exists(os.path.join(local_path(path), "p_day=2020-11-02"))
+    for _ in range(2):                                                # the retry gives the same table
+        upsert(spark, path, upd, ["k"], ["data_op_ts"], buckets=3)
+        got = sorted((r.k, r.v, r.p_day) for r in read_upserted(spark, path).collect())
+        assert got == [("k1", 10, "2020-11-09"), ("k4", 4, None)]
+
+
+def test_upsert_leaves_a_target_it_cannot_read(spark, tmp_out):
+    path = tmp_out("upsert-broken")
+    upsert(spark, path, spark.createDataFrame(ROWS, SCHEMA), ["k"], ["data_op_ts"], buckets=1)
+    before = sorted(os.listdir(os.path.join(local_path(path), "_bucket=0")))
+    upd = spark.createDataFrame([("k1", "2020-11-01", 5, "U", dt.datetime(2020, 11, 2))], SCHEMA)
+    with pytest.raises(ValueError, match="columns"):
+        upsert(spark, path, upd.withColumn("more", F.lit(1)), ["k"], ["data_op_ts"], buckets=1)
+    assert sorted(os.listdir(os.path.join(local_path(path), "_bucket=0"))) == before
+    with open(os.path.join(local_path(path), "_bucket=0", "part-broken.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        upsert(spark, path, upd, ["k"], ["data_op_ts"], buckets=1)
+    os.remove(os.path.join(local_path(path), "_bucket=0", "part-broken.parquet"))
+    assert sorted((r.k, r.v) for r in read_upserted(spark, path).collect()) == [("k1", 1), ("k2", 2), ("k3", 3)]
 
 
 def test_overwrite_partition_with_empty_input_empties_it(spark, tmp_out):

@@ -8,7 +8,7 @@ from tidewater.session import local_path
 from tidewater.sources.order_model import cdc_from_events
 from tidewater.sources.tables import read_table
 from tidewater.streaming.partition_commit import PartitionCommitSink
-from tidewater.streaming.sales import MilestoneSink, streaming_minute_sums
+from tidewater.streaming.sales import MilestoneSink, MinuteSalesSink, streaming_amounts
 from tidewater.streaming.sources import file_stream, replay_as_files, run_to_end, with_event_time
 from tidewater.streaming.topn import TopNState
 
@@ -77,14 +77,74 @@ def test_restart_from_checkpoint(spark, tmp_out):
 def test_late_data_milestones_recomputed(spark, tmp_out):
     e = _events(spark).where(F.col("event_type") == "purchase")
     src = replay_as_files(e, "ts", 6, name="late-src", shuffled=True)
-    s = streaming_minute_sums(file_stream(spark, src, e.schema), "ts", "value", "40 days")
+    s = streaming_amounts(file_stream(spark, src, e.schema, max_files_per_trigger=2), "ts", "value")
     sink = MilestoneSink(tmp_out("late-min"), tmp_out("late-marks"), 100)
-    run_to_end(s.writeStream.outputMode("update").foreachBatch(sink), tmp_out("late-ckpt"))
+    run_to_end(s.writeStream.foreachBatch(sink), tmp_out("late-ckpt"))
     got = sorted(tuple(r) for r in sink.read_marks(spark).collect())
     want = sorted(tuple(r) for r in sales_milestones(e, "ts", "value", 100).collect())
     assert got == want and len(want) > 0
 
 
+def test_minute_partials_survive_retries_and_compaction(spark, tmp_out):
+    e = _events(spark).select(F.col("ts").alias("event_time"), F.col("value").cast("decimal(28,8)").alias("amount"))
+    sink = MinuteSalesSink(tmp_out("partials"))
+    for i in range(4):
+        sink(e.where(F.pmod(F.hash("amount"), F.lit(4)) == i), i)
+    sink(e.where(F.pmod(F.hash("amount"), F.lit(4)) == 2), 2)          # a retried batch
+    sink(e.limit(1).select(F.lit(None).cast("timestamp").alias("event_time"), "amount"), 4)  # no event time
+    want = sorted(map(tuple, sink.read(spark).collect()))
+    assert sum(r[2] for r in want) == e.agg(F.sum("amount")).first()[0]
+    sink.compact(spark, 2)
+    assert sorted(map(tuple, sink.read(spark).collect())) == want
+    sink.compact(spark, 4)
+    assert sorted(map(tuple, sink.read(spark).collect())) == want and len(sink._folders(spark)) == 1
+
+
+def test_commit_ignores_rows_without_event_time(spark, tmp_out):
+    rows = [(1, "2024-01-01 00:10:00"), (2, None), (3, "2024-01-02 00:10:00")]
+    df = spark.createDataFrame(rows, "k int, t string").select("k", F.to_timestamp("t").alias("event_time"))
+    df = df.withColumn("dt", F.date_format("event_time", "yyyy-MM-dd"))
+    sink = PartitionCommitSink(tmp_out("null-time"), ["dt"], "event_time", "$dt 00:00:00", commit_delay="1 day")
+    sink(df, 0)
+    sink(df, 0)                                                          # the retry passes too
+    assert sink.committed(spark) == [{"dt": "2024-01-01"}] and sink.read(spark).count() == 3
+
+
+def test_crash_between_data_and_tracker(spark, tmp_out, monkeypatch):
+    df = spark.createDataFrame([(1, "2024-01-01 00:10:00"), (2, "2024-01-03 00:10:00")], "k int, t string")
+    df = df.select("k", F.to_timestamp("t").alias("event_time")).withColumn("dt", F.date_format("event_time", "yyyy-MM-dd"))
+    sink = PartitionCommitSink(tmp_out("crash"), ["dt"], "event_time", "$dt 00:00:00", commit_delay="1 day")
+    with monkeypatch.context() as m:
+        m.setattr(sink, "_save", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        try:
+            sink(df, 0)
+        except OSError:
+            pass
+    assert sink.committed(spark) == []
+    sink(df, 0)
+    assert sink.committed(spark) == [{"dt": "2024-01-01"}] and sink.read(spark).count() == 2
+
+
+def test_topn_state_fails_on_a_changed_schema(spark, tmp_out):
+    import pytest
+    e = _events(spark).select("user_id", "event_id", "value")
+    state = TopNState(tmp_out("topn-schema"), ["user_id"], [F.col("value").desc(), F.col("event_id")], ["event_id"], 2, 4)
+    state(e, 0)
+    before = sorted(map(tuple, state.read(spark).collect()))
+    with pytest.raises(Exception):
+        state(e.withColumn("more", F.lit(1)), 1)
+    assert sorted(map(tuple, state.read(spark).collect())) == before
+
+
+def test_topn_orders_nulls_as_spark_does():
+    import pandas as pd
+
+    from tidewater.streaming.topn import _in_order
+    f = pd.DataFrame({"v": [None, 2.0, 1.0], "i": [1, 2, 3]})
+    assert _in_order(f, [("v", False), ("i", False)])["i"].tolist() == [1, 3, 2]
+    assert _in_order(f, [("v", True), ("i", False)])["i"].tolist() == [2, 3, 1]
+
+
 def test_sensor_stream_top2_epoch_watermark(spark, tmp_out):
     """Text lines -> typed rows -> epoch-second watermark -> continuously updated top-2."""
     from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType

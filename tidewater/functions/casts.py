@@ -40,7 +40,3 @@ def schema_cast(df: DataFrame, target: StructType, exclude: Iterable[str] = (),
 def schema_of(spark, table: str) -> StructType:
     """Schema of a registered table or view (the target of a cast projection)."""
     return spark.table(table).schema
-
-
-def nullable(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])

@@ -52,9 +52,6 @@ def day_string(ts) -> Column:
     return F.date_format(_c(ts), DAY_FMT)
 
 
-def minute_string(ts) -> Column:
-    return F.date_format(_c(ts), MINUTE_FMT)
-
 
 def parse_loose_timestamp(s) -> Column:
     """Text -> timestamp; blank or unparsable text gives NULL instead of an error."""
@@ -73,10 +70,6 @@ def shift_hours(ts, hours: int) -> Column:
     return F.timestamp_add("HOUR", F.lit(hours), _c(ts))
 
 
-def date_of(ts) -> Column:
-    """to_date(CAST(ts AS STRING)): the day of a timestamp or datetime text."""
-    return F.to_date(_c(ts).cast("string"))
-
 
 def string_to_date(s) -> Column:
     """A datetime text written into a DATE column keeps its day part."""

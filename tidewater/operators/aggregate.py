@@ -13,10 +13,6 @@ def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "cnt") -> Data
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def distinct_values(df: DataFrame, *exprs) -> DataFrame:
-    """GROUP BY without aggregates (distinct of computed columns)."""
-    return df.select(*exprs).distinct()
-
 
 def reduce_concat(df: DataFrame, keys: Sequence[str], value: str, name: str = "concatenated",
                   sep: str = "") -> DataFrame:

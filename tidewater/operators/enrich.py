@@ -9,35 +9,21 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.dates import datetime_columns
 
-# A dimension is broadcast only when a bounded count proves it small.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count of ``df`` if it is at most ``max_rows``, else None.
-
-    A plain ``count()``: one scan of the dimension with map-side partial
-    counts, so only one row per task is shuffled.  (``limit(n).count()``
-    would instead funnel up to n rows from every task into one reducer.)
-    """
-    n = df.count()
-    return n if n <= max_rows else None
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, assume_small: bool = False) -> DataFrame:
+def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Left lookup join of a fact to a dimension (``FOR SYSTEM_TIME AS OF proctime``).
 
     Batch form of the processing-time lookup: the dimension as it is now.
-    The dimension is broadcast when it is known to be small (``assume_small``
-    for fixed-size tables such as nation/region) or when a bounded count
-    proves it below ``max_broadcast_rows``; otherwise Spark plans a shuffle
-    join, and AQE may still switch to broadcast from runtime sizes.
+    Nothing is counted or hinted: Spark broadcasts a side whose size it knows
+    to be under ``spark.sql.autoBroadcastJoinThreshold``, from file sizes when
+    planning or from shuffle sizes while running, and shuffles otherwise.
     """
-    side = dim
-    if assume_small or (max_broadcast_rows is not None and bounded_rows(dim, max_broadcast_rows) is not None):
-        side = F.broadcast(dim)
-    return fact.join(side, on=on, how=how)
+    return fact.join(dim, on=on, how=how)
+
+
+def with_proctime(df: DataFrame, name: str = "proctime") -> DataFrame:
+    """Adds the time of processing (one instant for a whole batch or micro-batch)."""
+    return df.withColumn(name, F.current_timestamp())
 
 
 def with_datetime_parts(df: DataFrame, ts: str, prefix: str) -> DataFrame:

@@ -8,7 +8,8 @@ cumulative total ``C_i`` after minute *i*, minute *i* is emitted
 minute only changes the minute's sum, and the day is re-evaluated from the
 current sums, so the result never depends on arrival order.
 
-Amounts are DECIMAL so the floors are exact; they must be >= 0.
+Amounts are summed as wide DECIMALs and rounded once, at the end; a negative
+minute total fails the query (a milestone, once reached, is never withdrawn).
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-AMOUNT = DecimalType(18, 2)
+AMOUNT = DecimalType(28, 8)
+PARTIAL = DecimalType(38, 8)
 TOTAL = DecimalType(38, 2)
 # Step of the reference demo (named "million" there, value 5000).
 DEFAULT_STEP = 5000
@@ -39,6 +41,9 @@ def milestones_from_minutes(minutes: DataFrame, step: int = DEFAULT_STEP, day: s
     """
     w = Window.partitionBy(day).orderBy(minute).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = F.sum(F.col(amount)).over(w)
+    sound = F.when(F.col(amount) < 0, F.raise_error(F.concat(F.lit("negative amount in minute "), F.col(minute)))
+                   .cast(TOTAL)).otherwise(F.col(amount))
+    minutes = minutes.select(day, minute, sound.alias(amount))
     k = (minutes.select(day, minute, amount, cum.cast(TOTAL).alias("_cum"))
          .select(day, minute,
                  F.floor((F.col("_cum") - F.col(amount)) / F.lit(step)).cast("bigint").alias("_lo"),

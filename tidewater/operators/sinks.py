@@ -32,7 +32,12 @@ def overwrite_partition(df: DataFrame, path: str, values: dict[str, str], fmt: s
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> None:
-    """Dynamic overwrite: replace the partitions present in ``df``."""
+    """Dynamic overwrite: replace the partitions present in ``df``.  A first
+    load has none to replace and is written straight into place."""
+    from tidewater.sources import fs
+    if not fs.exists(df.sparkSession, path):
+        append(df, path, partition_cols, fmt)
+        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).format(fmt).save(path))
 

@@ -1,22 +1,31 @@
-"""Keyed upsert on plain Parquet: latest version per key wins.
-
-Parquet has no MERGE, so an upsert is: read the target partitions the
-updates touch, union the updates, keep the latest row per key, drop keys
-whose latest row is a delete, write the result to a staging folder, then
-swap it in with a dynamic partition overwrite.  The target is never
-overwritten by a plan that reads it.  Re-running the same upsert gives the
-same table (idempotent).
+"""Keyed upsert on plain Parquet: the new row replaces the old one for its key.
+
+Parquet has no MERGE, so an upsert is: read the buckets of the target that the
+updates touch, union the updates, keep the newest row per key (an update beats
+a stored row; among several updates of one key ``order`` decides), drop keys
+whose newest row is a delete, write the result to a staging folder, then swap
+it in with a dynamic partition overwrite.
+
+The table is partitioned by a bucket of the key, which never changes for a key,
+so a correction that moves a row to another day still replaces it.  A target
+that cannot be read, or whose columns differ from the updates', fails the
+upsert and is left as it was.  Re-running the same upsert gives the same table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.operators.cdc import OP_DELETE
 from tidewater.session import scratch_dir
+from tidewater.sources import fs
+
+BUCKET = "_bucket"
+_NEW = "_is_update"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -35,73 +44,42 @@ def without_deletes(df: DataFrame, op_col: str = "data_op_type") -> DataFrame:
     return df.where(F.col(op_col).isNull() | (F.col(op_col) != OP_DELETE))
 
 
-def _partition_filter(spark: SparkSession, updates: DataFrame, partition_cols: Sequence[str]) -> Column | None:
-    """Predicate selecting the target partitions the updates touch.
+def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
+           op_col: str | None = "data_op_type", buckets: int = 64) -> str:
+    """Merge ``updates`` into the Parquet table at ``target`` and return its path.
 
-    The list of touched partition values is metadata (one entry per day),
-    small whatever the row volume; it becomes a static filter that prunes the
-    target scan to those directories.
-    """
-    if not partition_cols:
-        return None
-    vals = updates.select(*partition_cols).distinct().collect()
-    if not vals:
-        return F.lit(False)
-    if len(partition_cols) == 1:
-        return F.col(partition_cols[0]).isin([r[0] for r in vals])
-    cond = None
-    for r in vals:
-        c = None
-        for k in partition_cols:
-            t = F.col(k) == F.lit(r[k])
-            c = t if c is None else c & t
-        cond = c if cond is None else cond | c
-    return cond
-
-
-def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str],
-           partition_cols: Sequence[str] = (), op_col: str | None = "data_op_type") -> str:
-    """Merge ``updates`` into the Parquet table at ``target``.
-
-    Assumes a key stays in one partition (as ``p_day`` of an order does).
-    Returns the target path.
+    ``buckets`` is fixed when the table is made: every later upsert must name
+    the same number.  The lists collected here hold bucket numbers only.
     """
-    try:
-        existing = spark.read.parquet(target)
-    except Exception:  # first load: no table yet
-        existing = None
-    merged = updates
-    if existing is not None:
-        pf = _partition_filter(spark, updates, partition_cols)
-        old = existing.where(pf) if pf is not None else existing
-        merged = old.unionByName(updates, allowMissingColumns=True)
-    latest = latest_per_key(merged, keys, order)
+    target = target.rstrip("/")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
+    stage = scratch_dir(spark, "upsert-stage")
+    # the updates are computed once; what follows reads them from the stage
+    new = updates.withColumn(BUCKET, bucket)
+    new.write.parquet(f"{stage}/updates")
+    new = spark.read.schema(new.schema).parquet(f"{stage}/updates")
+    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]       # at most ``buckets`` values
+    merged = new.withColumn(_NEW, F.lit(1))
+    if fs.exists(spark, target):
+        stored = spark.read.parquet(target)
+        if sorted(stored.columns) != sorted(new.columns):
+            raise ValueError(f"columns of {target} and of the updates differ: {sorted(set(stored.columns) ^ set(new.columns))}")
+        old = stored.select(*[F.col(c).cast(t.dataType) for c, t in zip(new.columns, new.schema)]).where(F.col(BUCKET).isin(touched))
+        merged = old.withColumn(_NEW, F.lit(0)).unionByName(merged)
+    latest = latest_per_key(merged, keys, [_NEW, *order]).drop(_NEW)
     if op_col and op_col in latest.columns:
         latest = without_deletes(latest, op_col)
-    stage = scratch_dir(spark, "upsert-stage")
-    if partition_cols:
-        # few files per partition; AQE splits a partition holding many rows
-        latest = latest.hint("rebalance", *partition_cols)
-    w = latest.write.mode("overwrite")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(stage)
-    staged = spark.read.schema(latest.schema).parquet(stage)
-    out = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if partition_cols:
-        out = out.partitionBy(*partition_cols)
-        if op_col and op_col in merged.columns and existing is not None:
-            # Partitions where every row was deleted must be emptied too
-            # (without deletes every touched partition keeps at least one row).
-            touched = merged.select(*partition_cols).distinct()
-            gone = touched.join(staged.select(*partition_cols).distinct(), list(partition_cols), "left_anti")
-            _clear_partitions(spark, target, gone, partition_cols)
-    out.parquet(target)
+    # few files per bucket; AQE splits a bucket holding many rows
+    latest.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{stage}/merged")
+    schema = StructType([f for f in latest.schema if f.name != BUCKET] + [StructField(BUCKET, StringType())])
+    staged = spark.read.schema(schema).parquet(f"{stage}/merged")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target))
+    left = {n.removeprefix(f"{BUCKET}=") for n in fs.list_names(spark, f"{stage}/merged")}
+    for b in set(touched) - left:           # every key of the bucket was deleted
+        fs.delete(spark, f"{target}/{BUCKET}={b}")
+    fs.delete(spark, stage)
     return target
 
 
-def _clear_partitions(spark, target, gone: DataFrame, partition_cols) -> None:
-    from tidewater.sources import fs
-    for r in gone.collect():  # partition values only: one row per emptied partition
-        sub = "/".join(f"{k}={r[k]}" for k in partition_cols)
-        fs.delete(spark, f"{target.rstrip('/')}/{sub}")
+def read_upserted(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(target).drop(BUCKET)

@@ -14,6 +14,13 @@ def _model(spark, sf_dir) -> OrderModel:
     return OrderModel(spark, sf_dir)
 
 
+def _warehouse(spark, sf_dir, *names):
+    """The named model tables written out in the production layout."""
+    from tidewater.session import scratch_dir
+    from tidewater.sources.warehouse import WarehouseTables, build_ods
+    return WarehouseTables(spark, build_ods(_model(spark, sf_dir), scratch_dir(spark, "ods"), names=names))
+
+
 @register("dwd_retail_submit", sql.submit_fact_sql(*facts.SUBMIT_DAYS))
 def dwd_retail_submit(spark, sf_dir):
     return facts.retail_submit_fact(_model(spark, sf_dir))
@@ -85,10 +92,16 @@ def cdc_increment_no_delete(spark, sf_dir):
 
 
 @register("cdc_delete_append", sql.with_model(
-    f"SELECT {_CDC_COLS}, '{CDC_DAY}' AS p_day FROM cdc "
-    f"WHERE {_day_eq('data_op_ts', CDC_DAY)} AND data_op_type = 'D'", "cdc"))
+    " UNION ALL ".join(f"SELECT {_CDC_COLS}, '{d}' AS p_day FROM cdc WHERE {_day_eq('data_op_ts', d)} AND data_op_type = 'D'"
+                       for d in (CDC_DAY, CDC_FIELDS_DAY)), "cdc"))
 def cdc_delete_append(spark, sf_dir):
-    return _ods(cdcops.deletes_of(_model(spark, sf_dir).cdc(), CDC_DAY), CDC_DAY)
+    """The job appends the day's deletes to a log that already holds another day's."""
+    from tidewater.plans.jobs import ods_delete_log
+    from tidewater.session import scratch_dir
+    cdc, path = _model(spark, sf_dir).cdc(), scratch_dir(spark, "delete-log")
+    for day in (CDC_DAY, CDC_FIELDS_DAY):
+        ods_delete_log(cdc, day, path, ODS_CDC_SCHEMA)
+    return spark.read.schema(ODS_CDC_SCHEMA).parquet(path)
 
 
 @register("upsert_latest", sql.with_model("""
@@ -100,6 +113,33 @@ def upsert_latest(spark, sf_dir):
     return without_deletes(latest_per_key(_model(spark, sf_dir).cdc(), ["ordercode"], ["data_op_ts", "detailid"]))
 
 
+@register("upsert_serving", f"""
+WITH f AS (SELECT id, order_id, submit_amount, submit_datetime FROM ({sql.submit_fact_sql(*facts.SUBMIT_DAYS)}))
+SELECT id, order_id, CASE WHEN order_id % 2 = 0 THEN CAST(submit_amount - 10 AS DECIMAL(18,4)) ELSE submit_amount END
+         AS submit_amount,
+       CASE WHEN order_id % 2 = 1 THEN strftime(submit_datetime, '%Y-%m-%d') WHEN order_id % 6 = 0 THEN NULL
+            ELSE strftime(submit_datetime + INTERVAL 3 DAY, '%Y-%m-%d') END AS p_day
+FROM f WHERE order_id % 10 <> 0""")
+def upsert_serving(spark, sf_dir):
+    """The submit fact served twice: the second load has lower amounts, moved
+    and missing days, and deletes."""
+    from tidewater.operators.upsert import read_upserted
+    from tidewater.plans.jobs import serve
+    from tidewater.session import scratch_dir
+    target = scratch_dir(spark, "serving")
+    fact = facts.retail_submit_fact(_model(spark, sf_dir)).select("id", "order_id", "submit_amount", "submit_datetime")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    base = fact.select("id", "order_id", "submit_amount", day("submit_datetime").alias("p_day"), F.lit("I").alias("data_op_type"))
+    key = F.col("order_id")
+    later = fact.where(key % 2 == 0).select(
+        "id", "order_id", (F.col("submit_amount") - 10).cast("decimal(18,4)").alias("submit_amount"),
+        F.when(key % 6 == 0, F.lit(None)).otherwise(day(F.timestamp_add("DAY", F.lit(3), "submit_datetime"))).alias("p_day"),
+        F.when(key % 10 == 0, F.lit("D")).otherwise(F.lit("U")).alias("data_op_type"))
+    for rows in (base, later):
+        serve(spark, target, rows)
+    return read_upserted(spark, target).drop("data_op_type")
+
+
 # ---------------------------------------------------------------------------
 # Projections, predicates, scalar functions
 
@@ -129,7 +169,8 @@ _ORDER_COLS = "ordercode, cuscode, changetype, ordersource, shopcode, salemode,
 @register("partition_range_scan", sql.with_model(
     f"SELECT {_ORDER_COLS} FROM om_order WHERE p_day BETWEEN '{RANGE_DAYS[0]}' AND '{RANGE_DAYS[1]}'", "om_order"))
 def partition_range_scan(spark, sf_dir):
-    return _model(spark, sf_dir).om_order(days=RANGE_DAYS)
+    """On the table partitioned by day: only the range's folders are read."""
+    return _warehouse(spark, sf_dir, "om_order").om_order(days=RANGE_DAYS)
 
 
 @register("order_not_in", sql.with_model(
@@ -143,8 +184,9 @@ def order_not_in(spark, sf_dir):
     f", {sql.paid_days_cte(*facts.PAY_DAYS)}\nSELECT {_ORDER_COLS} FROM om_order WHERE p_day IN (SELECT p_day FROM temp)",
     "om_orderstatus", "om_order"))
 def semi_paid_days(spark, sf_dir):
-    m = _model(spark, sf_dir)
-    return m.om_order(day_set=facts.paid_days(m))
+    """On the partitioned table: the paid days prune its folders at run time."""
+    wh = _warehouse(spark, sf_dir, "om_order", "om_orderstatus")
+    return wh.om_order(day_set=facts.paid_days(wh))
 
 
 @register("composite_ids", sql.with_model(
@@ -205,14 +247,26 @@ EXPORT_DAYS = ("1998-11-28", "1998-11-29")
 EXPORT_SHIFT_HOURS = -8
 
 
+EXPORT_SCHEMA = StructType([
+    StructField("detailid", StringType()), StructField("ordercode", LongType()), StructField("warecode", LongType()),
+    StructField("ordertime", TimestampNTZType()), StructField("qty", DecimalType(18, 4)),
+    StructField("sumnetamt", DecimalType(18, 4)), StructField("p_day", StringType()), StructField("is_delete", ByteType()),
+    StructField("data_op_type", StringType()), StructField("data_op_ts", TimestampNTZType()),
+])
+
+
 @register("bulk_export_rows", sql.with_model(f"""
-SELECT detailid, ordercode, warecode, ordertime, qty, sumnetamt, p_day,
-       CAST(NULL AS TINYINT) AS is_delete, 'I' AS data_op_type,
+SELECT detailid, ordercode, warecode, ordertime, CAST(qty AS DECIMAL(18,4)) AS qty,
+       CAST(sumnetamt AS DECIMAL(18,4)) AS sumnetamt, p_day, CAST(NULL AS TINYINT) AS is_delete, 'I' AS data_op_type,
        ordertime + to_hours({EXPORT_SHIFT_HOURS}) AS data_op_ts
 FROM om_orderdetail WHERE p_day BETWEEN '{EXPORT_DAYS[0]}' AND '{EXPORT_DAYS[1]}'""", "om_orderdetail"))
 def bulk_export_rows(spark, sf_dir):
-    from tidewater.plans.jobs import export_rows
-    return export_rows(_model(spark, sf_dir), EXPORT_DAYS, EXPORT_SHIFT_HOURS)
+    """The CSV files of the export, cast to the target schema, read back."""
+    from tidewater.plans.jobs import bulk_export_csv
+    from tidewater.session import scratch_dir
+    path = scratch_dir(spark, "bulk-export")
+    bulk_export_csv(_model(spark, sf_dir), EXPORT_DAYS, path, EXPORT_SCHEMA, EXPORT_SHIFT_HOURS)
+    return spark.read.schema(EXPORT_SCHEMA).csv(path)
 
 
 @register("ts_dual_projection", sql.with_model(
@@ -308,7 +362,7 @@ def top2_per_key(spark, sf_dir):
 
 MINUTE_SALES_SQL = """
 SELECT CAST(ts AS DATE) AS submit_date, strftime(ts, '%Y-%m-%d %H:%M') AS minute,
-       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sale_amount
+       CAST(SUM(CAST(value AS DECIMAL(28,8))) AS DECIMAL(38,2)) AS sale_amount
 FROM events {where} GROUP BY 1, 2"""
 
 
@@ -429,38 +483,38 @@ def partition_derive_dhm(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Sink round trips: write with the sink, read the result back
 
-OVERWRITE_DAYS = ("1998-03-10", "1998-03-11")
+OVERWRITE_DAY = "1998-03-10"
 
 
 @register("partition_overwrite", sql.with_model(f"""
-SELECT {_ORDER_COLS} FROM om_order WHERE p_day = '{OVERWRITE_DAYS[1]}'
-UNION ALL
-SELECT {_ORDER_COLS} FROM om_order WHERE p_day = '{OVERWRITE_DAYS[0]}' AND changetype = 0""", "om_order"))
+SELECT {_ORDER_COLS} FROM om_order WHERE p_day <> '{OVERWRITE_DAY}' OR changetype = 0""", "om_order"))
 def partition_overwrite(spark, sf_dir):
-    """Write two day partitions, then replace one of them: the other is kept."""
+    """Write the whole table by day, then replace one day: every other day is kept."""
     from tidewater.operators import sinks
     from tidewater.session import scratch_dir
     m = _model(spark, sf_dir)
     path = scratch_dir(spark, "ods-order")
-    sinks.overwrite_partitions(m.om_order(days=OVERWRITE_DAYS), path, ["p_day"])
-    d1 = OVERWRITE_DAYS[0]
-    replacement = m.om_order(days=(d1, d1)).where(F.col("changetype") == 0).drop("p_day")
-    sinks.overwrite_partition(replacement, path, {"p_day": d1})
+    sinks.overwrite_partitions(m.om_order().hint("rebalance", "p_day"), path, ["p_day"])
+    replacement = m.om_order(days=(OVERWRITE_DAY, OVERWRITE_DAY)).where(F.col("changetype") == 0).drop("p_day")
+    sinks.overwrite_partition(replacement, path, {"p_day": OVERWRITE_DAY})
     return spark.read.schema(m.om_order().schema).parquet(path)
 
 
-@register("multi_sink_counts", sql.with_model("""
-SELECT 'parquet' AS sink, count(*) AS cnt FROM om_orderdetail
-UNION ALL SELECT 'csv' AS sink, count(*) AS cnt FROM om_orderdetail""", "om_orderdetail"))
+_DETAIL_COLS = "detailid, ordercode, warecode, ordertime, qty, sumnetamt, p_day"
+
+
+@register("multi_sink_counts", sql.with_model(f"""
+SELECT 'parquet' AS sink, {_DETAIL_COLS} FROM om_orderdetail
+UNION ALL SELECT 'csv' AS sink, {_DETAIL_COLS} FROM om_orderdetail""", "om_orderdetail"))
 def multi_sink_counts(spark, sf_dir):
-    """One input written to two sinks in one unit, each read back and counted."""
+    """One input written to two sinks in one unit; the rows of each, read back."""
     from tidewater.plans.jobs import two_sink_export
     from tidewater.session import scratch_dir
     pq, csv = scratch_dir(spark, "two-sink-parquet"), scratch_dir(spark, "two-sink-csv")
-    two_sink_export(_model(spark, sf_dir).om_orderdetail(), pq, csv)
-    n = F.count(F.lit(1)).alias("cnt")
-    return (spark.read.parquet(pq).agg(n).select(F.lit("parquet").alias("sink"), "cnt")
-            .unionByName(spark.read.text(csv).agg(n).select(F.lit("csv").alias("sink"), "cnt")))
+    rows = _model(spark, sf_dir).om_orderdetail()
+    two_sink_export(rows, pq, csv)
+    return (spark.read.parquet(pq).select(F.lit("parquet").alias("sink"), *rows.columns)
+            .unionByName(spark.read.schema(rows.schema).csv(csv).select(F.lit("csv").alias("sink"), *rows.columns)))
 
 
 @register("dim_datetime_sql", sql.with_model(
@@ -477,39 +531,38 @@ from tidewater.functions.dates import DATETIME_PARTS  # noqa: E402
 
 _PAY_PARTS = ", ".join(f"x.d.pay_{p}" for p in DATETIME_PARTS if p != "datetime")
 
-# temp holds at most one row per calendar day: broadcast (as the DataFrame form does)
+# One relation of payments feeds the day selection and the join; the order-sized
+# tables meet first, the lines come last.
 PAY_SQL = """
-WITH temp AS (
-  SELECT date_format(try_to_timestamp(ordertime), 'yyyy-MM-dd') AS p_day
-  FROM om_orderstatus
-  WHERE paymentdate <> '' AND paymentdate IS NOT NULL
-    AND date_format(try_to_timestamp(paymentdate), 'yyyy-MM-dd') BETWEEN :lo AND :hi
-  GROUP BY date_format(try_to_timestamp(ordertime), 'yyyy-MM-dd'))
-SELECT /*+ BROADCAST(da) */ x.* EXCEPT (d), {parts}, da.address_name, da.address_region, dw.ware_name, dw.ware_brand
-FROM (SELECT f.*, pay_dim_date_time(f.pay_datetime) AS d FROM (
-  SELECT od.detailid AS id, o.cuscode AS customer_id, od.warecode AS ware_id,
-         concat_ws('-', CAST(oa.provincecode AS STRING), CAST(oa.citycode AS STRING)) AS address_id,
-         os.ordercode AS order_id, CAST(try_to_timestamp(os.paymentdate) AS TIMESTAMP_NTZ) AS pay_datetime,
-         o.createdate AS order_datetime, od.qty AS pay_count, od.sumnetamt AS pay_amount,
-         o.ordersource AS order_source_id, o.shopcode AS order_shop_id,
-         concat_ws('-', CAST(o.ordersource AS STRING), o.shopcode) AS order_sale_channel_id,
-         o.changetype AS order_type, o.salemode AS order_sale_mode, o.invoicetype AS order_invoice_type
-  FROM (SELECT ordercode, paymentdate FROM om_orderstatus
-        WHERE paymentdate <> '' AND paymentdate IS NOT NULL
-          AND date_format(try_to_timestamp(paymentdate), 'yyyy-MM-dd') BETWEEN :lo AND :hi) AS os
-  JOIN (SELECT * FROM om_orderdetail WHERE p_day IN (SELECT /*+ BROADCAST(temp) */ p_day FROM temp)) AS od ON os.ordercode = od.ordercode
-  JOIN (SELECT * FROM om_order WHERE p_day IN (SELECT /*+ BROADCAST(temp) */ p_day FROM temp)) AS o ON os.ordercode = o.ordercode
-  JOIN (SELECT * FROM om_orderaddress WHERE p_day IN (SELECT /*+ BROADCAST(temp) */ p_day FROM temp)) AS oa ON os.ordercode = oa.ordercode
-  WHERE o.changetype NOT IN (1, 2, 3)) AS f) AS x
-LEFT JOIN dim_address AS da ON da.address_id = x.address_id
-LEFT JOIN dim_ware AS dw ON dw.ware_id = x.ware_id""".replace("{parts}", _PAY_PARTS)
+WITH status AS (
+  SELECT ordercode, try_to_timestamp(paymentdate) AS paid_at, date_format(try_to_timestamp(ordertime), 'yyyy-MM-dd') AS day
+  FROM om_orderstatus WHERE length(paymentdate) > 0),
+payment AS (SELECT ordercode, day, CAST(paid_at AS TIMESTAMP_NTZ) AS pay_datetime
+            FROM status WHERE date_format(paid_at, 'yyyy-MM-dd') BETWEEN :lo AND :hi),
+held AS (SELECT DISTINCT day FROM payment),
+paid_order AS (
+  SELECT ordercode, pay_datetime, cuscode, createdate, ordersource, shopcode, changetype, salemode, invoicetype,
+         concat_ws('-', CAST(provincecode AS STRING), CAST(citycode AS STRING)) AS address_id
+  FROM payment
+  JOIN om_order ord USING (ordercode)
+  JOIN om_orderaddress place USING (ordercode)
+  WHERE ord.p_day IN (SELECT day FROM held) AND place.p_day IN (SELECT day FROM held) AND changetype NOT IN (1, 2, 3)),
+line AS (
+  SELECT detailid AS id, cuscode AS customer_id, warecode AS ware_id, address_id, ordercode AS order_id, pay_datetime,
+         createdate AS order_datetime, qty AS pay_count, sumnetamt AS pay_amount, ordersource AS order_source_id,
+         shopcode AS order_shop_id, concat_ws('-', CAST(ordersource AS STRING), shopcode) AS order_sale_channel_id,
+         changetype AS order_type, salemode AS order_sale_mode, invoicetype AS order_invoice_type,
+         pay_dim_date_time(pay_datetime) AS d
+  FROM om_orderdetail JOIN paid_order USING (ordercode)
+  WHERE p_day IN (SELECT day FROM held))
+SELECT x.* EXCEPT (d), {parts}, address_name, address_region, ware_name, ware_brand
+FROM line x LEFT JOIN dim_address USING (address_id) LEFT JOIN dim_ware USING (ware_id)""".replace("{parts}", _PAY_PARTS)
 
 
 @register("dwd_retail_pay_sql", sql.pay_fact_sql(*facts.PAY_DAYS))
 def dwd_retail_pay_sql(spark, sf_dir):
-    """B2 written as the reference writes it: SQL text with a CTE of paid days,
-    ``p_day IN (SELECT ...)`` partition selection and the registered date-part
-    function, over the model tables exposed as views."""
+    """B2 as SQL text: CTEs, ``p_day IN (SELECT ...)`` partition selection and
+    the registered date-part function, over the model tables exposed as views."""
     from tidewater.functions.dates import register_datetime_function
     m = _model(spark, sf_dir)
     for name in ("om_orderstatus", "om_orderdetail", "om_order", "om_orderaddress", "dim_address", "dim_ware"):

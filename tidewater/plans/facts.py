@@ -60,11 +60,7 @@ def _order_attrs() -> list:
 def enrich_fact(fact: DataFrame, model: OrderModel, kind: str) -> DataFrame:
     """Date parts of ``{kind}_datetime`` plus the address and ware dimensions."""
     out = with_datetime_parts(fact, f"{kind}_datetime", kind)
-    # dim_address is one row per nation: fixed size, always broadcast.
-    out = lookup_join(out, model.dim_address(), "address_id", assume_small=True)
-    # dim_ware grows with the part table: broadcast only behind a bounded count.
-    out = lookup_join(out, model.dim_ware(), "ware_id")
-    return out
+    return lookup_join(lookup_join(out, model.dim_address(), "address_id"), model.dim_ware(), "ware_id")
 
 
 def retail_submit_fact(model: OrderModel, days=SUBMIT_DAYS) -> DataFrame:
@@ -96,33 +92,35 @@ def is_paid(payment) -> F.Column:
 
 def paid_days(model: OrderModel, days=PAY_DAYS) -> DataFrame:
     """Order days having a payment in ``days`` (GROUP BY without aggregates)."""
-    st = model.om_orderstatus()
-    pay_day = day_string(parse_loose_timestamp("paymentdate"))
-    return (st.where(is_paid("paymentdate") & pay_day.between(*days))
-              .select(day_string(parse_loose_timestamp("ordertime")).alias("p_day"))
-              .distinct())
+    return payments(model, days).select("p_day").distinct()
+
+
+def payments(model: OrderModel, days=PAY_DAYS) -> DataFrame:
+    """ordercode, pay_datetime and the order's day of the orders paid in ``days``."""
+    at = parse_loose_timestamp("paymentdate")
+    return (model.om_orderstatus().where(is_paid("paymentdate") & day_string(at).between(*days))
+            .select("ordercode", at.cast("timestamp_ntz").alias("pay_datetime"),
+                    day_string(parse_loose_timestamp("ordertime")).alias("p_day")))
 
 
 def retail_pay_fact(model: OrderModel, days=PAY_DAYS) -> DataFrame:
     """B2: payments of a day range joined to detail, order and address of the
-    order days that hold them (``p_day IN (paid days)``)."""
-    temp = paid_days(model, days)
-    st = model.om_orderstatus()
-    os_ = (st.where(is_paid("paymentdate") & day_string(parse_loose_timestamp("paymentdate")).between(*days))
-             .select("ordercode", "paymentdate"))
-    od = model.om_orderdetail(day_set=temp).drop("p_day")
-    o = model.om_order(day_set=temp).drop("p_day").where(not_in("changetype", EXCHANGE_ORDER_TYPES))
-    oa = model.om_orderaddress(day_set=temp).drop("p_day")
-    fact = (os_.join(od, "ordercode").join(o, "ordercode").join(oa, "ordercode")
-               .select(
-                   F.col("detailid").alias("id"),
-                   F.col("cuscode").alias("customer_id"),
-                   F.col("warecode").alias("ware_id"),
-                   composite_id("provincecode", "citycode").alias("address_id"),
-                   F.col("ordercode").alias("order_id"),
-                   parse_loose_timestamp("paymentdate").cast("timestamp_ntz").alias("pay_datetime"),
-                   F.col("createdate").alias("order_datetime"),
-                   F.col("qty").alias("pay_count"),
-                   F.col("sumnetamt").alias("pay_amount"),
-                   *_order_attrs()))
+    order days that hold them (``p_day IN (paid days)``).  The order-sized
+    tables are joined first, so the lines are shuffled once, against orders
+    that are already known to be paid and kept."""
+    held = paid_days(model, days)
+    o = model.om_order(day_set=held).drop("p_day").where(not_in("changetype", EXCHANGE_ORDER_TYPES))
+    oa = model.om_orderaddress(day_set=held).drop("p_day")
+    paid = payments(model, days).drop("p_day").join(o, "ordercode").join(oa, "ordercode")
+    fact = model.om_orderdetail(day_set=held).drop("p_day").join(paid, "ordercode").select(
+        F.col("detailid").alias("id"),
+        F.col("cuscode").alias("customer_id"),
+        F.col("warecode").alias("ware_id"),
+        composite_id("provincecode", "citycode").alias("address_id"),
+        F.col("ordercode").alias("order_id"),
+        "pay_datetime",
+        F.col("createdate").alias("order_datetime"),
+        F.col("qty").alias("pay_count"),
+        F.col("sumnetamt").alias("pay_amount"),
+        *_order_attrs())
     return schema_cast(enrich_fact(fact, model, "pay"), DWD_PAY_SCHEMA)

@@ -21,6 +21,7 @@ from tidewater.operators import sinks
 from tidewater.operators.upsert import upsert
 from tidewater.plans import facts
 from tidewater.sources.order_model import OrderModel
+from tidewater.sources.registry import Registry
 
 
 # -- DWD facts into the serving store (B1, B2, B8) ---------------------------
@@ -28,31 +29,33 @@ from tidewater.sources.order_model import OrderModel
 def dwd_retail_submit_job(spark: SparkSession, model: OrderModel, target: str, days=facts.SUBMIT_DAYS) -> str:
     """B1: build the submit fact and upsert it (key ``id``) into ``target``."""
     fact = facts.retail_submit_fact(model, days)
-    fact = fact.withColumn("p_day", F.date_format("submit_datetime", "yyyy-MM-dd"))
-    return upsert(spark, target, fact, keys=["id"], order=["submit_datetime", "ware_id", "submit_amount"],
-                  partition_cols=["p_day"], op_col=None)
+    return serve(spark, target, fact.withColumn("p_day", F.date_format("submit_datetime", "yyyy-MM-dd")))
 
 
 def dwd_retail_pay_job(spark: SparkSession, model: OrderModel, target: str, days=facts.PAY_DAYS) -> str:
     """B2: build the pay fact and upsert it into ``target``."""
     fact = facts.retail_pay_fact(model, days)
-    fact = fact.withColumn("p_day", F.date_format("pay_datetime", "yyyy-MM-dd"))
-    return upsert(spark, target, fact, keys=["id"], order=["pay_datetime", "ware_id", "pay_amount"],
-                  partition_cols=["p_day"], op_col=None)
+    return serve(spark, target, fact.withColumn("p_day", F.date_format("pay_datetime", "yyyy-MM-dd")))
+
+
+def serve(spark: SparkSession, target: str, fact: DataFrame) -> str:
+    """Fact rows into the serving table: a row replaces the one with its id,
+    whatever day either belongs to; op type D removes it."""
+    return upsert(spark, target, fact, keys=["id"])
 
 
 def sync_to_serving(spark: SparkSession, source: DataFrame, target: str, target_schema: StructType,
-                    keys: Sequence[str], order: Sequence[str], partition_cols: Sequence[str] = ()) -> str:
+                    keys: Sequence[str], order: Sequence[str] = ()) -> str:
     """B8: whole table (or a day range of it) cast to the serving schema and upserted."""
-    return upsert(spark, target, schema_cast(source, target_schema), keys, order, partition_cols, op_col=None)
+    return upsert(spark, target, schema_cast(source, target_schema), keys, order, op_col=None)
 
 
 def backfill_serving(spark: SparkSession, source: DataFrame, target: str, target_schema: StructType,
-                     keys: Sequence[str], order: Sequence[str], partition_cols: Sequence[str] = ()) -> str:
+                     keys: Sequence[str], order: Sequence[str] = ()) -> str:
     """B6: warehouse rows with the CDC columns added ('I', NULL delete flag,
     load time), cast to the serving schema and upserted by key."""
     rows = schema_cast(cdcops.with_cdc_columns(source), target_schema)
-    return upsert(spark, target, rows, keys, order, partition_cols, op_col=None)
+    return upsert(spark, target, rows, keys, order, op_col=None)
 
 
 # -- ODS sync (B3, B4, B5, B15, B20) ------------------------------------------
@@ -64,6 +67,21 @@ def ods_increment(cdc: DataFrame, day: str, target: str, target_schema: StructTy
     sinks.overwrite_partition(schema_cast(inc, target_schema, exclude=["p_day"]), target, {"p_day": day})
 
 
+def sync_day(registry: Registry, source: str, target: str, day: str,
+             columns: Sequence[str] = ("data_op_ts", "ordertime"), exclude_deletes: bool = False) -> None:
+    """B5: the generic sync, by table names: ``target``'s registered path and
+    schema take the day's increment of ``source``."""
+    to = registry.get(target)
+    ods_increment(registry.read(source), day, to.path, registry.schema(target), columns, exclude_deletes)
+
+
+def load_table(registry: Registry, source: str, target: str, order_by: str | None = None, limit: int | None = None) -> None:
+    """B15: a store's rows, lower-cased and cast, appended to a registered table."""
+    to = registry.get(target)
+    sinks.append(typed_rows_from_source(registry.read(source), registry.schema(target), order_by, limit), to.path,
+                 to.partition_cols, to.fmt)
+
+
 def ods_delete_log(cdc: DataFrame, day: str, target: str, target_schema: StructType) -> None:
     """B4: the day's deletes appended to the delete log."""
     dels = schema_cast(cdcops.deletes_of(cdc, day), target_schema, exclude=["p_day"]).withColumn("p_day", F.lit(day))
@@ -100,9 +118,11 @@ def export_rows(model: OrderModel, days, shift: int = 0, wall_clock: bool = Fals
     return d.select("*", *cols)
 
 
-def bulk_export_csv(model: OrderModel, days, path: str, shift: int = 0,
+def bulk_export_csv(model: OrderModel, days, path: str, target: StructType, shift: int = 0,
                     max_records_per_file: int | None = 1_000_000) -> None:
-    sinks.export_csv(export_rows(model, days, shift, wall_clock=True), path, max_records_per_file)
+    """B7: the rows cast to the store's schema, as CSV files for its bulk loader."""
+    rows = export_rows(model, days, shift, wall_clock="data_modified_datetime" in target.names)
+    sinks.export_csv(schema_cast(rows, target), path, max_records_per_file)
 
 
 def two_sink_export(df: DataFrame, parquet_path: str, csv_path: str) -> None:

@@ -23,7 +23,8 @@ MODEL_CTES = {
          o_orderdate AS createdate, {day('o_orderdate')} AS p_day
   FROM orders""",
     "om_orderdetail": f"""
-  SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS detailid,
+  SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                   CAST(l_suppkey AS VARCHAR)) AS detailid,
          l_orderkey AS ordercode, l_partkey AS warecode,
          o_orderdate + to_hours(CAST(l_linenumber AS BIGINT)) AS ordertime,
          l_quantity AS qty, l_extendedprice AS sumnetamt, {day('o_orderdate')} AS p_day
@@ -40,9 +41,9 @@ MODEL_CTES = {
     "dim_address": """
   SELECT concat_ws('-', CAST(n_regionkey AS VARCHAR), CAST(n_nationkey AS VARCHAR)) AS address_id,
          n_name AS address_name, r_name AS address_region
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey <> 0""",
+  FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "dim_ware": """
-  SELECT p_partkey AS ware_id, p_name AS ware_name, p_brand AS ware_brand FROM part WHERE p_size >= 5""",
+  SELECT p_partkey AS ware_id, p_name AS ware_name, p_brand AS ware_brand FROM part""",
     "cdc": """
   SELECT event_id AS detailid, user_id AS ordercode, value,
          CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS data_op_type,

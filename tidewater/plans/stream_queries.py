@@ -5,6 +5,8 @@ oracle."""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from tidewater.functions.json import envelope_schema, parse_envelope, payments_of
@@ -16,20 +18,21 @@ from tidewater.session import apply_conf, scratch_dir
 from tidewater.sources.order_model import OrderModel, cdc_from_events
 from tidewater.sources.tables import read_table
 from tidewater.streaming.partition_commit import PartitionCommitSink
-from tidewater.streaming.sales import MilestoneSink, MinuteSalesSink, streaming_minute_sums
-from tidewater.streaming.sources import file_stream, replay_as_files, run_to_end, with_event_time
+from tidewater.streaming.sales import MilestoneSink, MinuteSalesSink, streaming_amounts
+from tidewater.streaming.sources import file_stream, replay_as_files, run_to_end, with_event_time, yesterday_start_ms
 from tidewater.streaming.topn import TopNState
 
-REPLAY_CHUNKS = 4
+# The replay writes this many files and reads half of them per micro-batch.
+REPLAY_FILES = 4
 
 
-def _events_stream(spark, sf_dir, where=None):
+def _events_stream(spark, sf_dir, where=None, shuffled=False):
     apply_conf(spark)
     e = read_table(spark, sf_dir, "events")
     if where is not None:
         e = e.where(where)
-    path = replay_as_files(e, "ts", REPLAY_CHUNKS, name="events-replay")
-    return file_stream(spark, path, e.schema)
+    path = replay_as_files(e, "ts", REPLAY_FILES, name="events-replay", shuffled=shuffled)
+    return file_stream(spark, path, e.schema, max_files_per_trigger=REPLAY_FILES // 2)
 
 
 _CDC_SELECT = "detailid, ordercode, value, data_op_type, data_op_ts, ordertime"
@@ -57,18 +60,18 @@ def stream_top2(spark, sf_dir):
 
 @register("stream_minute_sales", bq.MINUTE_SALES_SQL.format(where=""))
 def stream_minute_sales(spark, sf_dir):
-    s = streaming_minute_sums(_events_stream(spark, sf_dir), "ts", "value", "1 second")
+    """Rows arrive out of order (``shuffled``): most are later than the watermark, none is lost."""
+    s = streaming_amounts(_events_stream(spark, sf_dir, shuffled=True), "ts", "value")
     sink = MinuteSalesSink(scratch_dir(spark, "minute-sales"))
-    run_to_end(s.writeStream.outputMode("update").foreachBatch(sink), scratch_dir(spark, "ckpt-minutes"))
+    run_to_end(s.writeStream.foreachBatch(sink), scratch_dir(spark, "ckpt-minutes"))
     return sink.read(spark)
 
 
 @register("stream_milestones", bq.milestones_sql(bq.MILESTONE_STEP))
 def stream_milestones(spark, sf_dir):
-    s = streaming_minute_sums(_events_stream(spark, sf_dir, F.col("event_type") == "purchase"), "ts", "value",
-                              "1 second")
+    s = streaming_amounts(_events_stream(spark, sf_dir, F.col("event_type") == "purchase", shuffled=True), "ts", "value")
     sink = MilestoneSink(scratch_dir(spark, "ms-minutes"), scratch_dir(spark, "ms-marks"), bq.MILESTONE_STEP)
-    run_to_end(s.writeStream.outputMode("update").foreachBatch(sink), scratch_dir(spark, "ckpt-milestones"))
+    run_to_end(s.writeStream.foreachBatch(sink), scratch_dir(spark, "ckpt-milestones"))
     return sink.read_marks(spark)
 
 
@@ -88,6 +91,53 @@ def stream_partition_counts(spark, sf_dir):
                   .select("dt", "cnt", F.coalesce("committed", F.lit(False)).alias("committed")))
 
 
+@register("stream_dhm_table", """
+WITH e AS (SELECT user_id, value, ts, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS h,
+                  CASE WHEN minute(ts) < 30 THEN '00' ELSE '30' END AS m FROM events),
+w AS (SELECT date_trunc('second', max(ts)) - INTERVAL 3 SECOND AS wm FROM events)
+SELECT user_id, value, dt, h, m FROM e
+WHERE CAST(dt || ' ' || h || ':' || m || ':00' AS TIMESTAMP) + INTERVAL 30 MINUTE < (SELECT wm FROM w)""")
+def stream_dhm_table(spark, sf_dir):
+    """The dt/h/m sink; its committed rows, read back through the catalog table."""
+    import uuid
+    s = with_event_time(_events_stream(spark, sf_dir), "ts", "3 seconds", out="event_time")
+    half = F.when(F.minute("event_time") < 30, F.lit("00")).otherwise(F.lit("30"))
+    s = s.select("user_id", "value", "event_time", F.date_format("event_time", "yyyy-MM-dd").alias("dt"),
+                 F.date_format("event_time", "HH").alias("h"), half.alias("m"))
+    path, name = scratch_dir(spark, "dhm-table"), f"dhm_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {name} (user_id BIGINT, value DOUBLE, event_time TIMESTAMP, dt STRING, h STRING, m STRING, "
+              f"batch_id STRING) USING parquet PARTITIONED BY (dt, h, m, batch_id) LOCATION '{path}'")
+    sink = PartitionCommitSink(path, ["dt", "h", "m"], "event_time", "$dt $h:$m:00", watermark_delay="3 seconds",
+                               commit_delay="30 minutes", table=name)
+    run_to_end(s.writeStream.foreachBatch(sink), scratch_dir(spark, "ckpt-dhm"))
+    return spark.table(name).select("user_id", "value", "dt", "h", "m")
+
+
+ORDERS_TODAY = datetime.date(2024, 1, 16)
+
+
+@register("stream_orders_json", """
+SELECT event_id AS order_id, user_id, value AS amount, CAST(ts AS TIMESTAMP) AS order_time FROM events
+WHERE event_id % 29 <> 0 AND ts >= TIMESTAMP '2024-01-15 00:00:00'""")
+def stream_orders_json(spark, sf_dir):
+    """Order records as JSON text, read from yesterday 00:00 of a given day on;
+    records that do not parse are left out."""
+    apply_conf(spark)
+    e = read_table(spark, sf_dir, "events")
+    body = F.to_json(F.struct(F.col("event_id").alias("order_id"), "user_id", F.col("value").alias("amount"),
+                              F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("order_time")))
+    raw = e.select(F.when(F.col("event_id") % 29 == 0, F.substring(body, 1, 12)).otherwise(body).alias("value"))
+    path = replay_as_files(raw, "value", REPLAY_FILES, name="orders-json", fmt="text")
+    start = F.timestamp_millis(F.lit(yesterday_start_ms(ORDERS_TODAY)))
+    order = F.from_json("value", "order_id BIGINT, user_id BIGINT, amount DOUBLE, order_time STRING").alias("o")
+    s = file_stream(spark, path, raw.schema, "text", REPLAY_FILES // 2).select(order).select("o.*")
+    s = s.withColumn("order_time", F.try_to_timestamp("order_time").cast("timestamp_ntz"))
+    s = s.where(F.col("order_time") >= start.cast("timestamp_ntz"))
+    dest = scratch_dir(spark, "stream-orders")
+    run_to_end(s.writeStream.format("parquet").option("path", dest), scratch_dir(spark, "ckpt-orders"))
+    return spark.read.parquet(dest)
+
+
 ENVELOPE_TABLE = "OM_ORDERSTATUS"
 
 
@@ -112,8 +162,8 @@ WHERE ordercode % 10 <> 0 AND ordercode % 17 <> 0 AND ordercode % 23 <> 0 AND pa
 def stream_cdc_payments(spark, sf_dir):
     apply_conf(spark)
     env = envelopes(OrderModel(spark, sf_dir))
-    path = replay_as_files(env, "ordercode", REPLAY_CHUNKS, name="envelope-replay")
-    raw = file_stream(spark, path, env.schema)
+    path = replay_as_files(env, "ordercode", REPLAY_FILES, name="envelope-replay")
+    raw = file_stream(spark, path, env.schema, max_files_per_trigger=REPLAY_FILES // 2)
     parsed = parse_envelope(raw, envelope_schema(["ORDERCODE", "PAYMENTDATE"]))
     out = payments_of(parsed, ENVELOPE_TABLE)
     dest = scratch_dir(spark, "stream-payments")
@@ -150,11 +200,10 @@ def stream_top2_stateful(spark, sf_dir):
     def replace_keys(batch, batch_id):
         # the stateful batch is computed once: persist, then act
         rows = batch.select("*", F.lit(batch_id).alias("batch_id"),
-                            F.pmod(F.hash("user_id"), F.lit(4)).cast("string").alias("_bucket")).persist()
+                            ).persist()
         try:
             if not rows.isEmpty():
-                upsert(batch.sparkSession, path, rows, ["user_id", "row_num"], ["batch_id"], ["_bucket"],
-                       op_col=None)
+                upsert(batch.sparkSession, path, rows, ["user_id", "row_num"], ["batch_id"], op_col=None, buckets=4)
         finally:
             rows.unpersist()
 

@@ -7,6 +7,8 @@ a machine-local folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -22,12 +24,19 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """The whole file or nothing: written under a temporary name, then renamed."""
     fs, p = _fs_path(spark, path)
-    out = fs.create(p, True)
+    head, _, name = path.rpartition("/")
+    _, tmp = _fs_path(spark, f"{head}/.{name}.{uuid.uuid4().hex[:8]}.tmp")
+    out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not move {tmp.toString()} to {path}")
 
 
 def read_text(spark: SparkSession, path: str) -> str:

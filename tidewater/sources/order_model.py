@@ -14,7 +14,7 @@ Column rules (fixed; the oracle SQL in ``plans/oracle.py`` states the same):
                   ordersource=ascii(o_orderstatus) % 3, shopcode=o_orderpriority,
                   salemode=o_custkey % 3, invoicetype=o_orderkey % 2,
                   createdate=o_orderdate, p_day=yyyy-MM-dd(o_orderdate)
-  om_orderdetail  lineitem x orders: detailid='l_orderkey-l_linenumber',
+  om_orderdetail  lineitem x orders: detailid='l_orderkey-l_linenumber-l_partkey-l_suppkey' (unique),
                   ordercode, warecode=l_partkey,
                   ordertime=o_orderdate + l_linenumber hours,
                   qty=l_quantity, sumnetamt=l_extendedprice, p_day
@@ -22,9 +22,9 @@ Column rules (fixed; the oracle SQL in ``plans/oracle.py`` states the same):
                   citycode=n_nationkey, areacode=c_custkey, p_day
   om_orderstatus  orders: ordertime text, paymentdate text = order day + 1
                   (status F), '' (status O), NULL (status P)
-  dim_address     nation x region without region 0:
+  dim_address     nation x region:
                   address_id='n_regionkey-n_nationkey', address_name, address_region
-  dim_ware        part with p_size >= 5: ware_id, ware_name, ware_brand
+  dim_ware        part: ware_id, ware_name, ware_brand
   cdc             events: detailid=event_id, ordercode=user_id, value,
                   data_op_type signup->I, error->D, else U; data_op_ts=ts,
                   ordertime=ts - (event_id % 3) days
@@ -87,8 +87,8 @@ class OrderModel:
         li = self._t("lineitem")
         o = self._orders(days, day_set).select("o_orderkey", "o_orderdate")
         return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                        F.col("l_linenumber").cast("string")).alias("detailid"),
+            F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+                        ).alias("detailid"),
             F.col("l_orderkey").alias("ordercode"),
             F.col("l_partkey").alias("warecode"),
             F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("o_orderdate")).alias("ordertime"),
@@ -125,7 +125,7 @@ class OrderModel:
     # -- dimensions ---------------------------------------------------------
     def dim_address(self) -> DataFrame:
         n = self._t("nation")
-        r = self._t("region").where(F.col("r_regionkey") != 0)
+        r = self._t("region")
         # region is a fixed 5-row table
         return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "inner").select(
             F.concat_ws("-", F.col("n_regionkey").cast("string"),
@@ -135,7 +135,7 @@ class OrderModel:
         )
 
     def dim_ware(self) -> DataFrame:
-        return self._t("part").where(F.col("p_size") >= 5).select(
+        return self._t("part").select(
             F.col("p_partkey").alias("ware_id"),
             F.col("p_name").alias("ware_name"),
             F.col("p_brand").alias("ware_brand"),

@@ -28,16 +28,27 @@ class Registry:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._ds: dict[str, Dataset] = {}
+        self.database = "default"
+
+    def use(self, database: str) -> None:
+        """The database that plain table names belong to from now on."""
+        self.database = database
+
+    def _full(self, name: str) -> str:
+        return name if "." in name else f"{self.database}.{name}"
 
     def add(self, ds: Dataset) -> Dataset:
-        self._ds[ds.name] = ds
+        self._ds[self._full(ds.name)] = ds
         return ds
 
     def get(self, name: str) -> Dataset:
-        return self._ds[name]
+        full = self._full(name)
+        if full not in self._ds:
+            raise KeyError(f"no dataset {full}")
+        return self._ds[full]
 
     def read(self, name: str) -> DataFrame:
-        ds = self._ds[name]
+        ds = self.get(name)
         r = self.spark.read.format(ds.fmt).options(**ds.options)
         if ds.schema is not None:
             r = r.schema(ds.schema)
@@ -45,10 +56,10 @@ class Registry:
 
     def view(self, name: str, alias: str | None = None) -> DataFrame:
         df = self.read(name)
-        df.createOrReplaceTempView(alias or name)
+        df.createOrReplaceTempView(alias or name.rpartition(".")[2])
         return df
 
     def schema(self, name: str) -> StructType:
         """Schema introspection of a registered table (cast target of P11)."""
-        ds = self._ds[name]
+        ds = self.get(name)
         return ds.schema if ds.schema is not None else self.read(name).schema

@@ -28,9 +28,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if df is None or df.sparkSession is not spark:
         df = _READS[key] = spark.read.parquet(key[1])
     return df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the input tables to ``spark.sql`` under their own names."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -20,18 +20,18 @@ PARTITIONED = ("om_order", "om_orderdetail", "om_orderaddress")
 UNPARTITIONED = ("om_orderstatus", "dim_address", "dim_ware", "cdc")
 
 
-def build_ods(model: OrderModel, root: str, days=None) -> str:
-    """Write the model tables under ``root``: day tables partitioned by
+def build_ods(model: OrderModel, root: str, days=None, names=(*PARTITIONED, *UNPARTITIONED)) -> str:
+    """Write the model tables (all, or those named) under ``root``: day tables partitioned by
     ``p_day``, the others as plain Parquet.
 
     The ``rebalance`` hint clusters rows by day before the write (few files
     per day) and lets AQE split a day that holds a large share of the rows
     across several tasks instead of one.
     """
-    for name in PARTITIONED:
+    for name in (n for n in PARTITIONED if n in names):
         df = getattr(model, name)(days) if days else getattr(model, name)()
         sinks.overwrite_partitions(df.hint("rebalance", "p_day"), f"{root}/{name}", ["p_day"])
-    for name in UNPARTITIONED:
+    for name in (n for n in UNPARTITIONED if n in names):
         getattr(model, name)().write.mode("overwrite").parquet(f"{root}/{name}")
     return root
 

@@ -9,8 +9,11 @@ Commit rule (partition-time trigger): with the watermark at
 ``watermark > partition_time + commit_delay``, where ``partition_time`` is
 built from the partition values by a pattern such as ``"$dt $h:$m:00"``.
 Committing writes ``_SUCCESS`` into the partition folder and, when a
-catalog table is named, adds the partition to it.  A late row for a
-committed partition is still written and the partition is re-committed.
+catalog table is named (partitioned by the same columns and ``batch_id``), adds
+the partition's batch folders to it, so its rows are read through the table.  A
+late row for a committed partition is still written and the partition is
+re-committed.  Rows without an event time go to the default partition, which is
+never committed.
 
 The tracker (max event time, pending and committed partitions: one entry
 per partition, i.e. metadata) is versioned per batch beside the table, so a
@@ -63,23 +66,23 @@ class PartitionCommitSink:
     # bounded by the partitions still inside watermark lag + commit delay);
     # commits-<b>.json: partitions committed by batch b (the commit log).
     # Committing is idempotent, so no list of all committed partitions is kept.
-    RETAIN = 100
+    # All states stay, so a query can be rewound to any batch.
 
     def _ids(self, spark: SparkSession, prefix: str) -> list[int]:
         return sorted(int(n[len(prefix) + 1:-5]) for n in fs.list_names(spark, self.tracker)
                       if n.startswith(prefix + "-") and n.endswith(".json"))
 
     def _load(self, spark: SparkSession, batch_id: int) -> dict:
-        ids = [i for i in self._ids(spark, "state") if i < batch_id]
-        if not ids:
+        last = batch_id - 1
+        if not fs.exists(spark, f"{self.tracker}/state-{last}.json"):   # empty batches leave no state
+            last = max((i for i in self._ids(spark, "state") if i < batch_id), default=None)
+        if last is None:
             return {"max_event_time": None, "pending": []}
-        return json.loads(fs.read_text(spark, f"{self.tracker}/state-{ids[-1]}.json"))
+        return json.loads(fs.read_text(spark, f"{self.tracker}/state-{last}.json"))
 
     def _save(self, spark: SparkSession, batch_id: int, state: dict, committed_now: list) -> None:
         fs.write_text(spark, f"{self.tracker}/commits-{batch_id}.json", json.dumps(committed_now, sort_keys=True))
         fs.write_text(spark, f"{self.tracker}/state-{batch_id}.json", json.dumps(state, sort_keys=True))
-        for old in self._ids(spark, "state")[:-self.RETAIN]:
-            fs.delete(spark, f"{self.tracker}/state-{old}.json")
 
     def committed(self, spark: SparkSession) -> list[dict]:
         """Partitions committed so far (read from the commit log)."""
@@ -116,14 +119,14 @@ class PartitionCommitSink:
         key = lambda vals: json.dumps(vals, sort_keys=True)
         # new data, or late data for a committed partition: (re)commit
         pending = {key(p) for p in state["pending"]}
-        pending |= {key({c: str(r[c]) for c in self.partition_cols}) for r in stats}
+        pending |= {key({c: str(r[c]) for c in self.partition_cols}) for r in stats
+                    if all(r[c] is not None for c in self.partition_cols)}
         ready = set()
         if mx is not None:
             watermark = mx - self.wm_delay
             ready = {k for k in pending
                      if watermark > partition_time(self.pattern, json.loads(k)) + self.commit_delay}
-            for k in sorted(ready):
-                self._commit(spark, json.loads(k))
+            self._commit(spark, [json.loads(k) for k in sorted(ready)])
         state = {"max_event_time": mx.strftime(_TS_FMT) if mx else None,
                  "pending": [json.loads(k) for k in sorted(pending - ready)]}
         self._save(spark, batch_id, state, [json.loads(k) for k in sorted(ready)])
@@ -159,14 +162,25 @@ class PartitionCommitSink:
             if n != done:
                 fs.delete(spark, f"{part}/{n}")
 
-    def _commit(self, spark: SparkSession, vals: dict) -> None:
-        if self.compact_on_commit:
-            self.compact(spark, vals)
-        sub = "/".join(f"{c}={vals[c]}" for c in self.partition_cols)
-        fs.write_text(spark, f"{self.path}/{sub}/_SUCCESS", "")
-        if self.table:
+    def _commit(self, spark: SparkSession, partitions: list[dict]) -> None:
+        """Commit the partitions of one batch: their markers, and one statement for the catalog."""
+        specs = []
+        for vals in partitions:
+            sub = "/".join(f"{c}={vals[c]}" for c in self.partition_cols)
+            before = self._batches(spark, sub)
+            if self.compact_on_commit:
+                self.compact(spark, vals)
+            now = self._batches(spark, sub)
+            fs.write_text(spark, f"{self.path}/{sub}/_SUCCESS", "")
             spec = ", ".join(f"{c} = '{vals[c]}'" for c in self.partition_cols)
-            spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS PARTITION ({spec})")
+            specs += [f"PARTITION ({spec}, batch_id = '{b}')" for b in now]
+            for gone in sorted(set(before) - set(now)) if self.table else []:
+                spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec}, batch_id = '{gone}')")
+        if self.table and specs:
+            spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {' '.join(specs)}")
+
+    def _batches(self, spark: SparkSession, sub: str) -> list[str]:
+        return [n[len("batch_id="):] for n in fs.list_names(spark, f"{self.path}/{sub}") if n.startswith("batch_id=")]
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.option("basePath", self.path).format(self.fmt).load(self.path)

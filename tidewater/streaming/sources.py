@@ -2,62 +2,39 @@
 
 Production streams come from Kafka (``kafka_source``; the connector jar
 must be on the classpath).  Locally, and in tests, a table is replayed as a
-file stream: Spark writes it into a folder as ordered chunks and the file
-source reads one or more chunks per micro-batch.
+file stream: Spark writes it into a folder in one parallel pass and the file
+source reads the files in one or more micro-batches.
 """
 
 from __future__ import annotations
 
+import datetime
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tidewater.session import scratch_dir
 
 
-def replay_as_files(df: DataFrame, order_col: str, chunks: int, name: str = "replay",
-                    fmt: str = "parquet", shuffled: bool = False, path: str | None = None,
-                    rows_per_chunk: int = 2_000_000) -> str:
-    """Write ``df`` as a stream of files ordered by ``order_col`` and return the folder.
+def replay_as_files(df: DataFrame, order_col: str, files: int, name: str = "replay",
+                    fmt: str = "parquet", shuffled: bool = False, path: str | None = None) -> str:
+    """Append ``df`` to a folder of stream files and return the folder.
 
-    One parallel pass tags each row with its chunk (equal-width slices of
-    ``order_col``) and stages the table partitioned by chunk; then each chunk
-    is appended as one file, in order, so file times follow event time and a
-    file stream with ``maxFilesPerTrigger=1`` replays one chunk per
-    micro-batch.  At least ``chunks`` chunks are made, more when needed to
-    keep a chunk under ``rows_per_chunk`` rows, so no single writer handles
-    more than a bounded slice.  ``shuffled=True`` appends the chunks in a
-    scrambled order, to replay late and out-of-order data.
+    One parallel write: ``files`` range partitions of ``order_col``, each file
+    written by its own task.  With ``shuffled=True`` every file holds rows from
+    all over the range, so most rows come late and out of order.
     """
-    spark = df.sparkSession
-    path = path or scratch_dir(spark, name)
-    num = F.col(order_col)
-    if dict(df.dtypes)[order_col].startswith("timestamp"):
-        num = F.unix_micros(num.cast("timestamp"))
-    num = num.cast("double")
-    lo, hi, n = df.select(F.min(num), F.max(num), F.count(F.lit(1))).first()
-    if not n:
-        df.limit(0).write.mode("append").format(fmt).save(path)
-        return path
-    chunks = max(chunks, -(-n // rows_per_chunk))
-    width = max(hi - lo, 1e-9)
-    pos = (num - F.lit(lo)) / F.lit(width) * chunks
-    stage = scratch_dir(spark, f"{name}-stage")
-    (df.withColumn("_chunk", F.least(F.lit(chunks - 1), F.floor(pos).cast("int")))
-       .write.partitionBy("_chunk").parquet(stage))
-    staged_schema = StructType(list(df.schema.fields) + [StructField("_chunk", StringType())])
-    staged = spark.read.schema(staged_schema).parquet(stage)
-    order = list(range(chunks))
-    if shuffled:
-        order = order[1::2] + order[0::2]
-    for i in order:
-        part = staged.where(F.col("_chunk") == str(i)).drop("_chunk")
-        part.coalesce(1).write.mode("append").format(fmt).save(path)  # <= rows_per_chunk rows
+    path = path or scratch_dir(df.sparkSession, name)
+    dealt = df.repartition(files, F.hash(F.col(order_col))) if shuffled else df.repartitionByRange(files, order_col)
+    dealt.write.mode("append").format(fmt).save(path)
     return path
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = 1, options: dict | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+    """A file stream; ``max_files_per_trigger`` bounds a micro-batch if given."""
     r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -94,6 +71,12 @@ def with_event_time(df: DataFrame, col: str, delay: str, out: str | None = None)
     return df.withColumn(out, c).withWatermark(out, delay)
 
 
+def yesterday_start_ms(today: datetime.date, zone: str = "UTC") -> int:
+    """Epoch milliseconds of 00:00 of the day before ``today``, a stream's start time."""
+    start = datetime.datetime.combine(today - datetime.timedelta(days=1), datetime.time(), ZoneInfo(zone))
+    return int(start.timestamp() * 1000)
+
+
 def run_to_end(writer, checkpoint: str):
     """Run a configured ``DataStreamWriter`` over all available input, then stop."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.rank import top_n
 from tidewater.session import scratch_dir
+from tidewater.sources import fs
 
 
 class TopNState:
@@ -45,17 +46,17 @@ class TopNState:
         touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # <= buckets values
         if not touched:
             return
-        try:
+        merged = fresh
+        if fs.exists(spark, self.path):     # any other trouble with the state fails the batch
             old = spark.read.parquet(self.path).where(F.col("_bucket").isin(touched)).drop(self.rank_col)
             merged = old.unionByName(fresh)
-        except Exception:  # first batch: no state yet
-            merged = fresh
         merged = merged.dropDuplicates(self.keys + self.unique)  # a retried batch adds nothing
         ranked = top_n(merged, self.keys, self.order, self.n, self.rank_col)
         stage = scratch_dir(spark, f"topn-stage-{batch_id}")
         ranked.write.mode("overwrite").partitionBy("_bucket").parquet(stage)
         (spark.read.schema(ranked.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("_bucket").parquet(self.path))
+        fs.delete(spark, stage)
 
 
 # ---------------------------------------------------------------------------
@@ -69,6 +70,14 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import IntegerType, StructField, StructType  # noqa: E402
 
 
+def _in_order(frame: pd.DataFrame, order: list[tuple[str, bool]]) -> pd.DataFrame:
+    """Sorted as Spark sorts: NULLs first ascending, last descending."""
+    for c, descending in reversed(order):
+        frame = frame.sort_values(c, ascending=not descending, kind="mergesort",
+                                  na_position="last" if descending else "first")
+    return frame
+
+
 class _TopNProcessor(StatefulProcessor):
     """Per key: merge the batch's rows into the stored top-N, emit the new top-N.
 
@@ -86,9 +95,7 @@ class _TopNProcessor(StatefulProcessor):
         self.top = handle.getListState("top", self.value_schema, self.ttl_ms)
 
     def _best(self, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(self.unique)
-        return frame.sort_values([c for c, _ in self.order], ascending=[not d for _, d in self.order],
-                                 kind="mergesort").head(self.n)
+        return _in_order(frame.drop_duplicates(self.unique), self.order).head(self.n)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         names = self.value_schema.names
@@ -123,6 +130,12 @@ def stateful_top_n(stream: DataFrame, keys: Sequence[str], order: Sequence[tuple
     value_schema = StructType(values)
     out_schema = StructType(values + [StructField(rank_col, IntegerType())])
     proc = _TopNProcessor(value_schema, list(order), list(unique), n, rank_col, ttl_ms)
-    return (stream.groupBy(*keys)
+
+    def best_of_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # before the shuffle: n rows per key and Arrow batch, however hot the key
+        for f in frames:
+            yield _in_order(f.drop_duplicates([*keys, *unique]), list(order)).groupby(list(keys), dropna=False).head(n)
+
+    return (stream.mapInPandas(best_of_batch, stream.schema).groupBy(*keys)
                   .transformWithStateInPandas(proc, out_schema, outputMode="Update",
                                               timeMode="ProcessingTime" if ttl_ms else "None"))
