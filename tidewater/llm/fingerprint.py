@@ -29,6 +29,8 @@ from tidewater.llm.base import let, pick, register, table, words
 SHINGLE = 5
 FRACTION = 1 / 4
 BLOCK_BITS = 12
+#: The block of rows without an id; no id's block is as small.
+NO_ID = -(1 << 63)
 
 
 def shingle_hashes(text: Column, k: int = SHINGLE) -> Column:
@@ -71,18 +73,19 @@ def as_string(s: Column) -> Column:
 
 def with_next(docs: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     """doc_id, text, next_text for rows (doc_id, text)."""
-    rows = docs.withColumn("block", F.shiftright("doc_id", bits))
+    rows = docs.withColumn("block", F.coalesce(F.shiftright("doc_id", bits), F.lit(NO_ID)))
     down = Window.partitionBy("block").orderBy(F.col("doc_id").desc(), F.col("text").desc())
     so_far = down.rowsBetween(Window.unboundedPreceding, 0)
     prior = F.when(F.lag("doc_id").over(down) > F.col("doc_id"), F.lag("text").over(down))
     inside = rows.withColumn("prior", prior).withColumn("prior", F.last("prior", ignorenulls=True).over(so_far))
-    return (inside.join(_first_of_next_block(rows, bits), F.col("block").eqNullSafe(F.col("of_block")), "left")
+    # the window's partitioning serves the join, so the texts move once
+    return (inside.join(_first_of_next_block(rows, bits), "block", "left")
             .select("doc_id", "text", F.coalesce("prior", "first_text").alias("next_text")))
 
 
 def _first_of_next_block(rows: DataFrame, bits: int) -> DataFrame:
-    """(of_block, first_text): for each block the text that follows its largest
-    id; block null (rows without id) is followed by the first document."""
+    """(block, first_text): for each block the text that follows its largest
+    id; rows without id are followed by the first document."""
     firsts = (rows.where("doc_id is not null").groupBy("block")
               .agg(F.min(F.struct("doc_id", "text")).alias("first")))
     up = firsts.withColumn("group", F.shiftright("block", bits))
@@ -94,8 +97,7 @@ def _first_of_next_block(rows: DataFrame, bits: int) -> DataFrame:
                            F.first("head").over(wrap).alias("first_doc"))
     out = chained.join(groups, "group").select("block", F.coalesce("next", "after")["text"].alias("first_text"))
     nulls = groups.where("group is not null").agg(F.min("first_doc")["text"].alias("first_text"))
-    return out.unionByName(nulls.select(F.lit(None).cast("bigint").alias("block"), "first_text")).select(
-        F.col("block").alias("of_block"), "first_text")
+    return out.unionByName(nulls.select(F.lit(NO_ID).alias("block"), "first_text"))
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
