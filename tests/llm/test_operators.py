@@ -264,3 +264,13 @@ def test_op10_later_models_see_earlier_out_of_fold_probabilities():
     chain = toxicity.Chain(("a",), ("first", "second"), models)
     p = chain.probabilities(x)
     assert ((p[:, 0] > 0.5) == first).mean() > 0.97 and ((p[:, 1] > 0.5) == second).mean() > 0.85
+
+
+def test_word_hashes_are_those_of_the_words(monkeypatch):
+    raw = ("aa b\tccc\n" * 40 + "é日 x" + " " * 9 + "longer" * 30).encode()
+    whole = base.WordHasher()(raw)
+    one = base.WordHasher()
+    assert whole.tolist() == [int(one(w)[0]) for w in raw.split()]
+    monkeypatch.setattr(base.WordHasher, "PIECE", 16)           # pieces end at white space, whatever their size
+    assert base.WordHasher()(raw).tolist() == whole.tolist()
+    assert len(set(whole.tolist())) == len(set(raw.split())) and len(base.WordHasher()(b"")) == 0

@@ -28,11 +28,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.base import pick, register, table
+from tidewater.llm.base import WordHasher, pick, register, table
 
 GRAM = 2
 #: Diagonals this far apart (in words) can be one span with words put in or left out.
@@ -78,13 +77,13 @@ _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <=
                   for c in range(256))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of a whole text, as UTF-8."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_TO_WORDS).split()
+def spaced(text: str | None) -> bytes:
+    """A whole text as UTF-8, lower-cased, with spaces for all that is no word."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_TO_WORDS)
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+def words_of(text: str | None) -> list[bytes]:
+    return spaced(text).split()
 
 
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -98,8 +97,7 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def _gram_hash(words: list[str]) -> int:
     """The hash of one k-gram, as a signed 64-bit number."""
-    h = np.array([_hash(w.encode()) for w in words], dtype=np.uint64)
-    return int(gram_hashes(h, len(h)).view(np.int64)[0])
+    return int(gram_hashes(WordHasher()(" ".join(words).encode()), len(words)).view(np.int64)[0])
 
 
 def template_positions(spark: SparkSession, templates=TEMPLATES, k: int = GRAM) -> DataFrame:
@@ -121,19 +119,19 @@ class Scanner:
 
     def __init__(self, grams: list[str], k: int):
         self.k = k
-        self.cache: dict[bytes, int] = {}
+        self.hashes = WordHasher()
         self.known = np.sort(np.array([_gram_hash(g.split(" ")) for g in grams], dtype=np.int64))
 
     def __call__(self, text: str | None) -> tuple[int, list[int], list[int], list[str]]:
-        words = words_of(text)
-        if len(self.cache) > 500_000:
-            self.cache.clear()
-        get, put = self.cache.get, self.cache.setdefault
-        hashes = np.fromiter((get(w) or put(w, _hash(w)) for w in words), dtype=np.uint64, count=len(words))
+        raw = spaced(text)
+        hashes = self.hashes(raw)
         rolling = gram_hashes(hashes, self.k).view(np.int64)
+        if not len(rolling):
+            return len(hashes), [], [], []
         spot = np.minimum(np.searchsorted(self.known, rolling), len(self.known) - 1)
-        hits = np.flatnonzero(self.known[spot] == rolling).tolist() if len(rolling) else []
-        return len(words), hits, rolling[hits].tolist(), [b" ".join(words[i:i + self.k]).decode("utf-8", "replace") for i in hits]
+        hits = np.flatnonzero(self.known[spot] == rolling).tolist()
+        words = raw.split() if hits else []
+        return len(hashes), hits, rolling[hits].tolist(), [b" ".join(words[i:i + self.k]).decode("utf-8", "replace") for i in hits]
 
 
 def scan_column(text: Column, templates=TEMPLATES, k: int = GRAM) -> Column:
