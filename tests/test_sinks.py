@@ -93,3 +93,23 @@ def test_overwrite_partition_with_empty_input_empties_it(spark, tmp_out):
     empty = spark.createDataFrame([], "k string, v int, data_op_type string, data_op_ts timestamp_ntz")
     sinks.overwrite_partition(empty, path, {"p_day": "2020-11-01"})
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == ["k3"]
+
+
+def test_print_sinks(spark, tmp_out, capsys):
+    from tidewater.streaming.sinks import console
+    from tidewater.streaming.sources import file_stream, replay_as_files, run_to_end
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    sinks.show(df.select("k"))
+    assert "k1" in capsys.readouterr().out
+    stream = file_stream(spark, replay_as_files(df, "v", 1), df.schema)
+    run_to_end(console(stream), tmp_out("console-ckpt"))       # it prints from the JVM: only that it runs
+
+
+def test_tables_added_later_are_seen(spark, tmp_out):
+    from tidewater.sources.tables import read_table
+    root = tmp_out("grow")
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    df.write.parquet(f"{root}/customer.parquet")
+    assert read_table(spark, root, "customer").count() == 3
+    df.write.mode("append").parquet(f"{root}/customer.parquet")
+    assert read_table(spark, root, "customer").count() == 6

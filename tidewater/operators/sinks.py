@@ -8,6 +8,7 @@ replaces only the partitions present in the data being written.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -35,11 +36,25 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
     """Dynamic overwrite: replace the partitions present in ``df``.  A first
     load has none to replace and is written straight into place."""
     from tidewater.sources import fs
-    if not fs.exists(df.sparkSession, path):
-        append(df, path, partition_cols, fmt)
-        return
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).format(fmt).save(path))
+    with _file_bound(df):
+        if not fs.exists(df.sparkSession, path):
+            append(df, path, partition_cols, fmt)
+        else:
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(*partition_cols).format(fmt).save(path))
+
+
+@contextmanager
+def _file_bound(df: DataFrame):
+    """A write of many small partitions costs by the file, not by the byte: for
+    its time AQE does not merge small shuffle partitions into one writer."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    old = conf.get(key)
+    conf.set(key, "1b")
+    try:
+        yield
+    finally:
+        conf.set(key, old)
 
 
 def append(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:

@@ -92,23 +92,23 @@ def stream_partition_counts(spark, sf_dir):
 
 
 @register("stream_dhm_table", """
-WITH e AS (SELECT user_id, value, ts, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS h,
-                  CASE WHEN minute(ts) < 30 THEN '00' ELSE '30' END AS m FROM events),
+WITH e AS (SELECT user_id, value, ts, strftime(ts, '%Y-%m-%d') AS dt,
+                  lpad(CAST(hour(ts) - hour(ts) % 6 AS VARCHAR), 2, '0') AS h, '00' AS m FROM events),
 w AS (SELECT date_trunc('second', max(ts)) - INTERVAL 3 SECOND AS wm FROM events)
 SELECT user_id, value, dt, h, m FROM e
-WHERE CAST(dt || ' ' || h || ':' || m || ':00' AS TIMESTAMP) + INTERVAL 30 MINUTE < (SELECT wm FROM w)""")
+WHERE CAST(dt || ' ' || h || ':' || m || ':00' AS TIMESTAMP) + INTERVAL 6 HOUR < (SELECT wm FROM w)""")
 def stream_dhm_table(spark, sf_dir):
-    """The dt/h/m sink; its committed rows, read back through the catalog table."""
+    """The dt/h/m sink, a partition for every six hours; its committed rows, read back through the catalog table."""
     import uuid
     s = with_event_time(_events_stream(spark, sf_dir), "ts", "3 seconds", out="event_time")
-    half = F.when(F.minute("event_time") < 30, F.lit("00")).otherwise(F.lit("30"))
+    hour = F.hour("event_time")
     s = s.select("user_id", "value", "event_time", F.date_format("event_time", "yyyy-MM-dd").alias("dt"),
-                 F.date_format("event_time", "HH").alias("h"), half.alias("m"))
+                 F.lpad((hour - hour % 6).cast("string"), 2, "0").alias("h"), F.lit("00").alias("m"))
     path, name = scratch_dir(spark, "dhm-table"), f"dhm_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {name} (user_id BIGINT, value DOUBLE, event_time TIMESTAMP, dt STRING, h STRING, m STRING, "
               f"batch_id STRING) USING parquet PARTITIONED BY (dt, h, m, batch_id) LOCATION '{path}'")
     sink = PartitionCommitSink(path, ["dt", "h", "m"], "event_time", "$dt $h:$m:00", watermark_delay="3 seconds",
-                               commit_delay="30 minutes", table=name)
+                               commit_delay="6 hours", table=name)
     run_to_end(s.writeStream.foreachBatch(sink), scratch_dir(spark, "ckpt-dhm"))
     return spark.table(name).select("user_id", "value", "dt", "h", "m")
 

@@ -17,14 +17,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The input table as a DataFrame.  Input tables are immutable, so the
-    resolved reader (file listing + footer schema) is reused per session."""
-    key = (id(spark), table_path(sf_dir, name))
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _READS[key] = spark.read.parquet(key[1])
-    return df
+    """The input table as a DataFrame, listed anew: files added since the last
+    read (a dimension that changes under a stream) are seen."""
+    return spark.read.parquet(table_path(sf_dir, name))

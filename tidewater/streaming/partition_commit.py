@@ -167,14 +167,14 @@ class PartitionCommitSink:
         specs = []
         for vals in partitions:
             sub = "/".join(f"{c}={vals[c]}" for c in self.partition_cols)
-            before = self._batches(spark, sub)
+            before = self._batches(spark, sub) if self.table else []
             if self.compact_on_commit:
                 self.compact(spark, vals)
-            now = self._batches(spark, sub)
+            now = self._batches(spark, sub) if self.table and self.compact_on_commit else before
             fs.write_text(spark, f"{self.path}/{sub}/_SUCCESS", "")
             spec = ", ".join(f"{c} = '{vals[c]}'" for c in self.partition_cols)
             specs += [f"PARTITION ({spec}, batch_id = '{b}')" for b in now]
-            for gone in sorted(set(before) - set(now)) if self.table else []:
+            for gone in sorted(set(before) - set(now)):
                 spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({spec}, batch_id = '{gone}')")
         if self.table and specs:
             spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {' '.join(specs)}")
