@@ -13,16 +13,15 @@ similarity.
 
 *Candidates.*  Equal texts are one class from the start.  Signatures are cut
 into bands; texts with an equal band share a bucket.  Buckets are joined
-without forming their pairs.  First every member is paired with the bucket's
-centre (least priority, the same for a text in all its buckets), pairs are
-verified on the shingles and verified pairs contracted to components.  Then,
-in buckets that still hold several components, every text outside the largest
-one is compared with all members by signature (one byte a coordinate, inside
-the task), and paired with the most alike of other components if the estimate
-does not rule them out.  This repeats until a round adds no link.  Buckets of
-over ``SLOT`` texts are dealt into slots of that size for the second step, so
-no group is ever gathered as a whole; a text meets 24 different samples of such
-a bucket, and its centre in any case.
+without forming their pairs.  A member is paired with the bucket's centre (its
+least text) and with the members that are most alike by signature (one byte a
+coordinate, compared inside the task), unless the estimate rules a pair out.
+Pairs are verified on the shingles, and verified pairs contracted to
+components.  In buckets that still hold several components, every text outside
+the largest one looks again among the others; this repeats until a round adds
+no link.  Buckets of over ``SLOT`` texts are dealt into slots of that size for
+the comparisons, so no group is ever gathered as a whole; a text meets 24
+different samples of such a bucket, and its centre in any case.
 
 Defined results: null and empty texts are one class; texts of fewer than five
 words have a single shingle; rows with the same doc_id count as one document;
@@ -37,11 +36,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.base import pick, register, stored, table
+from tidewater.llm.base import WordHasher, fresh, mix, pick, register, stored, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -58,13 +56,6 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(n) for n in range(20)])
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finalizer (splitmix64's constants)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def unit(x: np.ndarray) -> np.ndarray:
     """Uniform numbers in [0, 1) from hashes."""
     return (x >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
@@ -113,16 +104,12 @@ class Shingler:
 
     def __init__(self, k: int = SHINGLE):
         self.k = k
-        self.cache: dict[bytes, int] = {}
+        self.hashes = WordHasher()
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        if not words:
+        h = self.hashes((text or "").encode("utf-8", "surrogatepass"))
+        if not len(h):
             return np.zeros(0, dtype=np.uint64), np.zeros(0)
-        if len(self.cache) > 500_000:
-            self.cache.clear()
-        get, put = self.cache.get, self.cache.setdefault
-        h = np.fromiter((get(w) or put(w, xxhash.xxh3_64_intdigest(w)) for w in words), dtype=np.uint64, count=len(words))
         k = min(self.k, len(h))
         rolling = np.zeros(len(h) - k + 1, dtype=np.uint64)
         for j in range(k):
@@ -179,8 +166,9 @@ def estimates(brief: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def partners(node: np.ndarray, comp: np.ndarray, brief: np.ndarray) -> list[tuple[int, int]]:
     """Pairs of one slot: each text outside the largest component, with the most alike texts of other components."""
-    names, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
-    rows = np.flatnonzero(which != np.argmax(sizes))
+    _, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
+    # while all are alone, every text looks for partners
+    rows = np.flatnonzero(which != np.argmax(sizes)) if sizes.max() > 1 else np.arange(len(node))
     alike = estimates(brief, rows)
     alike[which[rows][:, None] == which[None, :]] = -1
     out = []
@@ -255,9 +243,22 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _further_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame) -> DataFrame:
+def likely(pairs: DataFrame, briefs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the signature estimate does not rule out."""
+    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            x, y = (np.frombuffer(b"".join(c), dtype=np.uint8).reshape(len(c), -1) for c in (a, b))
+            yield pd.Series(((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256))
+
+    side = lambda c: briefs.select(F.col("node").alias(c), F.col("brief").alias(f"brief_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(
+        F.pandas_udf(alike, "double")("brief_a", "brief_b") >= LEAST_ESTIMATE).select("a", "b")
+
+
+def _slot_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame) -> DataFrame:
     """(a, b): promising pairs of texts that share a bucket but not yet a component."""
-    named = shared.join(groups, "node").withColumn("slot", F.pmod(F.xxhash64("bucket", "node"), F.ceil(F.col("n") / SLOT)))
+    named = shared.where("n > 2").join(groups, "node").withColumn(
+        "slot", F.pmod(F.xxhash64("bucket", "node"), F.ceil(F.col("n") / SLOT)))
     split = (named.groupBy("bucket", "slot").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("bucket", "slot"))
     rows = named.join(split, ["bucket", "slot"]).join(briefs, "node").select("bucket", "slot", "node", "comp", "brief")
@@ -269,38 +270,42 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """node, text_class, class_id for every document: the least document with
     the same text, and the least of its group of near-duplicates."""
     src = pick(docs, doc_id=id_col, text=text_col).select(node_key(F.col("doc_id"), F.col("text")).alias("node"), "text")
-    rows = src.select("node", F.md5(F.coalesce("text", F.lit(""))).alias("hash"), "text")
+    rows = src.select("node", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("hash"), "text")
     # classes of equal texts: only (hash, node) is shuffled
-    least = rows.groupBy("hash").agg(F.min("node").alias("text_class"))
-    classes = stored(rows.select("node", "hash").join(least, "hash").select("node", "text_class", "hash").distinct(), "text-classes")
+    names = stored(rows.select("node", "hash"), "text-names")
+    least = names.groupBy("hash").agg(F.min("node").alias("text_class"))
+    classes = stored(names.join(least, "hash").select("node", "text_class", "hash").distinct(), "text-classes")
     heads = classes.where("node = text_class").select("node", "hash")
     sigs = rows.withColumn("s", signature_column(F.col("text"))).select("node", "hash", "s.*").where("size(bucket) > 0")
     sigs = stored(sigs, "signatures")
     # one row for each different text; its copies' signatures are left behind
-    heads_of = lambda *cols: sigs.select("node", "hash", *cols).join(
-        heads, ["node", "hash"], "left_semi").dropDuplicates(["node", "hash"]).select("node", *cols)
-    banded = heads_of("bucket").select("node", F.explode("bucket").alias("bucket"), F.xxhash64("node").alias("prio"))
-    centres = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("prio", "node")).alias("c"))
-               .where("n > 1").select("bucket", "n", F.col("c.node").alias("centre")))
-    shared = stored(banded.select("node", "bucket").join(centres, "bucket"), "buckets")
-    # shingles and short signatures of the texts that share any bucket
-    details = stored(heads_of("brief", "members").join(shared.select("node").distinct(), "node", "left_semi"), "candidates")
+    banded = sigs.select("node", "hash", "bucket").join(heads, ["node", "hash"], "left_semi").select(
+        "node", F.explode("bucket").alias("bucket"))
+    centres = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"), F.max("node").alias("last"))
+               .where("centre <> last").select("bucket", "n", "centre"))
+    shared = stored(banded.join(centres, "bucket"), "buckets")
+    briefs = sigs.select("node", "hash", "brief").join(heads, ["node", "hash"], "left_semi").dropDuplicates(["node"]).select(
+        "node", "brief")
+    stars = likely(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), briefs)
+    alone = classes.select(F.col("text_class").alias("node")).distinct().withColumn("comp", F.col("node"))
+    pairs = stored(stars.unionByName(_slot_pairs(shared, alone, briefs)).distinct(), "pairs")
+    # shingles move only for texts in some pair; later rounds pair no others
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    details = sigs.join(heads.join(ends, "node"), ["node", "hash"], "left_semi").select("node", "brief", "members")
+    details = stored(details.dropDuplicates(["node"]), "candidates")
     members, briefs = details.select("node", "members"), details.select("node", "brief")
-    tried = stored(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), "stars")
-    nodes = classes.select(F.col("text_class").alias("node")).distinct()
-    groups = components(nodes, verified(tried, members))
+    groups, tried = alone, pairs
     while True:
-        pairs = _further_pairs(shared, groups, briefs).join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
         links = stored(verified(pairs, members), "links")
         if links.isEmpty():
             break
-        tried = tried.unionByName(pairs)
         of = lambda x: groups.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))  # noqa: E731,B023
         joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         merged = components(groups.select(F.col("comp").alias("node")).distinct(), joined)
         groups = stored(groups.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp")
                         .select("node", F.col("to").alias("comp")), "groups")
+        pairs = stored(_slot_pairs(shared, groups, briefs).join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
     groups = groups.select(F.col("node").alias("text_class"), F.col("comp").alias("class_id"))
     # rows that share an id are one document: it has the least class of its texts
     return stored(classes.join(groups, "text_class").groupBy("node").agg(
@@ -309,7 +314,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group; all columns as they were."""
-    from tidewater.llm.base import fresh
     heads = near_groups(docs).where("node = class_id").select("node")
     key, turn = fresh(docs, "near_key"), fresh(docs, "near_turn")
     kept = docs.withColumn(key, node_key(F.col("doc_id"), F.col("text"))).join(
