@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.base import WordHasher, fresh, mix, pick, register, stored, table
+from tidewater.llm.base import Scratch, WordHasher, fresh, mix, pick, register, stored, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -217,25 +217,26 @@ def verified(pairs: DataFrame, members: DataFrame, threshold: float = THRESHOLD)
             .select("a", "b"))
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, scratch: Scratch | None = None) -> DataFrame:
     """(node, comp): the least node of each connected component.  Each round
     hooks every component to its least neighbour, follows that hook once more,
     and contracts the edges; every round's tables are written to the shared folder."""
+    keep = (scratch or Scratch(nodes.sparkSession)).stored
     labels = nodes.select("node", F.col("node").alias("comp"))
-    edges = stored(edges.select("a", "b").distinct(), "edges")
+    edges = keep(edges.select("a", "b").distinct(), "edges")
     for _ in range(max_rounds):
         if edges.isEmpty():
             return labels
         both = edges.union(edges.select("b", "a"))
-        hook = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p")).select(F.col("a").alias("c"), "p"), "hook")
+        hook = keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("p")).select(F.col("a").alias("c"), "p"), "hook")
         nxt = hook.select(F.col("c").alias("p"), F.col("p").alias("pp"))
-        hook = stored(hook.join(nxt, "p", "left").select("c", F.coalesce("pp", "p").alias("p")), "hook")
-        labels = stored(labels.join(hook, labels["comp"] == hook["c"], "left")
+        hook = keep(hook.join(nxt, "p", "left").select("c", F.coalesce("pp", "p").alias("p")), "hook")
+        labels = keep(labels.join(hook, labels["comp"] == hook["c"], "left")
                         .select("node", F.coalesce("p", "comp").alias("comp")), "labels")
         ha, hb = (hook.select(F.col("c").alias(x), F.col("p").alias(f"p{x}")) for x in ("a", "b"))
         moved = edges.join(ha, "a", "left").join(hb, "b", "left").select(
             F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
-        edges = stored(moved.where("a <> b").distinct(), "edges")
+        edges = keep(moved.where("a <> b").distinct(), "edges")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
@@ -269,47 +270,51 @@ def _slot_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame) -> Data
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """node, text_class, class_id for every document: the least document with
     the same text, and the least of its group of near-duplicates."""
+    scratch = Scratch(docs.sparkSession)
+    keep = scratch.stored
     src = pick(docs, doc_id=id_col, text=text_col).select(node_key(F.col("doc_id"), F.col("text")).alias("node"), "text")
     rows = src.select("node", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("hash"), "text")
     # classes of equal texts: only (hash, node) is shuffled
-    names = stored(rows.select("node", "hash"), "text-names")
+    names = keep(rows.select("node", "hash"), "text-names")
     least = names.groupBy("hash").agg(F.min("node").alias("text_class"))
-    classes = stored(names.join(least, "hash").select("node", "text_class", "hash").distinct(), "text-classes")
+    classes = keep(names.join(least, "hash").select("node", "text_class", "hash").distinct(), "text-classes")
     heads = classes.where("node = text_class").select("node", "hash")
     sigs = rows.withColumn("s", signature_column(F.col("text"))).select("node", "hash", "s.*").where("size(bucket) > 0")
-    sigs = stored(sigs, "signatures")
+    sigs = keep(sigs, "signatures")
     # one row for each different text; its copies' signatures are left behind
     banded = sigs.select("node", "hash", "bucket").join(heads, ["node", "hash"], "left_semi").select(
         "node", F.explode("bucket").alias("bucket"))
     centres = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"), F.max("node").alias("last"))
                .where("centre <> last").select("bucket", "n", "centre"))
-    shared = stored(banded.join(centres, "bucket"), "buckets")
+    shared = keep(banded.join(centres, "bucket"), "buckets")
     briefs = sigs.select("node", "hash", "brief").join(heads, ["node", "hash"], "left_semi").dropDuplicates(["node"]).select(
         "node", "brief")
     stars = likely(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), briefs)
     alone = classes.select(F.col("text_class").alias("node")).distinct().withColumn("comp", F.col("node"))
-    pairs = stored(stars.unionByName(_slot_pairs(shared, alone, briefs)).distinct(), "pairs")
+    pairs = keep(stars.unionByName(_slot_pairs(shared, alone, briefs)).distinct(), "pairs")
     # shingles move only for texts in some pair; later rounds pair no others
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     details = sigs.join(heads.join(ends, "node"), ["node", "hash"], "left_semi").select("node", "brief", "members")
-    details = stored(details.dropDuplicates(["node"]), "candidates")
+    details = keep(details.dropDuplicates(["node"]), "candidates")
     members, briefs = details.select("node", "members"), details.select("node", "brief")
     groups, tried = alone, pairs
     while True:
-        links = stored(verified(pairs, members), "links")
+        links = keep(verified(pairs, members), "links")
         if links.isEmpty():
             break
         of = lambda x: groups.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))  # noqa: E731,B023
         joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        merged = components(groups.select(F.col("comp").alias("node")).distinct(), joined)
-        groups = stored(groups.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp")
+        merged = components(groups.select(F.col("comp").alias("node")).distinct(), joined, scratch=scratch)
+        groups = keep(groups.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp")
                         .select("node", F.col("to").alias("comp")), "groups")
-        pairs = stored(_slot_pairs(shared, groups, briefs).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = keep(_slot_pairs(shared, groups, briefs).join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
     groups = groups.select(F.col("node").alias("text_class"), F.col("comp").alias("class_id"))
     # rows that share an id are one document: it has the least class of its texts
-    return stored(classes.join(groups, "text_class").groupBy("node").agg(
+    out = stored(classes.join(groups, "text_class").groupBy("node").agg(
         F.min("text_class").alias("text_class"), F.min("class_id").alias("class_id")), "groups")
+    scratch.clear()
+    return out
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
