@@ -61,9 +61,9 @@ def test_lines_are_shuffled_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         m = OrderModel(spark, SF_SMALL)
-        for df, most in ((facts.retail_submit_fact(m), 6), (facts.retail_pay_fact(m), 9)):
+        for df, most in ((facts.retail_submit_fact(m), 6), (facts.retail_pay_fact(m), 10)):
             plan = df._jdf.queryExecution().executedPlan().toString()
-            assert plan.count("Exchange hashpartitioning") <= most + 4      # dimensions: two joins, two sides
+            assert plan.count("Exchange hashpartitioning") <= most + 4      # 4: two dimension joins of two sides
             assert plan.count("FileScan parquet [l_orderkey") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

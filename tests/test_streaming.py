@@ -184,7 +184,7 @@ def test_stateful_top_n_matches_batch(spark, tmp_out):
 def test_partition_compaction_on_commit(spark, tmp_out):
     e = _events(spark).where(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"))
     src = replay_as_files(e, "ts", 4, name="cmp-src")
-    s = with_event_time(file_stream(spark, src, e.schema), "ts", "0 seconds", out="event_time")
+    s = with_event_time(file_stream(spark, src, e.schema, max_files_per_trigger=1), "ts", "0 seconds", out="event_time")
     s = s.select("event_id", "event_time", F.date_format("event_time", "yyyy-MM-dd").alias("dt"))
     path = tmp_out("cmp-table")
     sink = PartitionCommitSink(path, ["dt"], "event_time", "$dt 00:00:00", commit_delay="1 day",
