@@ -17,7 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 #: Rows per Arrow batch: texts can be long, so batches are kept short.
-ARROW_ROWS = "1000"
+ARROW_ROWS = "250"
 
 
 def register(name: str, oracle: str | None = None):

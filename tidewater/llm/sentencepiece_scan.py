@@ -32,6 +32,7 @@ import heapq
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,7 +105,7 @@ class Pieces:
             return True
         got = self.pairs.get((a, b))
         if got is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 100_000:
                 self.pairs.clear()
             got = self.pairs[(a, b)] = self.merge(a + b) == [a, b]
         return got
@@ -252,10 +253,13 @@ def encode_column(model: bytes, text: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = sentencepiece.SentencePieceProcessor(model_proto=model)
         for batch in batches:
-            texts = [t or "" for t in batch]
-            ids = coder.encode(texts, num_threads=1) if texts else []
-            back = coder.decode(ids, num_threads=1) if texts else []
-            yield pd.DataFrame({"ids": ids, "round_trip": [b == t.replace(SPACE, " ") for b, t in zip(back, texts)]})
+            # one text's Python integers at a time; a batch is held as packed arrays
+            ids, same = [], []
+            for t in batch:
+                got = coder.encode(t or "")
+                same.append(coder.decode(got) == (t or "").replace(SPACE, " "))
+                ids.append(np.array(got, dtype=np.int32))
+            yield pd.DataFrame({"ids": ids, "round_trip": same})
 
     return F.pandas_udf(run, "ids array<int>, round_trip boolean")(text)
 
@@ -319,7 +323,7 @@ def encode_giants(giants: DataFrame, model: bytes, size: int = CHUNK) -> DataFra
             for body, right, begin, end in zip(b["body"], b["right"], b["entry"], b["exit"]):
                 part = body[begin:] + right[:end] if begin <= len(body) else ""
                 got = pieces.encode(part) if part else []
-                ids.append(got)
+                ids.append(np.array(got, dtype=np.int32))
                 back.append(_spell(pieces, got) == part)
             yield pd.DataFrame({"row": b["row"], "k": b["k"], "doc_id": b["doc_id"], "n_chars": b["n_chars"],
                                 "ids": ids, "ok": back})

@@ -72,7 +72,7 @@ class Featurizer:
     def hits(self, word: str) -> tuple[int, ...]:
         got = self.cache.get(word)
         if got is None:
-            if len(self.cache) > 300_000:
+            if len(self.cache) > 100_000:
                 self.cache.clear()
             got = self.cache[word] = tuple(self.index[t] for t in terms_of(word) if t in self.index)
         return got
