@@ -157,6 +157,33 @@ def test_op3_groups_equal_all_pairs(spark):
     assert {r.doc_id for r in dart_minhash.one_of_each(df).collect()} == set(want.values())
 
 
+def template_texts(pairs=30, alone=60):
+    """Texts just under the threshold to each other, some of them with one other just over it."""
+    rng = np.random.default_rng(5)
+    base_words = [f"t{n}" for n in range(600)]
+    texts, places = {}, None
+    for n in range(2 * pairs + alone):
+        second = n < 2 * pairs and n % 2
+        if second:                              # three edits are the first one's, six its own
+            free = np.setdiff1d(np.arange(118), places)
+            places = np.r_[places[:3], rng.choice(free, 6, replace=False)]
+        else:
+            places = rng.choice(118, 9, replace=False)
+        w = list(base_words)
+        for k, at in enumerate(places):
+            w[at * 5 + 4] = f"new{n - 1 if second and k < 3 else n}"
+        texts[n] = " ".join(w)
+    return texts
+
+
+def test_op3_links_within_a_family_under_the_threshold(spark):
+    texts = template_texts()
+    want = brute_groups(texts)
+    assert len(set(want.values())) == 88
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.node: r.class_id for r in dart_minhash.near_groups(df).collect()} == want
+
+
 def test_op3_signature_agreement_estimates_weighted_similarity():
     rng = np.random.default_rng(2)
     e = rng.integers(0, 2 ** 62, 300).astype(np.uint64)

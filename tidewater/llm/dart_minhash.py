@@ -18,8 +18,9 @@ least text) and with the members that are most alike by signature (one byte a
 coordinate, compared inside the task), unless the estimate rules a pair out.
 Pairs are verified on the shingles, and verified pairs contracted to
 components.  In buckets that still hold several components, every text outside
-the largest one looks again among the others; this repeats until a round adds
-no link.  Buckets of over ``SLOT`` texts are dealt into slots of that size for
+the largest one looks again among the others; this repeats, with four times the
+partners each round, until no pair that the estimate allows is left untried
+between two components.  Buckets of over ``SLOT`` texts are dealt into slots of that size for
 the comparisons, so no group is ever gathered as a whole; a text meets 24
 different samples of such a bucket, and its centre in any case.
 
@@ -46,7 +47,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 COORDINATES = BANDS * ROWS
 #: Texts compared at once within a bucket, partners that a text is paired with
-#: there, and the estimate below which a pair is ruled out (over four standard
+#: there in the first rounds, and the estimate below which a pair is ruled out (over four standard
 #: errors of the estimate under the threshold).
 SLOT = 2048
 PARTNERS = 3
@@ -164,42 +165,49 @@ def estimates(brief: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return (agree - 1 / 256) / (1 - 1 / 256)
 
 
-def partners(node: np.ndarray, comp: np.ndarray, brief: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of one slot: each text outside the largest component, with the most alike texts of other components."""
+def partners(node: np.ndarray, comp: np.ndarray, brief: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs (a, b) of one slot: each text outside the largest component, with up to
+    ``most`` of the most alike texts of other components; and whether some text has more."""
     _, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
     # while all are alone, every text looks for partners
     rows = np.flatnonzero(which != np.argmax(sizes)) if sizes.max() > 1 else np.arange(len(node))
     alike = estimates(brief, rows)
     alike[which[rows][:, None] == which[None, :]] = -1
-    out = []
+    found, cut = [], False
     for r, line in zip(rows, alike):
-        for j in np.argsort(-line, kind="stable")[:PARTNERS]:
-            if line[j] >= LEAST_ESTIMATE:
-                out.append((int(min(node[r], node[j])), int(max(node[r], node[j]))))
-    return out
-
-
-def slot_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``partners`` of every slot in rows sorted by (bucket, slot); a slot may go on in the next batch."""
-    rest = None
-    for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        key = rows[["bucket", "slot"]].to_numpy()
-        starts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]
-        rest = rows.iloc[starts[-1]:]
-        yield _pairs_in(rows.iloc[:starts[-1]], starts)
-    if rest is not None and len(rest):
-        yield _pairs_in(rest, np.array([0, len(rest)]))
-
-
-def _pairs_in(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-    node, comp = rows["node"].to_numpy(), rows["comp"].to_numpy()
-    brief = np.frombuffer(b"".join(rows["brief"]), dtype=np.uint8).reshape(len(rows), -1) if len(rows) else None
-    out: list[tuple[int, int]] = []
-    for lo, hi in zip(starts[:-1], starts[1:]):
-        if hi - lo > 1 and len(rows):
-            out += partners(node[lo:hi], comp[lo:hi], brief[lo:hi])
-    return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
+        near = np.flatnonzero(line >= LEAST_ESTIMATE)
+        cut |= len(near) > most
+        near = near[np.argsort(-line[near], kind="stable")[:most]]
+        found.append(np.stack([np.full(len(near), node[r]), node[near]]))
+    ends = np.sort(np.concatenate(found, axis=1), axis=0) if found else np.zeros((2, 0), dtype=np.int64)
+    a, b = np.unique(ends, axis=1)
+    return a, b, cut
+
+
+def slot_pairs(most: int):
+    """``partners`` of every slot in rows sorted by (bucket, slot), and a row (bucket, null)
+    if some text has more; a slot may go on in the next batch."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            key = rows[["bucket", "slot"]].to_numpy()
+            starts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]
+            rest = rows.iloc[starts[-1]:]
+            for lo, hi in zip(starts[:-1], starts[1:]):
+                yield from _pairs_in(rows.iloc[lo:hi], most)
+        if rest is not None and len(rest):
+            yield from _pairs_in(rest, most)
+    return run
+
+
+def _pairs_in(rows: pd.DataFrame, most: int) -> Iterator[pd.DataFrame]:
+    brief = np.frombuffer(b"".join(rows["brief"]), dtype=np.uint8).reshape(len(rows), -1)
+    a, b, cut = partners(rows["node"].to_numpy(), rows["comp"].to_numpy(), brief, most)
+    out = pd.DataFrame({"a": a, "b": pd.array(b, dtype="Int64")})
+    if cut:
+        out = pd.concat([out, pd.DataFrame({"a": rows["bucket"].iloc[:1], "b": pd.array([None], dtype="Int64")})])
+    yield out
 
 
 def node_key(doc_id: Column, text: Column) -> Column:
@@ -256,15 +264,21 @@ def likely(pairs: DataFrame, briefs: DataFrame) -> DataFrame:
         F.pandas_udf(alike, "double")("brief_a", "brief_b") >= LEAST_ESTIMATE).select("a", "b")
 
 
-def _slot_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame) -> DataFrame:
-    """(a, b): promising pairs of texts that share a bucket but not yet a component."""
+def _slot_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame, most: int = PARTNERS) -> DataFrame:
+    """(a, b): promising pairs of texts that share a bucket but not yet a component, up to
+    ``most`` for a text; (bucket, null): buckets that have more."""
     named = shared.where("n > 2").join(groups, "node").withColumn(
         "slot", F.pmod(F.xxhash64("bucket", "node"), F.ceil(F.col("n") / SLOT)))
     split = (named.groupBy("bucket", "slot").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("bucket", "slot"))
     rows = named.join(split, ["bucket", "slot"]).join(briefs, "node").select("bucket", "slot", "node", "comp", "brief")
     return (rows.repartition("bucket", "slot").sortWithinPartitions("bucket", "slot", "node")
-            .mapInPandas(slot_pairs, "a long, b long").distinct())
+            .mapInPandas(slot_pairs(most), "a long, b long").distinct())
+
+
+def unfinished(found: DataFrame) -> DataFrame:
+    """The buckets that have more pairs than ``found`` names."""
+    return found.where("b is null").select(F.col("a").alias("bucket"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,24 +305,30 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "node", "brief")
     stars = likely(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), briefs)
     alone = classes.select(F.col("text_class").alias("node")).distinct().withColumn("comp", F.col("node"))
-    pairs = keep(stars.unionByName(_slot_pairs(shared, alone, briefs)).distinct(), "pairs")
+    found = keep(_slot_pairs(shared, alone, briefs), "found")
+    pairs = keep(stars.unionByName(found.where("b is not null")).distinct(), "pairs")
     # shingles move only for texts in some pair; later rounds pair no others
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     details = sigs.join(heads.join(ends, "node"), ["node", "hash"], "left_semi").select("node", "brief", "members")
     details = keep(details.dropDuplicates(["node"]), "candidates")
     members, briefs = details.select("node", "members"), details.select("node", "brief")
-    groups, tried = alone, pairs
+    groups, tried, most = alone, pairs, PARTNERS
     while True:
         links = keep(verified(pairs, members), "links")
-        if links.isEmpty():
+        if not links.isEmpty():
+            of = lambda x: groups.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))  # noqa: E731,B023
+            joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+            merged = components(groups.select(F.col("comp").alias("node")).distinct(), joined, scratch=scratch)
+            groups = keep(groups.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp")
+                            .select("node", F.col("to").alias("comp")), "groups")
+        # a bucket all of whose pairs have been tried is done: its components only grow
+        more = unfinished(found)
+        if more.isEmpty():
             break
-        of = lambda x: groups.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))  # noqa: E731,B023
-        joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        merged = components(groups.select(F.col("comp").alias("node")).distinct(), joined, scratch=scratch)
-        groups = keep(groups.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp")
-                        .select("node", F.col("to").alias("comp")), "groups")
-        pairs = keep(_slot_pairs(shared, groups, briefs).join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(pairs)
+        shared = keep(shared.join(more, "bucket", "left_semi"), "buckets")
+        found = keep(_slot_pairs(shared, groups, briefs, most), "found")
+        pairs = keep(found.where("b is not null").join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried, most = tried.unionByName(pairs), 4 * most
     groups = groups.select(F.col("node").alias("text_class"), F.col("comp").alias("class_id"))
     # rows that share an id are one document: it has the least class of its texts
     out = stored(classes.join(groups, "text_class").groupBy("node").agg(
