@@ -184,6 +184,13 @@ def test_op3_links_within_a_family_under_the_threshold(spark):
     assert {r.node: r.class_id for r in dart_minhash.near_groups(df).collect()} == want
 
 
+def test_op3_slots_are_compared_with_each_other(spark, monkeypatch):
+    monkeypatch.setattr(dart_minhash, "SLOT", 2)
+    texts = template_texts(30, 10)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.node: r.class_id for r in dart_minhash.near_groups(df).collect()} == brute_groups(texts)
+
+
 def test_op3_signature_agreement_estimates_weighted_similarity():
     rng = np.random.default_rng(2)
     e = rng.integers(0, 2 ** 62, 300).astype(np.uint64)

@@ -20,9 +20,10 @@ Pairs are verified on the shingles, and verified pairs contracted to
 components.  In buckets that still hold several components, every text outside
 the largest one looks again among the others; this repeats, with four times the
 partners each round, until no pair that the estimate allows is left untried
-between two components.  Buckets of over ``SLOT`` texts are dealt into slots of that size for
-the comparisons, so no group is ever gathered as a whole; a text meets 24
-different samples of such a bucket, and its centre in any case.
+between two components.  In the first round a bucket of over ``SLOT`` texts is
+dealt into slots of that size, each compared within itself; after it, every slot
+of texts outside the largest component is compared with every slot of the bucket,
+a task for each two, so no group is ever gathered as a whole.
 
 Defined results: null and empty texts are one class; texts of fewer than five
 words have a single shingle; rows with the same doc_id count as one document;
@@ -46,7 +47,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 COORDINATES = BANDS * ROWS
-#: Texts compared at once within a bucket, partners that a text is paired with
+#: Texts compared at once with as many others of a bucket, partners that a text is paired with
 #: there in the first rounds, and the estimate below which a pair is ruled out (over four standard
 #: errors of the estimate under the threshold).
 SLOT = 2048
@@ -157,41 +158,39 @@ def signature_column(text: Column) -> Column:
     return F.pandas_udf(run, "bucket array<long>, brief binary, members array<int>")(text)
 
 
-def estimates(brief: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Estimated similarity of some rows to all rows of a (texts x coordinates) byte matrix."""
-    agree = np.empty((len(rows), len(brief)))
-    for i in range(0, len(rows), 32):
-        agree[i:i + 32] = (brief[rows[i:i + 32], None, :] == brief[None, :, :]).mean(axis=2)
+def estimates(brief: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Estimated similarity of the rows ``of`` to those of ``brief``, both (texts x coordinates) byte matrices."""
+    agree = np.empty((len(of), len(brief)))
+    for i in range(0, len(of), 32):
+        agree[i:i + 32] = (of[i:i + 32, None, :] == brief[None, :, :]).mean(axis=2)
     return (agree - 1 / 256) / (1 - 1 / 256)
 
 
-def partners(node: np.ndarray, comp: np.ndarray, brief: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs (a, b) of one slot: each text outside the largest component, with up to
-    ``most`` of the most alike texts of other components; and whether some text has more."""
-    _, which, sizes = np.unique(comp, return_inverse=True, return_counts=True)
-    # while all are alone, every text looks for partners
-    rows = np.flatnonzero(which != np.argmax(sizes)) if sizes.max() > 1 else np.arange(len(node))
-    alike = estimates(brief, rows)
-    alike[which[rows][:, None] == which[None, :]] = -1
-    found, cut = [], False
+def partners(node: np.ndarray, comp: np.ndarray, brief: np.ndarray, asks: np.ndarray, answers: np.ndarray,
+             most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs (a, b) of one block: each asking text with up to ``most`` of the most alike
+    answering texts of other components; and whether some text has more."""
+    rows, others = np.flatnonzero(asks), np.flatnonzero(answers)
+    alike = estimates(brief[others], brief[rows])
+    alike[comp[rows][:, None] == comp[others][None, :]] = -1
+    found, cut = [np.zeros((2, 0), dtype=np.int64)], False
     for r, line in zip(rows, alike):
         near = np.flatnonzero(line >= LEAST_ESTIMATE)
         cut |= len(near) > most
-        near = near[np.argsort(-line[near], kind="stable")[:most]]
+        near = others[near[np.argsort(-line[near], kind="stable")[:most]]]
         found.append(np.stack([np.full(len(near), node[r]), node[near]]))
-    ends = np.sort(np.concatenate(found, axis=1), axis=0) if found else np.zeros((2, 0), dtype=np.int64)
-    a, b = np.unique(ends, axis=1)
+    a, b = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
     return a, b, cut
 
 
 def slot_pairs(most: int):
-    """``partners`` of every slot in rows sorted by (bucket, slot), and a row (bucket, null)
-    if some text has more; a slot may go on in the next batch."""
+    """``partners`` of every block in rows sorted by (bucket, asked, slot), and a row (bucket, null)
+    if some text has more; a block may go on in the next batch."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
             rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            key = rows[["bucket", "slot"]].to_numpy()
+            key = rows[["bucket", "asked", "slot"]].to_numpy()
             starts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]
             rest = rows.iloc[starts[-1]:]
             for lo, hi in zip(starts[:-1], starts[1:]):
@@ -203,7 +202,8 @@ def slot_pairs(most: int):
 
 def _pairs_in(rows: pd.DataFrame, most: int) -> Iterator[pd.DataFrame]:
     brief = np.frombuffer(b"".join(rows["brief"]), dtype=np.uint8).reshape(len(rows), -1)
-    a, b, cut = partners(rows["node"].to_numpy(), rows["comp"].to_numpy(), brief, most)
+    a, b, cut = partners(*(rows[c].to_numpy() for c in ("node", "comp")), brief,
+                         *(rows[c].to_numpy() for c in ("asks", "answers")), most)
     out = pd.DataFrame({"a": a, "b": pd.array(b, dtype="Int64")})
     if cut:
         out = pd.concat([out, pd.DataFrame({"a": rows["bucket"].iloc[:1], "b": pd.array([None], dtype="Int64")})])
@@ -264,15 +264,48 @@ def likely(pairs: DataFrame, briefs: DataFrame) -> DataFrame:
         F.pandas_udf(alike, "double")("brief_a", "brief_b") >= LEAST_ESTIMATE).select("a", "b")
 
 
-def _slot_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame, most: int = PARTNERS) -> DataFrame:
+def _slot(n: Column, salt: int = 0) -> Column:
+    return F.pmod(F.xxhash64("bucket", "node", F.lit(salt)), n)
+
+
+def _slot_pairs(shared: DataFrame, briefs: DataFrame) -> DataFrame:
+    """(a, b): promising pairs of texts within one slot of a bucket; (bucket, null): buckets that have more."""
+    rows = shared.where("n > 2").withColumn("slot", _slot(F.ceil(F.col("n") / SLOT))).join(briefs, "node").select(
+        "bucket", F.col("slot").alias("asked"), "slot", "node", F.col("node").alias("comp"), "brief",
+        F.lit(True).alias("asks"), F.lit(True).alias("answers"))
+    more = shared.where(F.col("n") > SLOT).select(F.col("bucket").alias("a"), F.lit(None).cast("long").alias("b"))
+    return _in_blocks(rows, PARTNERS).unionByName(more).distinct()
+
+
+def _block_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame, most: int) -> DataFrame:
     """(a, b): promising pairs of texts that share a bucket but not yet a component, up to
-    ``most`` for a text; (bucket, null): buckets that have more."""
-    named = shared.where("n > 2").join(groups, "node").withColumn(
-        "slot", F.pmod(F.xxhash64("bucket", "node"), F.ceil(F.col("n") / SLOT)))
-    split = (named.groupBy("bucket", "slot").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("bucket", "slot"))
-    rows = named.join(split, ["bucket", "slot"]).join(briefs, "node").select("bucket", "slot", "node", "comp", "brief")
-    return (rows.repartition("bucket", "slot").sortWithinPartitions("bucket", "slot", "node")
+    ``most`` for a text and block; (bucket, null): buckets that have more.  The texts outside a
+    bucket's largest component are dealt into slots of their own, and each of these slots is
+    compared with each slot of the bucket's texts."""
+    named = shared.join(groups, "node")
+    sizes = named.groupBy("bucket", "n", "comp").agg(F.count("*").alias("size"))
+    home = (sizes.groupBy("bucket", "n").agg(F.max(F.struct("size", "comp")).alias("home"))
+            .where(F.col("home.size") < F.col("n"))
+            .select("bucket", F.col("home.comp").alias("home"), F.ceil(F.col("n") / SLOT).alias("slots"),
+                    F.ceil((F.col("n") - F.col("home.size")) / SLOT).alias("asking")))
+    by_slot = home.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)))
+    rows = (named.withColumn("slot", _slot(F.ceil(F.col("n") / SLOT))).join(by_slot, ["bucket", "slot"])
+            .join(briefs, "node").withColumn("outside", F.col("comp") != F.col("home")))
+    to = lambda asked, slot, asks, answers: F.struct(
+        asked.alias("asked"), slot.alias("slot"), asks.alias("asks"), answers.alias("answers"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    yes, no = F.lit(True), F.lit(False)
+    answer = F.transform(upto("asking"), lambda i: to(i, F.col("slot"), no, yes))
+    ask = F.transform(upto("slots"), lambda j: to(_slot(F.col("asking"), 1), j, yes, no))
+    one = F.array(to(F.lit(0).cast("long"), F.col("slot"), F.col("outside"), yes))
+    blocks = F.when(F.col("slots") == 1, one).when(F.col("outside"), F.concat(answer, ask)).otherwise(answer)
+    return _in_blocks(rows.select("bucket", "node", "comp", "brief", F.explode(blocks).alias("x"))
+                      .select("bucket", "node", "comp", "brief", "x.*"), most)
+
+
+def _in_blocks(rows: DataFrame, most: int) -> DataFrame:
+    key = ["bucket", "asked", "slot"]
+    return (rows.repartition(*key).sortWithinPartitions(*key, "node")
             .mapInPandas(slot_pairs(most), "a long, b long").distinct())
 
 
@@ -305,10 +338,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "node", "brief")
     stars = likely(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), briefs)
     alone = classes.select(F.col("text_class").alias("node")).distinct().withColumn("comp", F.col("node"))
-    found = keep(_slot_pairs(shared, alone, briefs), "found")
+    found = keep(_slot_pairs(shared, briefs), "found")
     pairs = keep(stars.unionByName(found.where("b is not null")).distinct(), "pairs")
-    # shingles move only for texts in some pair; later rounds pair no others
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    # shingles move only for texts in some pair or in a bucket of several slots; later rounds pair no others
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(
+        shared.where(F.col("n") > SLOT).select("node")).distinct()
     details = sigs.join(heads.join(ends, "node"), ["node", "hash"], "left_semi").select("node", "brief", "members")
     details = keep(details.dropDuplicates(["node"]), "candidates")
     members, briefs = details.select("node", "members"), details.select("node", "brief")
@@ -326,7 +360,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if more.isEmpty():
             break
         shared = keep(shared.join(more, "bucket", "left_semi"), "buckets")
-        found = keep(_slot_pairs(shared, groups, briefs, most), "found")
+        found = keep(_block_pairs(shared, groups, briefs, most), "found")
         pairs = keep(found.where("b is not null").join(tried, ["a", "b"], "left_anti"), "pairs")
         tried, most = tried.unionByName(pairs), 4 * most
     groups = groups.select(F.col("node").alias("text_class"), F.col("comp").alias("class_id"))
