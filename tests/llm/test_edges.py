@@ -100,6 +100,22 @@ def test_op6_layouts(spark):
     assert [got[i].layout for i in (1, 3, 4, 5)] == ["instruction", None, None, None]
 
 
+def test_op6_text_too_long_for_a_variant(spark):
+    long = F.concat(F.lit('q"\\{},'), F.repeat(F.lit("0123456789"), 2_100_000))
+    rows = spark.createDataFrame([(1, 0, "user"), (1, 1, "assistant"), (2, 0, "user"), (3, 0, "x"), (3, 1, "user")],
+                                 "conv_id long, turn long, role string").withColumn("text", long)
+    turns = chat_format.canonical_turns(chat_format.records_of(rows), "conv_id", "record")
+    got = {r.id: r for r in turns.select("id", "layout", F.transform("turns", lambda t: t["role"]).alias("roles"), F.transform(
+        "turns", lambda t: F.sha2(t["text"], 256)).alias("texts")).collect()}
+    text = hashlib.sha256(b'q"\\{},' + b"0123456789" * 2_100_000).hexdigest()
+    assert {i: (r.layout, r.roles) for i, r in got.items()} == {
+        1: ("prompt", ["user", "assistant"]), 2: ("from_value", ["user"]), 3: ("messages", ["x", "user"])}
+    assert all(t == text for r in got.values() for t in r.texts)
+    broken = [(1, '{"prompt":"a\\q","response":"b"}'), (2, '{"prompt":"a","response":"b"'), (3, '{"prompt":"a","prompt":"b"}')]
+    got = chat_format.canonical_turns(spark.createDataFrame(broken, "n long, j string"), "n", "j").collect()
+    assert all(r.layout is None and r.turns is None for r in got)
+
+
 def test_op7(spark):
     urls = ["https://A.Example.ORG/es/x?q#f", "http://example.org/en/17", "example.org/en/1", None, "", "x://", "http://com/fr/",
             "http://notexample.org/es/", "https://b.com/de", "https://b.com/de/", "http://casino-x.net/y", "http://h.org?x=/es/",

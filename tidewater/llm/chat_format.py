@@ -20,6 +20,7 @@ no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,9 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 #: Control strings of common chat templates; fixed values.
 CONTROLS = ("<|", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 
+BROKEN = "_broken"
+_STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -49,12 +53,30 @@ class Layout:
         return hashlib.sha256(self.shape.encode()).hexdigest()
 
     def turns(self, record: Column) -> Column:
+        """The turns of a variant record."""
+        if self.each:
+            path, role, text = self.each
+            return self._listed(F.try_variant_get(record, path, f"array<struct<`{role}`:string,`{text}`:string>>"))
+        return self._fields(lambda p: F.try_variant_get(record, p, "string"))
+
+    def turns_of_long(self, json: Column) -> Column:
+        """The turns of a record that is too long for a variant, null if it is broken."""
         if self.each:
             path, role, text = self.each
-            items = F.try_variant_get(record, path, f"array<struct<`{role}`:string,`{text}`:string>>")
-            return F.transform(items, lambda t: _turn(self._named(t[role]), t[text]))
-        join = lambda paths: F.concat_ws("\n\n", *[
-            F.nullif(F.try_variant_get(record, p, "string"), F.lit("")) for p in paths])
+            kind = f"`{path[2:]}` array<struct<`{role}`:string,`{text}`:string>>"
+        else:
+            kind = ", ".join(f"`{p[2:]}` string" for _, paths in self.fields for p in paths)
+        record = F.from_json(json, f"{kind}, `{BROKEN}` string",
+                             {"maxStringLen": str(2 ** 31 - 1), "columnNameOfCorruptRecord": BROKEN})
+        turns = self._listed(record[self.each[0][2:]]) if self.each else self._fields(lambda p: record[p[2:]])
+        return F.when(record[BROKEN].isNull(), turns)
+
+    def _listed(self, items: Column) -> Column:
+        _, role, text = self.each
+        return F.transform(items, lambda t: _turn(self._named(t[role]), t[text]))
+
+    def _fields(self, get: Callable[[str], Column]) -> Column:
+        join = lambda paths: F.concat_ws("\n\n", *[F.nullif(get(p), F.lit("")) for p in paths])
         return F.array(*[_turn(F.lit(role), join(paths)) for role, paths in self.fields])
 
     def _named(self, role: Column) -> Column:
@@ -85,15 +107,26 @@ def shape_of(record: Column) -> Column:
     return F.regexp_replace(F.schema_of_variant(record), r": (?!OBJECT<|ARRAY<)[A-Z_]+(\(\d+,\s?\d+\))?", "")
 
 
+def outline(json: Column) -> Column:
+    """The record with empty strings for its values and repeated list items once; it has the record's shape."""
+    short = F.regexp_replace(json, f'(?s)("{_STRING}"\\s*+:)|("){_STRING}(")', "$1$2$3")
+    return F.regexp_replace(short, r"(\{[^{}\[\]]*+\})(?:\s*+,\s*+\1)++", "$1")
+
+
 def canonical_turns(records: DataFrame, id_col: str, json_col: str, layouts=LAYOUTS) -> DataFrame:
-    """id, layout, turns for every JSON record."""
+    """id, layout, turns for every JSON record.  A record or text that is too long
+    for Spark's variant is fingerprinted by its outline and read with a schema."""
     src = pick(records, id=id_col, json=json_col).withColumn("v", F.try_parse_json("json"))
-    src = src.withColumn("fp", F.sha2(shape_of(F.col("v")), 256))
+    short = F.col("v").isNotNull()
+    shape = F.when(short, shape_of(F.col("v"))).otherwise(shape_of(F.try_parse_json(outline(F.col("json")))))
+    src = src.withColumn("fp", F.sha2(shape, 256))
     layout = turns = F.lit(None)
     for x in layouts:
         fits = F.col("fp") == x.fingerprint
-        layout, turns = F.when(fits, F.lit(x.name)).otherwise(layout), F.when(fits, x.turns(F.col("v"))).otherwise(turns)
-    return src.select("id", layout.alias("layout"), turns.alias("turns"))
+        layout = F.when(fits, F.lit(x.name)).otherwise(layout)
+        turns = F.when(fits & short, x.turns(F.col("v"))).when(fits, x.turns_of_long(F.col("json"))).otherwise(turns)
+    src = src.select("id", layout.alias("layout"), turns.alias("turns"))
+    return src.select("id", F.when(F.col("turns").isNotNull(), F.col("layout")).alias("layout"), "turns")
 
 
 def escape(text: Column, role: bool = False) -> Column:
