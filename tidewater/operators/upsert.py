@@ -82,4 +82,8 @@ def upsert(spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[
 
 
 def read_upserted(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of an upserted table, whether buckets were rewritten or deltas merged (``DeltaTable``)."""
+    from tidewater.operators.delta_table import DeltaTable
+    if fs.exists(spark, f"{target.rstrip('/')}/_log"):
+        return DeltaTable.open(spark, target).read()
     return spark.read.parquet(target).drop(BUCKET)

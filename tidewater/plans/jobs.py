@@ -18,7 +18,7 @@ from tidewater.functions.dates import shift_hours
 from tidewater.functions.strings import lowercase_columns
 from tidewater.operators import cdc as cdcops
 from tidewater.operators import sinks
-from tidewater.operators.upsert import upsert
+from tidewater.operators.delta_table import DeltaTable
 from tidewater.plans import facts
 from tidewater.sources.order_model import OrderModel
 from tidewater.sources.registry import Registry
@@ -38,16 +38,23 @@ def dwd_retail_pay_job(spark: SparkSession, model: OrderModel, target: str, days
     return serve(spark, target, fact.withColumn("p_day", F.date_format("pay_datetime", "yyyy-MM-dd")))
 
 
-def serve(spark: SparkSession, target: str, fact: DataFrame) -> str:
+def serve(spark: SparkSession, target: str, fact: DataFrame, order: Sequence[str] = ()) -> str:
     """Fact rows into the serving table: a row replaces the one with its id,
-    whatever day either belongs to; op type D removes it."""
-    return upsert(spark, target, fact, keys=["id"])
+    whatever day either belongs to; op type D removes it.  Within a load the
+    greatest ``order`` wins, and different rows that tie for it fail the load."""
+    return _merge(spark, target, fact, ["id"], order, "data_op_type" if "data_op_type" in fact.columns else None)
+
+
+def _merge(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str], order: Sequence[str], op_col: str | None) -> str:
+    # a load is newer than what is stored: ``order`` decides within the load only
+    DeltaTable(spark, target, keys, op_col=op_col).upsert(rows, order=order)
+    return target
 
 
 def sync_to_serving(spark: SparkSession, source: DataFrame, target: str, target_schema: StructType,
                     keys: Sequence[str], order: Sequence[str] = ()) -> str:
     """B8: whole table (or a day range of it) cast to the serving schema and upserted."""
-    return upsert(spark, target, schema_cast(source, target_schema), keys, order, op_col=None)
+    return _merge(spark, target, schema_cast(source, target_schema), keys, order, None)
 
 
 def backfill_serving(spark: SparkSession, source: DataFrame, target: str, target_schema: StructType,
@@ -55,7 +62,7 @@ def backfill_serving(spark: SparkSession, source: DataFrame, target: str, target
     """B6: warehouse rows with the CDC columns added ('I', NULL delete flag,
     load time), cast to the serving schema and upserted by key."""
     rows = schema_cast(cdcops.with_cdc_columns(source), target_schema)
-    return upsert(spark, target, rows, keys, order, op_col=None)
+    return _merge(spark, target, rows, keys, order, None)
 
 
 # -- ODS sync (B3, B4, B5, B15, B20) ------------------------------------------

@@ -19,11 +19,15 @@ from tidewater.sources.order_model import OrderModel, cdc_from_events
 from tidewater.sources.tables import read_table
 from tidewater.streaming.partition_commit import PartitionCommitSink
 from tidewater.streaming.sales import MilestoneSink, MinuteSalesSink, streaming_amounts
-from tidewater.streaming.sources import file_stream, replay_as_files, run_to_end, with_event_time, yesterday_start_ms
+from tidewater.streaming.sources import file_stream, replay_as_files, replay_files, run_to_end, with_event_time, yesterday_start_ms
 from tidewater.streaming.topn import TopNState
 
-# The replay writes this many files and reads half of them per micro-batch.
-REPLAY_FILES = 4
+
+def _replay(spark, rows, order_col, name, fmt="parquet", shuffled=False):
+    """A file stream of ``rows``, half of its files in each micro-batch."""
+    files = replay_files(rows)
+    path = replay_as_files(rows, order_col, files, name=name, fmt=fmt, shuffled=shuffled)
+    return file_stream(spark, path, rows.schema, fmt, max_files_per_trigger=files // 2)
 
 
 def _events_stream(spark, sf_dir, where=None, shuffled=False):
@@ -31,8 +35,7 @@ def _events_stream(spark, sf_dir, where=None, shuffled=False):
     e = read_table(spark, sf_dir, "events")
     if where is not None:
         e = e.where(where)
-    path = replay_as_files(e, "ts", REPLAY_FILES, name="events-replay", shuffled=shuffled)
-    return file_stream(spark, path, e.schema, max_files_per_trigger=REPLAY_FILES // 2)
+    return _replay(spark, e, "ts", "events-replay", shuffled=shuffled)
 
 
 _CDC_SELECT = "detailid, ordercode, value, data_op_type, data_op_ts, ordertime"
@@ -127,10 +130,9 @@ def stream_orders_json(spark, sf_dir):
     body = F.to_json(F.struct(F.col("event_id").alias("order_id"), "user_id", F.col("value").alias("amount"),
                               F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("order_time")))
     raw = e.select(F.when(F.col("event_id") % 29 == 0, F.substring(body, 1, 12)).otherwise(body).alias("value"))
-    path = replay_as_files(raw, "value", REPLAY_FILES, name="orders-json", fmt="text")
     start = F.timestamp_millis(F.lit(yesterday_start_ms(ORDERS_TODAY)))
     order = F.from_json("value", "order_id BIGINT, user_id BIGINT, amount DOUBLE, order_time STRING").alias("o")
-    s = file_stream(spark, path, raw.schema, "text", REPLAY_FILES // 2).select(order).select("o.*")
+    s = _replay(spark, raw, "value", "orders-json", fmt="text").select(order).select("o.*")
     s = s.withColumn("order_time", F.try_to_timestamp("order_time").cast("timestamp_ntz"))
     s = s.where(F.col("order_time") >= start.cast("timestamp_ntz"))
     dest = scratch_dir(spark, "stream-orders")
@@ -162,8 +164,7 @@ WHERE ordercode % 10 <> 0 AND ordercode % 17 <> 0 AND ordercode % 23 <> 0 AND pa
 def stream_cdc_payments(spark, sf_dir):
     apply_conf(spark)
     env = envelopes(OrderModel(spark, sf_dir))
-    path = replay_as_files(env, "ordercode", REPLAY_FILES, name="envelope-replay")
-    raw = file_stream(spark, path, env.schema, max_files_per_trigger=REPLAY_FILES // 2)
+    raw = _replay(spark, env, "ordercode", "envelope-replay")
     parsed = parse_envelope(raw, envelope_schema(["ORDERCODE", "PAYMENTDATE"]))
     out = payments_of(parsed, ENVELOPE_TABLE)
     dest = scratch_dir(spark, "stream-payments")
@@ -191,21 +192,129 @@ def stream_top2_stateful(spark, sf_dir):
     """T4 with Spark's keyed state: each key's top-2 lives in the state store;
     every micro-batch emits the new top-2 of the keys it touched, and the sink
     replaces those keys' rows in a table keyed by (user_id, row_num)."""
-    from tidewater.operators.upsert import upsert
+    from tidewater.operators.delta_table import DeltaTable
     from tidewater.streaming.topn import stateful_top_n
     s = _events_stream(spark, sf_dir).select("user_id", "event_id", "value")
     top = stateful_top_n(s, ["user_id"], [("value", True), ("event_id", False)], ["event_id"], 2)
-    path = scratch_dir(spark, "top2-stateful")
+    table = DeltaTable(spark, scratch_dir(spark, "top2-stateful"), ["user_id", "row_num"], bucket_by=["user_id"], buckets=4)
 
     def replace_keys(batch, batch_id):
-        # the stateful batch is computed once: persist, then act
-        rows = batch.select("*", F.lit(batch_id).alias("batch_id"),
-                            ).persist()
-        try:
-            if not rows.isEmpty():
-                upsert(batch.sparkSession, path, rows, ["user_id", "row_num"], ["batch_id"], op_col=None, buckets=4)
-        finally:
-            rows.unpersist()
+        table.upsert(batch, ("top2", batch_id))
 
     run_to_end(top.writeStream.outputMode("update").foreachBatch(replace_keys), scratch_dir(spark, "ckpt-top2s"))
-    return spark.read.parquet(path).select("user_id", "event_id", "value", "row_num")
+    return table.read().select("user_id", "event_id", "value", "row_num")
+
+
+@register("stream_milestone_corrections", f"""
+WITH r AS (SELECT CAST(ts AS DATE) AS submit_date, strftime(ts, '%Y-%m-%d %H:%M') AS minute,
+                  arg_max(value, event_id) AS value, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1, 2),
+m AS (SELECT submit_date, minute, CAST(CAST(value AS DECIMAL(28,8)) AS DECIMAL(38,2)) AS sale_amount FROM r
+      WHERE event_type <> 'error'),
+c AS (SELECT *, SUM(sale_amount) OVER (PARTITION BY submit_date ORDER BY minute) AS cum FROM m),
+k AS (SELECT submit_date, minute, CAST(floor((cum - sale_amount) / {bq.MILESTONE_STEP}) AS BIGINT) AS lo,
+             CAST(floor(cum / {bq.MILESTONE_STEP}) AS BIGINT) AS hi FROM c)
+SELECT submit_date, CAST(unnest(generate_series(lo + 1, hi)) AS BIGINT) AS mark_no, substr(minute, 12, 5) AS mark_minute
+FROM k WHERE hi > lo""")
+def stream_milestone_corrections(spark, sf_dir):
+    """Every event replaces (or, as an error, deletes) the value of its minute; versions arrive out of
+    order, and the result is the folded changelog of the marks."""
+    from tidewater.operators.changelog import fold
+    from tidewater.operators.milestones import AMOUNT
+    from tidewater.streaming.views import milestone_view
+    e = read_table(spark, sf_dir, "events").where("ts is not null")
+    rows = e.select(F.to_date("ts").alias("submit_date"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("minute"),
+                    F.col("event_id").alias("version"), F.col("value").cast(AMOUNT).alias("amount"),
+                    F.when(F.col("event_type") == "error", "D").otherwise("U").alias("op"))
+    view = milestone_view(spark, scratch_dir(spark, "milestone-view"), bq.MILESTONE_STEP, buckets=8)
+    run_to_end(_replay(spark, rows, "version", "corrections", shuffled=True).writeStream.foreachBatch(view), scratch_dir(spark, "ckpt-mv"))
+    return fold(view.changes().drop("batch_id"))
+
+
+@register("stream_top2_changelog", """
+SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS row_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn FROM events
+  WHERE event_type <> 'error') WHERE rn <= 2""")
+def stream_top2_changelog(spark, sf_dir):
+    """Top-2 over rows some of which are withdrawn again (errors), before or after the row itself
+    arrives: the result refills, and is read as the folded changelog."""
+    from pyspark.sql.types import StructType
+
+    from tidewater.operators.changelog import fold
+    from tidewater.streaming.views import top_n_view
+    e = read_table(spark, sf_dir, "events").select("user_id", "event_id", "value", "event_type")
+    record = lambda df, v, op: df.select("user_id", "event_id", "value", F.lit(v).alias("version"), F.lit(op).alias("op"))
+    rows = record(e, 1, "I").unionByName(record(e.where("event_type = 'error'"), 2, "D"))
+    schema = StructType().add("user_id", "long").add("event_id", "long").add("value", "double")
+    view = top_n_view(spark, scratch_dir(spark, "top2-view"), schema, ["user_id"], ["event_id"],
+                      [F.col("value").desc(), F.col("event_id")], 2, version=["version"], buckets=8)
+    stream = _replay(spark, rows.withColumn("turn", F.hash("event_id", "version")), "turn", "top2-records", shuffled=True).drop("turn")
+    run_to_end(stream.writeStream.foreachBatch(view), scratch_dir(spark, "ckpt-top2v"))
+    return fold(view.changes().drop("batch_id"))
+
+
+@register("stream_left_join", sql.with_model("""
+SELECT s.ordercode, s.paymentdate, o.shopcode, o.createdate
+FROM om_orderstatus s LEFT JOIN (SELECT * FROM om_order WHERE changetype NOT IN (1, 2, 3)) o
+  ON s.ordercode = o.ordercode""", "om_orderstatus", "om_order"))
+def stream_left_join(spark, sf_dir):
+    """The left join of order states and orders, both arriving in several batches in either order."""
+    from pyspark.sql.types import StructType
+
+    from tidewater.operators import cdc as cdcops
+    from tidewater.plans import facts
+    from tidewater.streaming.views import LeftJoinView
+    m = OrderModel(spark, sf_dir)
+    right = m.om_order().where(cdcops.not_in("changetype", facts.EXCHANGE_ORDER_TYPES)).select("ordercode", "shopcode", "createdate")
+    left = m.om_orderstatus().select("ordercode", "paymentdate")
+    side = lambda name, df, cols: df.select(F.lit(name).alias("side"), "ordercode", *cols, F.lit("I").alias("op"))
+    null = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    rows = side("left", left, ["paymentdate", null(right, "shopcode"), null(right, "createdate")]).unionByName(
+        side("right", right, [null(left, "paymentdate"), "shopcode", "createdate"]))
+    types = lambda df, cols: StructType([df.schema[c] for c in cols])
+    view = LeftJoinView(spark, scratch_dir(spark, "join-view"), types(left, ["ordercode", "paymentdate"]), ["ordercode"],
+                        types(right, ["ordercode", "shopcode", "createdate"]), ["ordercode"], ["ordercode"], buckets=8)
+
+    def step(batch, batch_id):
+        of = lambda name, cols: batch.where(F.col("side") == name).select("ordercode", *cols, "op")
+        view.apply(of("left", ["paymentdate"]), of("right", ["shopcode", "createdate"]), batch_id)
+
+    stream = _replay(spark, rows.withColumn("turn", F.hash("side", "ordercode")), "turn", "join-records", shuffled=True).drop("turn")
+    run_to_end(stream.writeStream.foreachBatch(step), scratch_dir(spark, "ckpt-join"))
+    return view.read()
+
+
+ASOF_SQL = """
+WITH f AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'purchase'),
+v AS (SELECT user_id, ts AS known_from, arg_max(value, value) AS level FROM events WHERE event_type = 'view' GROUP BY 1, 2)
+SELECT f.user_id, f.event_id, f.ts, f.value, v.known_from, v.level
+FROM f ASOF LEFT JOIN v ON f.user_id = v.user_id AND f.ts >= v.known_from"""
+
+
+def _asof_sides(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events")
+    return (e.where("event_type = 'purchase'").select("user_id", "event_id", "ts", "value"),
+            e.where("event_type = 'view'").select("user_id", F.col("ts").alias("known_from"), F.col("value").alias("level")))
+
+
+@register("asof_lookup", ASOF_SQL)
+def asof_lookup(spark, sf_dir):
+    """Purchases with the user's last view at or before them."""
+    from tidewater.operators.asof import asof_join
+    facts, versions = _asof_sides(spark, sf_dir)
+    return asof_join(facts, versions, ["user_id"], "ts", "known_from")
+
+
+@register("stream_asof_lookup", ASOF_SQL)
+def stream_asof_lookup(spark, sf_dir):
+    """The same from a stream of facts and dimension versions that arrive out of order: a version that comes
+    after its facts corrects them."""
+    from tidewater.streaming.views import asof_view
+    facts, versions = _asof_sides(spark, sf_dir)
+    rows = (facts.withColumn("kind", F.lit("fact"))
+            .unionByName(versions.withColumn("kind", F.lit("version")), allowMissingColumns=True)
+            .withColumn("op", F.lit("I")).withColumn("turn", F.xxhash64("user_id", "event_id", "known_from")))
+    view = asof_view(spark, scratch_dir(spark, "asof-view"), facts.schema, "event_id", ["user_id"], "ts", versions.schema,
+                     "known_from", buckets=8)
+    stream = _replay(spark, rows, "turn", "asof-records", shuffled=True).drop("turn")
+    run_to_end(stream.writeStream.foreachBatch(view), scratch_dir(spark, "ckpt-asof"))
+    return view.read()

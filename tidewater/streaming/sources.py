@@ -32,6 +32,15 @@ def replay_as_files(df: DataFrame, order_col: str, files: int, name: str = "repl
     return path
 
 
+#: Rows of a replay's file, and the fewest files it writes, so that a stream has several micro-batches.
+REPLAY_ROWS, LEAST_FILES = 1_000_000, 4
+
+
+def replay_files(df: DataFrame) -> int:
+    """How many files a replay of ``df`` takes: in proportion to its rows."""
+    return max(LEAST_FILES, -(-df.count() // REPLAY_ROWS))
+
+
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
     """A file stream; ``max_files_per_trigger`` bounds a micro-batch if given."""
