@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+from tidewater.sources import fs
+
 # Settings every job relies on.  Partition sizing (shuffle partitions,
 # maxPartitionBytes) is left to the cluster; AQE coalesces and splits at
 # run time, so the same plan holds from sf0.01 to 100 TB.
@@ -57,6 +62,35 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # static conf on a session we did not build
             pass
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, through the shared folder: they
+    have no other way to it when the driver's start folder and PYTHONPATH do not hold it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewater_shipped", False) or not (_root(spark) or _is_local(spark)):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(home)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(home)))
+    to = f"{scratch_dir(spark, 'package')}/tidewater_package.zip"
+    fs.write_bytes(spark, to, data.getvalue())
+    sc.addPyFile(to)
+    sc._tidewater_shipped = True
+
+
+def _root(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -67,11 +101,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     gets a folder of its own, registered so that later ``checkpoint()`` calls
     use it too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = _root(spark)
     if not root:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
+        if not _is_local(spark):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {spark.sparkContext.master}")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

@@ -24,13 +24,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode("utf-8"))
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """The whole file or nothing: written under a temporary name, then renamed."""
     fs, p = _fs_path(spark, path)
     head, _, name = path.rpartition("/")
     _, tmp = _fs_path(spark, f"{head}/.{name}.{uuid.uuid4().hex[:8]}.tmp")
     out = fs.create(tmp, True)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(data))
     finally:
         out.close()
     if fs.exists(p):
