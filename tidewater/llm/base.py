@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import checkpoint_root, scratch_dir
+from tidewater.session import checkpoint_root, scratch_dir, ship_package
 from tidewater.sources import fs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,7 @@ def register(name: str, oracle: str | None = None):
 def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on."""
     checkpoint_root(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
