@@ -12,7 +12,8 @@ the smaller ``l`` of the two asks for.
 
 Equal sets are one class from the start.  Shingles that only one prefix holds
 fall away.  A posting list of up to ``SMALL`` classes names its pairs, which are
-counted and verified on the whole sets by joins.  Longer lists tie their classes
+counted and verified on the whole sets by joins, each class's least partner first
+and then the pairs that this has not tied together.  Longer lists tie their classes
 into families; a family is dealt into slots, and each slot is searched inside one
 task (shared prefix shingles first, then the whole sets), which emits only edges
 that span what it found linked: never more rows than it read.  Families of several
@@ -49,12 +50,12 @@ MOST_SHARED, VERIFY_COST = 6, 8.0
 #: Counters of the frequency table (one megabyte), classes of a list that names its pairs, and
 #: classes and shingles of a slot.
 COUNTER_BITS = 18
-SMALL = 16
+SMALL = 64
 SLOT, SLOT_SHINGLES = 2048, 1 << 22
 SALTS = 16
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_SET = "node binary, n int, asks int, p int, tokens array<long>"
+_PREFIX = "node binary, n int, asks int, tokens array<long>"
 
 
 class Shingles:
@@ -115,26 +116,47 @@ def shared_to_ask(above: np.ndarray, percent: int = PERCENT) -> int:
     return int(choices[np.argmin(postings * (1 + VERIFY_COST / choices))])
 
 
-def set_column(text: Column, excess, whole: bool, percent: int = PERCENT) -> Column:
-    """struct of ``_SET``: the set's name, size, ``l``, prefix length and its first ``p`` (or all) shingles."""
+class Sets:
+    """Texts to (set in the corpus order, prefix length, ``l``)."""
+
+    def __init__(self, excess: np.ndarray, percent: int):
+        self.shingles, self.excess, self.percent = Shingles(), excess, percent
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, int, int]:
+        tokens, above = ordered_set(self.shingles(text), self.excess)
+        if not len(tokens):
+            return tokens, 0, 0
+        asks = shared_to_ask(above, self.percent)
+        return tokens, len(tokens) + self.percent * len(tokens) // -100 + asks, asks
+
+
+def prefix_column(text: Column, excess, percent: int = PERCENT) -> Column:
+    """struct of ``_PREFIX``: the set's name (a digest of it, null if empty), size, ``l`` and prefix."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles()
+        sets = Sets(excess.value, percent)
         for batch in batches:
             out = []
             for t in batch:
-                tokens = shingles(t)
-                n = len(tokens)
-                if not n:
-                    out.append((None, 0, 0, 0, np.zeros(0, dtype=np.int64)))
-                    continue
-                name = hashlib.md5(tokens.tobytes()).digest()
-                tokens, above = ordered_set(tokens, excess.value)
-                asks = shared_to_ask(above, percent)
-                p = n + percent * n // -100 + asks
-                out.append((name, n, asks, p, (tokens if whole else tokens[:p]).view(np.int64)))
-            yield pd.DataFrame(out, columns=["node", "n", "asks", "p", "tokens"])
+                tokens, p, asks = sets(t)
+                name = hashlib.md5(np.sort(tokens).tobytes()).digest() if len(tokens) else None
+                out.append((name, len(tokens), asks, tokens[:p].view(np.int64)))
+            yield pd.DataFrame(out, columns=["node", "n", "asks", "tokens"])
+
+    return F.pandas_udf(run, _PREFIX)(text)
+
+
+def linked(text_a: Column, text_b: Column, percent: int) -> Column:
+    """Whether the similarity of two texts' sets reaches ``percent``."""
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        shingles = Shingles()
+        for a, b in batches:
+            out = []
+            for x, y in zip(map(shingles, a), map(shingles, b)):
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield pd.Series(out, dtype=bool)
 
-    return F.pandas_udf(run, _SET)(text)
+    return F.pandas_udf(run, "boolean")(text_a, text_b)
 
 
 # -- inside one block ---------------------------------------------------------
@@ -188,17 +210,18 @@ def spanning(links: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first[moved], to[moved]
 
 
-def block_edges(percent: int = PERCENT):
+def block_edges(excess, percent: int = PERCENT):
     """Edges of every block in rows sorted by (family, i, j); a block may go on in the next batch."""
-    def edges(rows: pd.DataFrame) -> pd.DataFrame:
+    def edges(rows: pd.DataFrame, sets: Sets) -> pd.DataFrame:
         rows = rows.drop_duplicates("node")
         comp = pd.factorize(rows["comp"])[0].astype(np.int64)
-        a, b = spanning(linked_in(list(rows["tokens"]), rows["p"].to_numpy(), rows["asks"].to_numpy(), percent), comp)
+        tokens, p, asks = zip(*map(sets, rows["text"]))
+        a, b = spanning(linked_in(list(tokens), np.array(p), np.array(asks), percent), comp)
         node = rows["node"].to_numpy()
         return pd.DataFrame({"a": node[a], "b": node[b]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        rest, sets = None, Sets(excess.value, percent)
         for batch in batches:
             if not len(batch):
                 continue
@@ -207,9 +230,9 @@ def block_edges(percent: int = PERCENT):
             starts = np.r_[0, np.flatnonzero(np.diff(at)) + 1]
             rest = rows.iloc[starts[-1]:]
             for lo, hi in zip(starts[:-1], starts[1:]):
-                yield edges(rows.iloc[lo:hi])
+                yield edges(rows.iloc[lo:hi], sets)
         if rest is not None:
-            yield edges(rest)
+            yield edges(rest, sets)
     return run
 
 
@@ -225,41 +248,40 @@ def _dealt(salt: int, slots: str) -> Column:
     return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(slots)).cast("int")
 
 
-def _edges(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b) from rows (family, i, j, node, comp, p, asks, tokens)."""
+def _edges(rows: DataFrame, excess, percent: int) -> DataFrame:
+    """(a, b) from rows (family, i, j, node, comp, text)."""
     key = ["family", "i", "j"]
-    return (rows.select(*key, "node", "comp", "p", "asks", "tokens").repartition(*key).sortWithinPartitions(*key, "node")
-            .mapInPandas(block_edges(percent), "a binary, b binary"))
-
-
-def family_links(families: DataFrame, sets: DataFrame, scratch: Scratch, slot: int, percent: int) -> DataFrame:
-    """Edges (a, b) that span the links within each family (rows node, family)."""
-    rows = families.join(sets, "node")
-    sizes = scratch.stored(_slots(rows, slot), "family-slots")
-    once = rows.join(sizes, "family").withColumn("comp", F.col("node"))
-    of = lambda df, salt: df.withColumn("i", _dealt(salt, "slots")).withColumn("j", F.lit(0))
-    found = scratch.stored(_edges(of(once, 0), percent).unionByName(
-        _edges(of(once.where("slots > 1"), 1), percent)), "family-edges")
-    wide = sizes.where("slots > 1")
-    if wide.isEmpty():
-        return found
-    # what is left: classes outside the largest component, against every slot of their family
+    return (rows.select(*key, "node", "comp", "text").repartition(*key).sortWithinPartitions(*key, "node")
+            .mapInPandas(block_edges(excess, percent), "a binary, b binary"))
+
+
+def within_slots(families: DataFrame, sizes: DataFrame, texts: DataFrame, excess, percent: int) -> DataFrame:
+    """Edges (a, b) that span the links within each slot, for two ways of dealing families into slots."""
+    rows = families.join(sizes, "family").join(texts, "node").withColumn("comp", F.col("node")).withColumn("j", F.lit(0))
+    ways = F.when(F.col("slots") > 1, F.array(_dealt(0, "slots"), F.col("slots") + _dealt(1, "slots"))).otherwise(F.array(F.lit(0)))
+    return _edges(rows.withColumn("i", F.explode(ways)), excess, percent)
+
+
+def across_slots(families: DataFrame, wide: DataFrame, links: DataFrame, texts: DataFrame, excess, percent: int, slot: int,
+                 scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that span what is left in families of several slots: classes outside the family's
+    largest component, against every slot."""
     split = families.join(wide, "family")
-    groups = scratch.stored(components(split.select("node"), found.join(split.select(F.col("node").alias("a")), "a", "left_semi"),
-                                       scratch=scratch), "family-groups")
+    own = links.join(split.select(F.col("node").alias("a")), "a", "left_semi").join(
+        split.select(F.col("node").alias("b")), "b", "left_semi").select("a", "b")
+    groups = scratch.stored(components(split.select("node"), own, scratch=scratch), "family-groups")
     split = split.join(groups, "node")
     home = (split.groupBy("family", "comp").agg(F.count("*").alias("size")).groupBy("family")
             .agg(F.max(F.struct("size", "comp")).alias("home")).select("family", F.col("home.comp").alias("home")))
     split = split.join(home, "family").withColumn("outside", F.col("comp") != F.col("home"))
     asking = split.where("outside").groupBy("family").agg(F.ceil(F.count("*") / slot).cast("int").alias("asking"))
-    split = split.join(asking, "family").join(sets, "node")
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     block = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
     answers = F.transform(upto("asking"), lambda i: block(i, _dealt(0, "slots")))
     asks = F.transform(upto("slots"), lambda j: block(_dealt(2, "asking"), j))
     blocks = F.explode(F.when(F.col("outside"), F.array_union(answers, asks)).otherwise(answers)).alias("x")
-    return found.unionByName(_edges(split.select("family", "node", "comp", "p", "asks", "tokens", blocks)
-                                    .select("*", "x.i", "x.j"), percent))
+    split = split.join(asking, "family").select("family", "node", "comp", blocks).select("*", "x.i", "x.j")
+    return _edges(split.join(texts, "node"), excess, percent)
 
 
 def small_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -278,11 +300,22 @@ def small_pairs(lists: DataFrame, percent: int) -> DataFrame:
             .where(F.col("shared") + F.col("in_large") >= F.col("asks")).select("a", "b"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("tokens").alias(f"t_{c}"))
-    shared = F.size(F.array_intersect("t_a", "t_b"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", shared)
-            .where(100 * F.col("shared") >= percent * (F.size("t_a") + F.size("t_b") - F.col("shared"))).select("a", "b"))
+def both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
+
+
+def apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not yet in one component (rows node, comp)."""
+    of = lambda c: tied.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
+    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return named.where("comp_a is null or comp_b is null or comp_a <> comp_b").select("a", "b")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .where(linked(F.col("text_a"), F.col("text_b"), percent)).select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
@@ -291,14 +324,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     scratch = Scratch(spark)
     keep = scratch.stored
-    src = pick(docs, doc_id=id_col, text=text_col).withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
+    src = pick(docs, doc_id=id_col, text=text_col).withColumn("hash", F.xxhash64("text")).withColumn(
+        "key", F.coalesce("doc_id", "hash"))
     excess = spark.sparkContext.broadcast(excess_counts(src))
-    rows = keep(src.withColumn("s", set_column(F.col("text"), excess, False, percent)).select("doc_id", "key", "s.*"), "prefixes")
-    classes = keep(rows.where("n > 0").groupBy("node").agg(
-        F.min("key").alias("head"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "classes")
-    # one row of each class; classes without copies need no look-up
+    rows = keep(src.withColumn("s", prefix_column(F.col("text"), excess, percent)).select("doc_id", "key", "hash", "s.*"), "prefixes")
+    classes = keep(rows.where("n > 0").groupBy("node", "n").agg(
+        F.min(F.struct("key", "hash")).alias("head"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "classes")
+    # the rows of one text of each class; classes without copies need no look-up
     twins = classes.where("copies > 1").select("node", "head")
-    firsts = rows.where("n > 0").join(twins, "node", "left").where("head is null or head = key")
+    firsts = rows.where("n > 0").join(twins, "node", "left").where(
+        F.col("head").isNull() | (F.col("head") == F.struct("key", "hash")))
     postings = firsts.select("node", "n", "asks", F.explode("tokens").alias("token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     lists = keep(postings.join(shared, "token").distinct(), "lists")
@@ -308,14 +343,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ties = keep(large.join(centre, "token").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "ties")
     ends = lambda df: df.select(F.col("a").alias("node")).unionByName(df.select(F.col("b").alias("node"))).distinct()
     families = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
-    families = keep(families, "families")
-    # whole sets of the classes to be verified, from their texts
-    wanted = keep(ends(pairs).unionByName(families.select("node")).distinct().join(classes, "node").select("node", "head"), "wanted")
-    heads = wanted.select(F.col("head").alias("key")).distinct()
-    sets = (src.join(heads, "key", "left_semi").select(set_column(F.col("text"), excess, True, percent).alias("s")).select("s.*")
-            .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    sets = keep(sets, "sets")
-    links = keep(verified(pairs, sets, percent).unionByName(family_links(families, sets, scratch, slot, percent)), "links")
+    families = keep(families.join(classes.select("node", "n"), "node"), "families")
+    sizes = keep(_slots(families, slot), "family-slots")
+    # texts of the classes to be verified: moved once, by class; sets are made again where they are compared
+    wanted = keep(ends(pairs).unionByName(families.select("node")).distinct().join(classes, "node").select("node", "head.*"), "wanted")
+    texts = src.join(wanted, ["key", "hash"]).select("node", "text").dropDuplicates(["node"])
+    # first each class with its least partner, which ties most groups together; then what still lies apart
+    least = both_ways(pairs).groupBy("node").agg(F.min("other").alias("other"))
+    stars = least.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    links = keep(verified(stars, texts, percent).unionByName(within_slots(families, sizes, texts, excess, percent)), "links")
+    tied = components(ends(links), links, scratch=scratch)
+    rest = keep(apart(pairs.join(stars, ["a", "b"], "left_anti"), tied), "rest")
+    if not rest.isEmpty():
+        links = keep(links.unionByName(verified(rest, texts, percent)), "links")
+    wide = sizes.where("slots > 1")
+    if not wide.isEmpty():
+        links = keep(links.unionByName(across_slots(families, wide, links, texts, excess, percent, slot, scratch)), "links")
     named = components(ends(links), links, scratch=scratch).join(classes.select("node", "least_id"), "node")
     least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "comp").select("node", "component_id")
