@@ -2,19 +2,20 @@
 
 A stripe is a prefix of zero to four words with a counter of the words that
 follow it.  A task counts the stripes of a few million words at a time and
-emits, for a prefix, one map per shard of its next words; stripes are shuffled
-by (lang, prefix, shard) and merged elementwise.  The shards keep the stripe of
-a very common prefix (or the empty prefix, whose stripe is the vocabulary) from
-meeting in one task.  The merged stripes give everything: an entry is the count
+emits, for a prefix, a map of its next words; stripes are shuffled by (lang,
+prefix, shard) and merged elementwise.  The stripes of the empty prefix (the
+vocabulary) and of prefixes that hold a ``HOT_SHARE`` of all words are dealt into
+shards by next word, so they never meet in one task; no more prefixes of a size
+than its inverse can hold such a share.  The merged stripes give everything: an entry is the count
 of prefix and next word, and the largest entry of a prefix is what its
 extensions can subsume.
 
 A phrase can only be as frequent as its parts, so it is counted only where all
-its words (then all its pairs) are frequent.  "Is frequent" is asked of a bitmap
+its words (then all its pairs, then all its triples) are frequent.  "Is frequent" is asked of a bitmap
 of ``BITS`` bits that every task gets: its size does not depend on the input,
 and a false yes costs a counted phrase that the exact counts drop again.  Within
-a task a phrase is a chain of exact numbers, not a hash.  The input is read three
-times: words, pairs, and phrases of three to five words.
+a task a phrase is a chain of exact numbers, not a hash.  The input is read four
+times: words, pairs, triples, and phrases of four and five words.
 
 Scores use decimals of 38 digits and whole-number division, so nothing is
 rounded.
@@ -27,6 +28,7 @@ table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -46,12 +48,12 @@ LEAST = 100
 SUBSUMED_PERCENT = 100
 TOP = 2000
 #: Size of the frequency bitmap (8 MB), characters a task counts before it emits, stripes it emits at
-#: once, and shards of the empty prefix's stripe and of every other.
+#: once, shards of the empty prefix's stripe and of a hot one, and the share of all words that makes it hot.
 BITS = 1 << 26
-FLUSH_CHARS = 1 << 24
+FLUSH_CHARS = 1 << 25
 STRIPES_A_BATCH = 20_000
-SHARDS = {0: 4096}
-SHARDS_OF_PREFIX = 64
+SHARDS_OF_WORDS, SHARDS_OF_HOT = 4096, 64
+HOT_SHARE = 1 / 2000
 
 _GAP = b"\n"
 _BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", _GAP * 9 + b" ")
@@ -94,22 +96,22 @@ class Frequent:
         return (self.bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def phrases_in(ids: np.ndarray, hashes: np.ndarray, size: int, words: Frequent | None,
-               pairs: Frequent | None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def phrases_in(ids: np.ndarray, hashes: np.ndarray, size: int,
+               frequent: dict[int, Frequent]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Distinct phrases of ``size`` words whose parts may be frequent: their word numbers place by
     place, the numbers of their prefixes, and their counts."""
     n = len(ids) - size + 1
     good = ids != 0
-    if words is not None:
-        good &= words.may_have(chained([hashes]))[ids]
+    if 1 in frequent:
+        good &= frequent[1].may_have(chained([hashes]))[ids]
     keep = good[:n].copy()
     for j in range(1, size):
         keep &= good[j:j + n]
     at = np.flatnonzero(keep)
-    if pairs is not None:
-        h = hashes[ids]
-        for j in range(size - 1):
-            at = at[pairs.may_have(chained([h[at + j], h[at + j + 1]]))]
+    h = hashes[ids]
+    for part in (k for k in sorted(frequent) if 1 < k < size):
+        for j in range(size - part + 1):
+            at = at[frequent[part].may_have(chained([h[at + j + i] for i in range(part)]))]
     # a chain of exact numbers: (number of the first j words, next word)
     prefix = np.zeros(len(at), dtype=np.int64)
     for j in range(size):
@@ -120,17 +122,26 @@ def phrases_in(ids: np.ndarray, hashes: np.ndarray, size: int, words: Frequent |
     return [ids[at[first] + j] for j in range(size)], prefix[first], counts
 
 
-def stripes_of(texts: list[str], lang: str, sizes: range, words: Frequent | None,
-               pairs: Frequent | None) -> Iterator[pa.RecordBatch]:
+def shards_of(places: list[np.ndarray], hashes: np.ndarray, hot: dict[int, np.ndarray]) -> np.ndarray | np.uint64:
+    """Into how many shards each phrase's stripe is dealt, by its prefix (by its first words, where
+    only they have been counted)."""
+    known = min(len(places) - 1, max(hot, default=0))
+    if len(places) == 1:
+        return np.uint64(SHARDS_OF_WORDS)
+    prefix = chained([hashes[p] for p in places[:known]])
+    return np.where(np.isin(prefix, hot[known]), SHARDS_OF_HOT, 1).astype(np.uint64)
+
+
+def stripes_of(texts: list[str], lang: str, sizes: range, frequent: dict[int, Frequent],
+               hot: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The stripes of all phrases of the given sizes in texts of one language."""
     ids, vocabulary = word_numbers(texts)
     hashes = word_hashes(vocabulary, lang)
     text = pa.array(vocabulary, pa.binary()).cast(pa.string())
     for size in sizes:
-        places, prefix, counts = phrases_in(ids, hashes, size, words, pairs)
-        shards = SHARDS.get(size - 1, SHARDS_OF_PREFIX)
-        shard = (hashes[places[-1]] % np.uint64(shards)).astype(np.int64)
-        key = prefix * shards + shard
+        places, prefix, counts = phrases_in(ids, hashes, size, frequent)
+        shard = (hashes[places[-1]] % shards_of(places, hashes, hot)).astype(np.int64)
+        key = prefix * SHARDS_OF_WORDS + shard
         order = np.argsort(key, kind="stable")
         starts = np.flatnonzero(np.diff(key[order], prepend=-1))
         for lo in range(0, len(starts), STRIPES_A_BATCH):
@@ -146,16 +157,17 @@ def stripes_of(texts: list[str], lang: str, sizes: range, words: Frequent | None
                  pa.array(shard[heads], pa.int32()), stripe], names=["lang", "prefix", "size", "shard", "stripe"])
 
 
-def count_stripes(docs: DataFrame, sizes: range, words=None, pairs=None) -> DataFrame:
+def count_stripes(docs: DataFrame, sizes: range, bitmaps: dict, hot: dict[int, np.ndarray]) -> DataFrame:
     """(lang, prefix, size, next, f): the counts of phrases of the given sizes, from stripes merged
-    elementwise; of all words, or of the phrases whose words (and pairs) may be frequent."""
+    elementwise; only of phrases whose shorter parts may be frequent, by the broadcast bitmap of their size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = defaultdict(list)
+        frequent = {k: Frequent(b.value) for k, b in bitmaps.items()}
         chars = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in held.items():
-                yield from stripes_of(texts, lang, sizes, words and Frequent(words.value), pairs and Frequent(pairs.value))
+                yield from stripes_of(texts, lang, sizes, frequent, hot)
             held.clear()
 
         for batch in batches:
@@ -194,6 +206,12 @@ def bitmap_of(frequent: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def hot_prefixes(frequent: DataFrame, words: int) -> np.ndarray:
+    """Hashes of the phrases that occur at a ``HOT_SHARE`` of all words: at most 1 / ``HOT_SHARE`` rows."""
+    rows = frequent.where(F.col("f") >= words * HOT_SHARE).select("lang", "phrase").collect()
+    return np.array([chained(list(word_hashes(r["phrase"].encode().split(b" "), r["lang"])[:, None]))[0] for r in rows], dtype=np.uint64)
+
+
 def _frequent(stripes: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, size, head, f): ``head`` is the stripe's prefix."""
     return stripes.where(F.col("f") >= least).select(
@@ -207,14 +225,18 @@ def mine(docs: DataFrame, least: int = LEAST, subsumed_percent: int = SUBSUMED_P
     src = pick(docs, text="text", lang="lang").select(F.coalesce("lang", F.lit("und")).alias("lang"),
                                                       F.coalesce("text", F.lit("")).alias("text"))
     broadcast = spark.sparkContext.broadcast
-    vocabulary = stored(count_stripes(src, range(1, 2)), "stripes-words")
+    vocabulary = stored(count_stripes(src, range(1, 2), {}, {}), "stripes-words")
     total = vocabulary.groupBy("lang").agg(F.sum("f").alias("n"))
-    singles = _frequent(vocabulary, least)
-    words = broadcast(bitmap_of(singles))
-    pairs = stored(_frequent(count_stripes(src, range(2, 3), words), least), "stripes-pairs")
-    longer = stored(_frequent(count_stripes(src, range(3, LONGEST + 1), words, broadcast(bitmap_of(pairs))), least),
-                    "stripes-longer")
-    candidates = pairs.unionByName(longer)
+    found = {1: _frequent(vocabulary, least)}
+    words = vocabulary.agg(F.sum("f")).first()[0] or 0
+    bitmaps, hot = {}, {}
+    for sizes in (range(2, 3), range(3, 4), range(4, LONGEST + 1)):
+        last = sizes[0] - 1
+        bitmaps[last] = broadcast(bitmap_of(found[last]))
+        hot[last] = hot_prefixes(found[last], words)
+        found[sizes[0]] = stored(_frequent(count_stripes(src, sizes, bitmaps, dict(hot)), least), f"stripes-{sizes[0]}")
+    singles = found.pop(1)
+    candidates = functools.reduce(DataFrame.unionByName, found.values())
     parts = singles.unionByName(candidates).select("lang", "phrase", "f")
     scored = worst_cut(candidates, parts, total)
     # the largest extension of a phrase: to the right within its own stripe, to the left by the tail
