@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -191,6 +192,77 @@ def test_op3_slots_are_compared_with_each_other(spark, monkeypatch):
     assert {r.node: r.class_id for r in dart_minhash.near_groups(df).collect()} == brute_groups(texts)
 
 
+def test_op3_rows_of_one_id_keep_their_own_texts(spark):
+    a = " ".join(f"a{n}" for n in range(60))
+    b = " ".join(f"b{n}" for n in range(60))
+    rows = [(3, a), (5, a), (5, b), (7, b), (7, b), (9, b + " end"), (9, "else"), (None, "else")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.text for r in dart_minhash.one_of_each(df).collect()]
+    assert sorted(kept) == sorted([a, b, "else"])
+    groups = dart_minhash.near_groups(df)
+    assert groups.count() == len(rows) and groups.where("is_kept").count() == 3
+    named = {(r.doc_id, r.class_id) for r in groups.collect()}
+    assert {(3, 3), (5, 3), (5, 5), (7, 5), (9, 5)} <= named
+
+
+def test_op3_loses_no_link_of_a_whole_table(spark):
+    """Against every pair of sf0.01's texts that share a shingle."""
+    texts = texts_of(SF_MID)
+    got = {r.doc_id: r.class_id for r in QUERIES["op3_near_dedup"](spark, SF_MID).collect()}
+    bags, holders = {}, {}
+    for i, t in texts.items():
+        w = t.split()
+        bags[i] = Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
+        for g in bags[i]:
+            holders.setdefault(g, []).append(i)
+    pairs = {(x, y) for ids in holders.values() for n, y in enumerate(ids) for x in ids[:n]}
+    links = []
+    for x, y in pairs:
+        inter = sum((bags[x] & bags[y]).values())
+        if inter >= 0.8 * (sum(bags[x].values()) + sum(bags[y].values()) - inter):
+            links.append((x, y))
+    assert len(links) > 50 and all(got[x] == got[y] for x, y in links)
+
+
+def test_op3_block_makes_fewer_edges_than_rows():
+    """A family of texts alike but all under the threshold, and one of links only: no pairs come out."""
+    for threshold_edits, links in ((12, False), (1, True)):
+        texts = []
+        for n in range(150):
+            w = [f"t{k}" for k in range(300)]
+            for at in range(threshold_edits):
+                w[(7 * n + 23 * at) % 300] = f"new{n}x{at}"
+            texts.append(" ".join(w))
+        shingle = dart_minhash.Shingler()
+        sketch = dart_minhash.sketches([shingle(t) for t in texts])
+        rows = pd.DataFrame({"block": 1, "node": [str(n).encode() for n in range(150)], "brief": [s[1] for s in sketch],
+                             "members": [s[2] for s in sketch]})
+        rows["comp"] = rows["node"]
+        ties = pd.concat(dart_minhash.bucket_ties(iter([rows[:70], rows[70:]])))
+        found = pd.concat(dart_minhash.block_links(iter([rows[:70], rows[70:]])))
+        assert len(ties) < 150 and len(found) == (149 if links else 0)
+
+
+def test_op3_overlaps_by_bits_and_by_merging(monkeypatch):
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 200, rng.integers(1, 150))).astype(np.int32) for _ in range(30)]
+    i, j = np.triu_indices(30, 1)
+    want = [len(set(sets[x].tolist()) & set(sets[y].tolist())) for x, y in zip(i, j)]
+    assert dart_minhash.Overlaps(sets)(i, j).tolist() == want
+    monkeypatch.setattr(dart_minhash, "BIT_BYTES", 0)
+    assert dart_minhash.Overlaps(sets)(i, j).tolist() == want
+
+
+def test_op3_signatures_of_a_batch_equal_those_one_by_one():
+    shingle = dart_minhash.Shingler()
+    bags = [shingle(t) for t in ("one", "a b c d e f g a b c d e f g", " ".join(f"w{n % 700}" for n in range(9000)))]
+    together = dart_minhash.sketches(bags)
+    for bag, (bucket, brief, members) in zip(bags, together):
+        sig = dart_minhash.signature(*bag)
+        assert (dart_minhash.bands_of(sig[None, :])[0] == bucket).all() and sig.astype(np.uint8).tobytes() == brief
+        assert len(members) == bag[1].sum()
+
+
 def test_op3_signature_agreement_estimates_weighted_similarity():
     rng = np.random.default_rng(2)
     e = rng.integers(0, 2 ** 62, 300).astype(np.uint64)

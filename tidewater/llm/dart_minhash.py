@@ -9,26 +9,31 @@ the element's weight.  A dart falls on one of ``COORDINATES`` coordinates, and
 each coordinate keeps the dart of least rank.  Ranks are opened up just far
 enough to fill all coordinates, about (k ln k + 2k) darts however many shingles
 there are.  Two texts agree on a coordinate with probability equal to their
-similarity.
-
-*Candidates.*  Equal texts are one class from the start.  Signatures are cut
-into bands; texts with an equal band share a bucket.  Buckets are joined
-without forming their pairs.  A member is paired with the bucket's centre (its
-least text) and with the members that are most alike by signature (one byte a
-coordinate, compared inside the task), unless the estimate rules a pair out.
-Pairs are verified on the shingles, and verified pairs contracted to
-components.  In buckets that still hold several components, every text outside
-the largest one looks again among the others; this repeats, with four times the
-partners each round, until no pair that the estimate allows is left untried
-between two components.  In the first round a bucket of over ``SLOT`` texts is
-dealt into slots of that size, each compared within itself; after it, every slot
-of texts outside the largest component is compared with every slot of the bucket,
-a task for each two, so no group is ever gathered as a whole.
+similarity.  The darts of an Arrow batch are thrown in one pass.
+
+*Candidates.*  Different texts are the nodes, known by a digest.  Signatures are
+cut into bands; texts with an equal band share a bucket; of buckets with the same
+texts one is looked at.  Inside a bucket the texts whose signatures (one byte a
+coordinate) do not rule each other out are tied by a spanning forest, never by
+their pairs; a bucket of over ``SLOT`` texts is tied as a whole.  The tied texts
+are families: every two texts that share a bucket and that the estimate allows
+lie in one family.
+
+*Links.*  Shingles move for families only.  A family is one block of one task, or
+is dealt into slots of up to ``SLOT`` texts.  In a block the pairs that the
+estimate allows are verified on the shingles, most alike first, leaving out those
+already in one group; only a spanning forest of the verified links comes out, so
+no step makes more rows than it reads.  Families of several slots are dealt a
+second time another way, and then every text outside the family's largest group
+meets every slot, so no link is lost whatever the size of a family.
 
 Defined results: null and empty texts are one class; texts of fewer than five
-words have a single shingle; rows with the same doc_id count as one document;
-a row without id takes part under a key made from its text; an empty table
-gives no rows; extra columns are ignored.
+words have a single shingle; very long texts are shingled whole, in their task;
+every row is taken by its own text, so rows of one id with different texts are in
+the classes of those texts and none is lost (both classes may then bear that id); a row
+without id takes part under a key made from its text; of rows tied for a class's
+least id and text one is kept; an empty table gives no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -47,12 +52,14 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 COORDINATES = BANDS * ROWS
-#: Texts compared at once with as many others of a bucket, partners that a text is paired with
-#: there in the first rounds, and the estimate below which a pair is ruled out (over four standard
-#: errors of the estimate under the threshold).
-SLOT = 2048
-PARTNERS = 3
+#: Texts and shingles of a slot, and the estimate below which a pair is ruled out (over four
+#: standard errors of the estimate under the threshold).
+SLOT, SLOT_SHINGLES = 2048, 1 << 22
 LEAST_ESTIMATE = 0.65
+#: Copies of a class's label, so that a text on very many rows meets it in many tasks.
+SALTS = 16
+#: Cells that darts are thrown into at once, and bytes of a block's bit sets.
+CELLS, BIT_BYTES = 1 << 18, 1 << 26
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(n) for n in range(20)])
@@ -63,42 +70,57 @@ def unit(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
 
 
-def throw_darts(elements: np.ndarray, weights: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-    """(id, rank) of all darts of rank ``low`` to ``high`` that hit the weighted elements."""
+def units(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(name, element, nth) of every unit of the elements' weights."""
     cells = np.ceil(weights).astype(np.int64)
-    owner = np.repeat(np.arange(len(elements)), cells)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(cells) - cells, cells)
-    key = mix(elements[owner] + mix((nth + 1).astype(np.uint64) * _GOLD))
-    ranks = np.arange(low, high)
-    key = mix(key[:, None] ^ mix((ranks + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))[None, :]).ravel()
+    element = np.repeat(np.arange(len(elements)), cells)
+    nth = np.arange(len(element)) - np.repeat(np.cumsum(cells) - cells, cells)
+    return mix(elements[element] + mix((nth + 1).astype(np.uint64) * _GOLD)), element, nth
+
+
+def throw_darts(name: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, id, rank) of all darts that fall on units, each with ranks of its own from ``low`` to ``high``."""
+    ranks = high - low
+    of = np.repeat(np.arange(len(name)), ranks)
+    rank = np.arange(len(of)) - np.repeat(np.cumsum(ranks) - ranks - low, ranks)
+    key = mix(name[of] ^ mix((rank + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
     count = np.searchsorted(_POISSON, unit(key), side="right")
     cell = np.repeat(np.arange(len(key)), count)
-    nth_dart = np.arange(len(cell)) - np.repeat(np.cumsum(count) - count, count)
-    dart = mix(key[cell] + (nth_dart + 1).astype(np.uint64) * _GOLD)
-    rank = low + cell % len(ranks) + unit(dart)
-    of = cell // len(ranks)
-    if (cells != weights).any():
-        hit = nth[of] + unit(mix(dart ^ np.uint64(0x5851F42D4C957F2D))) < weights[owner[of]]
-        dart, rank = dart[hit], rank[hit]
-    return dart, rank
+    nth = np.arange(len(cell)) - np.repeat(np.cumsum(count) - count, count)
+    dart = mix(key[cell] + (nth + 1).astype(np.uint64) * _GOLD)
+    return of[cell], dart, rank[cell] + unit(dart)
+
+
+def signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, n: int, k: int = COORDINATES) -> np.ndarray:
+    """For each of ``n`` texts, the dart of least rank on each of ``k`` coordinates; ``owner`` is an
+    element's text, and every text has some."""
+    name, element, nth = units(elements, weights)
+    text = owner[element]
+    total = np.bincount(owner, weights=weights, minlength=n)
+    part = np.ceil(weights) != weights
+    best, out = np.full(n * k, np.inf), np.zeros(n * k, dtype=np.uint64)
+    low = np.zeros(n, dtype=np.int64)
+    high = np.maximum(1, np.ceil((k * math.log(k) + 2 * k) / total)).astype(np.int64)
+    while True:
+        of, dart, rank = throw_darts(name, low[text], high[text])
+        if part.any():
+            hit = nth[of] + unit(mix(dart ^ np.uint64(0x5851F42D4C957F2D))) < weights[element[of]]
+            of, dart, rank = of[hit], dart[hit], rank[hit]
+        at = text[of] * k + (mix(dart ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(k)).astype(np.int64)
+        before = best.copy()
+        np.minimum.at(best, at, rank)
+        first = (rank == best[at]) & (rank < before[at])
+        out[at[first]] = dart[first]
+        open_ = np.isinf(best).reshape(n, k).any(axis=1)
+        if not open_.any():
+            return out.reshape(n, k)
+        still = open_[text]
+        name, element, nth, text = name[still], element[still], nth[still], text[still]
+        low, high = high, 2 * high
 
 
 def signature(elements: np.ndarray, weights: np.ndarray, k: int = COORDINATES) -> np.ndarray:
-    """The dart of least rank on each of ``k`` coordinates."""
-    total = float(weights.sum())
-    best = np.full(k, np.inf)
-    out = np.zeros(k, dtype=np.uint64)
-    low, high = 0, max(1, math.ceil((k * math.log(k) + 2 * k) / total))
-    while np.isinf(best).any():
-        dart, rank = throw_darts(elements, weights, low, high)
-        at = (mix(dart ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(k)).astype(np.int64)
-        order = np.argsort(rank)[::-1]
-        first, first_rank = np.zeros(k, dtype=np.uint64), np.full(k, np.inf)
-        first[at[order]], first_rank[at[order]] = dart[order], rank[order]
-        better = first_rank < best
-        out[better], best[better] = first[better], first_rank[better]
-        low, high = high, 2 * high
-    return out
+    return signatures(elements, weights, np.zeros(len(elements), dtype=np.int64), 1, k)[0]
 
 
 class Shingler:
@@ -123,21 +145,32 @@ class Shingler:
 def weighted_members(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """One 32-bit name for each unit of integer weight, so that the plain
     Jaccard similarity of two name sets is the weighted one of the texts."""
-    cells = weights.astype(np.int64)
-    nth = np.arange(int(cells.sum())) - np.repeat(np.cumsum(cells) - cells, cells)
-    names = mix(np.repeat(elements, cells) + (nth + 1).astype(np.uint64) * _GOLD)
-    return np.unique((names >> np.uint64(32)).astype(np.uint32).view(np.int32))
+    return np.unique((units(elements, weights)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32))
 
 
 def bands_of(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    """The bucket of each band."""
-    rows = sig.reshape(bands, -1)
-    bucket = (np.arange(bands) + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    for j in range(rows.shape[1]):
-        bucket = mix(bucket * _GOLD + rows[:, j])
+    """The buckets (texts x bands) of signatures (texts x coordinates)."""
+    rows = sig.reshape(len(sig), bands, -1)
+    bucket = np.tile((np.arange(bands) + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), (len(sig), 1))
+    for j in range(rows.shape[2]):
+        bucket = mix(bucket * _GOLD + rows[:, :, j])
     return bucket.view(np.int64)
 
 
+def sketches(texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, bytes, np.ndarray]]:
+    """(buckets, brief, members) of each text's (elements, weights), none of them empty; darts are thrown for
+    as many texts at once as take ``CELLS`` cells."""
+    cells = np.cumsum([max(COORDINATES * 8, int(w.sum())) for _, w in texts])
+    out = []
+    for group in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(cells // CELLS)) + 1):
+        parts = [texts[i] for i in group]
+        owner = np.repeat(np.arange(len(parts)), [len(e) for e, _ in parts])
+        sig = signatures(np.concatenate([e for e, _ in parts]), np.concatenate([w for _, w in parts]), owner, len(parts))
+        buckets, brief = bands_of(sig), sig.astype(np.uint8)
+        out += [(b, x.tobytes(), weighted_members(e, w)) for b, x, (e, w) in zip(buckets, brief, parts)]
+    return out
+
+
 def signature_column(text: Column) -> Column:
     """struct(bucket, brief, members) of a text: its buckets, its signature at
     one byte a coordinate, its shingles' names; empty for a text without words."""
@@ -145,86 +178,162 @@ def signature_column(text: Column) -> Column:
         shingle = Shingler()
         none = (np.zeros(0, dtype=np.int64), b"", np.zeros(0, dtype=np.int32))
         for batch in batches:
-            out = []
-            for t in batch:
-                elements, weights = shingle(t)
-                if len(elements):
-                    sig = signature(elements, weights)
-                    out.append((bands_of(sig), sig.astype(np.uint8).tobytes(), weighted_members(elements, weights)))
-                else:
-                    out.append(none)
-            yield pd.DataFrame(out, columns=["bucket", "brief", "members"])
+            texts = [shingle(t) for t in batch]
+            found = iter(sketches([t for t in texts if len(t[0])]) if any(len(t[0]) for t in texts) else [])
+            yield pd.DataFrame([next(found) if len(t[0]) else none for t in texts], columns=["bucket", "brief", "members"])
 
     return F.pandas_udf(run, "bucket array<long>, brief binary, members array<int>")(text)
 
 
-def estimates(brief: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Estimated similarity of the rows ``of`` to those of ``brief``, both (texts x coordinates) byte matrices."""
-    agree = np.empty((len(of), len(brief)))
-    for i in range(0, len(of), 32):
-        agree[i:i + 32] = (of[i:i + 32, None, :] == brief[None, :, :]).mean(axis=2)
-    return (agree - 1 / 256) / (1 - 1 / 256)
-
-
-def partners(node: np.ndarray, comp: np.ndarray, brief: np.ndarray, asks: np.ndarray, answers: np.ndarray,
-             most: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs (a, b) of one block: each asking text with up to ``most`` of the most alike
-    answering texts of other components; and whether some text has more."""
-    rows, others = np.flatnonzero(asks), np.flatnonzero(answers)
-    alike = estimates(brief[others], brief[rows])
-    alike[comp[rows][:, None] == comp[others][None, :]] = -1
-    found, cut = [np.zeros((2, 0), dtype=np.int64)], False
-    for r, line in zip(rows, alike):
-        near = np.flatnonzero(line >= LEAST_ESTIMATE)
-        cut |= len(near) > most
-        near = others[near[np.argsort(-line[near], kind="stable")[:most]]]
-        found.append(np.stack([np.full(len(near), node[r]), node[near]]))
-    a, b = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
-    return a, b, cut
-
-
-def slot_pairs(most: int):
-    """``partners`` of every block in rows sorted by (bucket, asked, slot), and a row (bucket, null)
-    if some text has more; a block may go on in the next batch."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            key = rows[["bucket", "asked", "slot"]].to_numpy()
-            starts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]
-            rest = rows.iloc[starts[-1]:]
-            for lo, hi in zip(starts[:-1], starts[1:]):
-                yield from _pairs_in(rows.iloc[lo:hi], most)
-        if rest is not None and len(rest):
-            yield from _pairs_in(rest, most)
-    return run
-
-
-def _pairs_in(rows: pd.DataFrame, most: int) -> Iterator[pd.DataFrame]:
-    brief = np.frombuffer(b"".join(rows["brief"]), dtype=np.uint8).reshape(len(rows), -1)
-    a, b, cut = partners(*(rows[c].to_numpy() for c in ("node", "comp")), brief,
-                         *(rows[c].to_numpy() for c in ("asks", "answers")), most)
-    out = pd.DataFrame({"a": a, "b": pd.array(b, dtype="Int64")})
-    if cut:
-        out = pd.concat([out, pd.DataFrame({"a": rows["bucket"].iloc[:1], "b": pd.array([None], dtype="Int64")})])
-    yield out
+# -- inside one block ---------------------------------------------------------
+
+def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """(rows, bounds) of whole blocks, from rows sorted by ``block``; a block may go on in the next batch."""
+    rest = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        key = rows["block"].to_numpy()
+        bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
+        rest = rows.iloc[bounds[-1]:]
+        if len(bounds) > 1:
+            yield rows.iloc[:bounds[-1]], bounds
+    if rest is not None:
+        yield rest, np.array([0, len(rest)])
+
 
+def matrix(brief: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(brief), dtype=np.uint8).reshape(len(brief), -1)
+
+
+def allowed(brief: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(agreeing coordinates, whether the estimate allows the pair) of every two texts."""
+    n, k = brief.shape
+    agree = np.zeros((n, n), dtype=np.uint8)
+    if n <= 64:
+        agree[:] = (brief[:, None, :] == brief[None, :, :]).sum(axis=2)
+    else:
+        for c in brief.T:
+            agree += c[:, None] == c[None, :]
+    near = agree >= least_agreement(k)
+    np.fill_diagonal(near, False)
+    return agree, near
+
+
+def least_agreement(k: int = COORDINATES) -> int:
+    """Bytes that must agree: unequal darts agree in a byte by chance once in 256."""
+    return math.ceil(k * (LEAST_ESTIMATE * 255 / 256 + 1 / 256))
+
+
+def roots(near: np.ndarray) -> np.ndarray:
+    """The least member of each row's component."""
+    label = np.arange(len(near))
+    while True:
+        least = np.minimum(label, np.where(near, label[None, :], len(label)).min(axis=1))
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def bucket_ties(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(a, b): a spanning forest of the pairs that the estimate allows, bucket by bucket."""
+    for rows, bounds in blocks(batches):
+        brief, node = matrix(rows["brief"]), rows["node"].to_numpy()
+        size = np.diff(bounds)
+        twos = bounds[:-1][size == 2]
+        twos = twos[(brief[twos] == brief[twos + 1]).sum(axis=1) >= least_agreement()]
+        a, b = [twos + 1], [twos]
+        for lo, hi in zip(bounds[:-1][size > 2], bounds[1:][size > 2]):
+            root = roots(allowed(brief[lo:hi])[1])
+            moved = np.flatnonzero(root != np.arange(hi - lo))
+            a.append(lo + moved)
+            b.append(lo + root[moved])
+        yield pd.DataFrame({"a": node[np.concatenate(a)], "b": node[np.concatenate(b)]})
+
+
+class Overlaps:
+    """Shared members of pairs of sets: on bit sets of the members that several sets have, or by merging where
+    bits would take too much memory."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.bits = sets, None
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        twice = counts > 1
+        at = (np.cumsum(twice) - 1)[column[twice[column]]]
+        owner = owner[twice[column]]
+        width = -(-int(twice.sum()) // 64) * 8
+        if len(sets) * width <= BIT_BYTES:
+            bits = np.zeros((len(sets), width), dtype=np.uint8)
+            np.bitwise_or.at(bits, (owner, at >> 3), (1 << (at & 7)).astype(np.uint8))
+            self.bits = bits.view(np.uint64)
+
+    def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        if self.bits is None:
+            return np.array([len(np.intersect1d(self.sets[x], self.sets[y], assume_unique=True)) for x, y in zip(i, j)])
+        step = max(1, (1 << 22) // max(1, self.bits.shape[1]))
+        return np.concatenate([np.bitwise_count(self.bits[i[s:s + step]] & self.bits[j[s:s + step]]).sum(axis=1, dtype=np.int64)
+                               for s in range(0, len(i), step)])
+
+
+def linked_roots(label: np.ndarray, brief: np.ndarray, sets: list[np.ndarray], threshold: float = THRESHOLD) -> np.ndarray:
+    """The groups of a block's texts: ``label`` (each text's first fellow in the groups so far) joined by all
+    links among them."""
+    up, n = label.copy(), np.array([len(x) for x in sets])
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    agree, near = allowed(brief)
+    near &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :]) - 1e-9
+    near &= label[:, None] != label[None, :]
+    i, j = np.nonzero(np.triu(near))
+    order = np.argsort(-agree[i, j].astype(np.int16), kind="stable")
+    i, j = i[order], j[order]
+    overlaps, step = Overlaps(sets) if len(i) else None, 2 * len(n)
+    while len(i):
+        shared = overlaps(i[:step], j[:step])
+        found = shared >= threshold * (n[i[:step]] + n[j[:step]] - shared) - 1e-9
+        for x, y in zip(i[:step][found], j[:step][found]):
+            x, y = find(x), find(y)
+            up[max(x, y)] = min(x, y)
+        root = np.array([find(x) for x in range(len(n))])
+        i, j = i[step:], j[step:]
+        apart = root[i] != root[j]
+        i, j, step = i[apart], j[apart], 2 * step
+    return np.array([find(x) for x in range(len(n))])
+
+
+def block_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(a, b): edges that join the texts of each block into its groups, as far as ``comp`` has not."""
+    for rows, bounds in blocks(batches):
+        brief, node, members = matrix(rows["brief"]), rows["node"].to_numpy(), list(rows["members"])
+        comp = pd.factorize(rows["comp"])[0]
+        a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            if hi - lo == 1:
+                continue
+            _, first, inverse = np.unique(comp[lo:hi], return_index=True, return_inverse=True)
+            label = first[inverse]
+            root = linked_roots(label, brief[lo:hi], members[lo:hi])
+            moved = first[root[first] != first]      # one member of each component that has joined another
+            a.append(lo + moved)
+            b.append(lo + root[moved])
+        yield pd.DataFrame({"a": node[np.concatenate(a)], "b": node[np.concatenate(b)]})
+
+
+# -- the groups ---------------------------------------------------------------
 
 def node_key(doc_id: Column, text: Column) -> Column:
     """The document's id; a row without one is known by its text."""
     return F.coalesce(doc_id, F.xxhash64(F.coalesce(text, F.lit(""))))
 
 
-def verified(pairs: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity reaches the threshold."""
-    side = lambda c: members.select(F.col("node").alias(c), F.col("members").alias(f"m_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("m_a", "m_b"))
-    return (both.withColumn("shared", shared)
-            .where(F.col("shared") >= threshold * (F.size("m_a") + F.size("m_b") - F.col("shared")) - 1e-9)
-            .select("a", "b"))
-
-
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, scratch: Scratch | None = None) -> DataFrame:
     """(node, comp): the least node of each connected component.  Each round
     hooks every component to its least neighbour, follows that hook once more,
@@ -248,143 +357,121 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, scratch
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def ends(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
 
 
-def likely(pairs: DataFrame, briefs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the signature estimate does not rule out."""
-    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            x, y = (np.frombuffer(b"".join(c), dtype=np.uint8).reshape(len(c), -1) for c in (a, b))
-            yield pd.Series(((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256))
+def _in_blocks(rows: DataFrame, run) -> DataFrame:
+    """(a, b) of ``run`` over the blocks.  A block's work follows its texts, not its bytes: the number of
+    tasks is the session's, so that adaptive execution does not merge them."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "block").sortWithinPartitions("block", "node").mapInPandas(run, "a binary, b binary")
 
-    side = lambda c: briefs.select(F.col("node").alias(c), F.col("brief").alias(f"brief_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(
-        F.pandas_udf(alike, "double")("brief_a", "brief_b") >= LEAST_ESTIMATE).select("a", "b")
 
+def family_ties(firsts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): edges that tie every two texts which share a bucket and which the estimate allows."""
+    banded = firsts.select("node", F.explode("bucket").alias("bucket"))
+    # buckets of the same texts: one of them is enough
+    once = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"),
+                                         F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.hash("node").cast("long")).alias("y"))
+            .where("n > 1").groupBy("n", "centre", "x", "y").agg(F.min("bucket").alias("bucket")))
+    shared = scratch.stored(banded.join(once.select("bucket", "n", "centre"), "bucket"), "buckets")
+    small = shared.where(F.col("n") <= SLOT).select("node", F.col("bucket").alias("block")).join(
+        firsts.select("node", "brief"), "node")
+    large = shared.where((F.col("n") > SLOT) & (F.col("node") != F.col("centre"))).select(
+        F.col("node").alias("a"), F.col("centre").alias("b"))
+    return scratch.stored(_in_blocks(small, bucket_ties).unionByName(large).distinct(), "ties")
 
-def _slot(n: Column, salt: int = 0) -> Column:
-    return F.pmod(F.xxhash64("bucket", "node", F.lit(salt)), n)
 
+def _dealt(salt: int, slots: str) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(slots)).cast("int")
 
-def _slot_pairs(shared: DataFrame, briefs: DataFrame) -> DataFrame:
-    """(a, b): promising pairs of texts within one slot of a bucket; (bucket, null): buckets that have more."""
-    rows = shared.where("n > 2").withColumn("slot", _slot(F.ceil(F.col("n") / SLOT))).join(briefs, "node").select(
-        "bucket", F.col("slot").alias("asked"), "slot", "node", F.col("node").alias("comp"), "brief",
-        F.lit(True).alias("asks"), F.lit(True).alias("answers"))
-    more = shared.where(F.col("n") > SLOT).select(F.col("bucket").alias("a"), F.lit(None).cast("long").alias("b"))
-    return _in_blocks(rows, PARTNERS).unionByName(more).distinct()
 
+def _block(*key: Column) -> Column:
+    """A block's name; blocks that by chance share one are compared together, which changes no result."""
+    return F.xxhash64("family", *key)
 
-def _block_pairs(shared: DataFrame, groups: DataFrame, briefs: DataFrame, most: int) -> DataFrame:
-    """(a, b): promising pairs of texts that share a bucket but not yet a component, up to
-    ``most`` for a text and block; (bucket, null): buckets that have more.  The texts outside a
-    bucket's largest component are dealt into slots of their own, and each of these slots is
-    compared with each slot of the bucket's texts."""
-    named = shared.join(groups, "node")
-    sizes = named.groupBy("bucket", "n", "comp").agg(F.count("*").alias("size"))
-    home = (sizes.groupBy("bucket", "n").agg(F.max(F.struct("size", "comp")).alias("home"))
-            .where(F.col("home.size") < F.col("n"))
-            .select("bucket", F.col("home.comp").alias("home"), F.ceil(F.col("n") / SLOT).alias("slots"),
-                    F.ceil((F.col("n") - F.col("home.size")) / SLOT).alias("asking")))
-    by_slot = home.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)))
-    rows = (named.withColumn("slot", _slot(F.ceil(F.col("n") / SLOT))).join(by_slot, ["bucket", "slot"])
-            .join(briefs, "node").withColumn("outside", F.col("comp") != F.col("home")))
-    to = lambda asked, slot, asks, answers: F.struct(
-        asked.alias("asked"), slot.alias("slot"), asks.alias("asks"), answers.alias("answers"))
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    yes, no = F.lit(True), F.lit(False)
-    answer = F.transform(upto("asking"), lambda i: to(i, F.col("slot"), no, yes))
-    ask = F.transform(upto("slots"), lambda j: to(_slot(F.col("asking"), 1), j, yes, no))
-    one = F.array(to(F.lit(0).cast("long"), F.col("slot"), F.col("outside"), yes))
-    blocks = F.when(F.col("slots") == 1, one).when(F.col("outside"), F.concat(answer, ask)).otherwise(answer)
-    return _in_blocks(rows.select("bucket", "node", "comp", "brief", F.explode(blocks).alias("x"))
-                      .select("bucket", "node", "comp", "brief", "x.*"), most)
 
+def within_slots(families: DataFrame, details: DataFrame) -> DataFrame:
+    """Edges (a, b) of the links within each slot, for two ways of dealing families into slots."""
+    ways = F.when(F.col("slots") > 1, F.array(_dealt(0, "slots"), -1 - _dealt(1, "slots"))).otherwise(F.array(F.lit(0)))
+    rows = families.withColumn("i", F.explode(ways)).select("row", "node", F.col("node").alias("comp"), _block(F.col("i")).alias("block"))
+    return _in_blocks(rows.join(details, "row"), block_links)
 
-def _in_blocks(rows: DataFrame, most: int) -> DataFrame:
-    key = ["bucket", "asked", "slot"]
-    return (rows.repartition(*key).sortWithinPartitions(*key, "node")
-            .mapInPandas(slot_pairs(most), "a long, b long").distinct())
 
-
-def unfinished(found: DataFrame) -> DataFrame:
-    """The buckets that have more pairs than ``found`` names."""
-    return found.where("b is null").select(F.col("a").alias("bucket"))
+def across_slots(wide: DataFrame, links: DataFrame, details: DataFrame, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) of what is left in families of several slots: texts outside the family's largest
+    group, against every slot."""
+    own = links.join(wide.select(F.col("node").alias("a")), "a", "left_semi")
+    groups = scratch.stored(components(wide.select("node"), own, scratch=scratch), "family-groups")
+    named = wide.join(groups, "node")
+    home = (named.groupBy("family", "comp").agg(F.count("*").alias("size")).groupBy("family")
+            .agg(F.max(F.struct("size", "comp")).alias("home"), F.sum("size").alias("all"))
+            .select("family", F.col("home.comp").alias("home"), F.ceil((F.col("all") - F.col("home.size")) / SLOT).cast("int").alias("asking"))
+            .where("asking > 0"))
+    named = named.join(home, "family").withColumn("outside", F.col("comp") != F.col("home"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    answers = F.transform(upto("asking"), lambda i: _block(i, _dealt(0, "slots")))
+    asks = F.transform(upto("slots"), lambda j: _block(_dealt(2, "asking"), j))
+    met = F.when(F.col("outside"), F.array_union(answers, asks)).otherwise(answers)
+    rows = named.select("row", "node", "comp", F.explode(met).alias("block"))
+    return _in_blocks(rows.join(details, "row"), block_links)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """node, text_class, class_id for every document: the least document with
-    the same text, and the least of its group of near-duplicates."""
+    """doc_id, node, hash, text_class, class_id, is_kept of every row: its id or a key made from its text, a digest
+    of its text, the least id with the same text, the least of its group of near-duplicates, and
+    whether it is the one row that stands for that group."""
     scratch = Scratch(docs.sparkSession)
     keep = scratch.stored
-    src = pick(docs, doc_id=id_col, text=text_col).select(node_key(F.col("doc_id"), F.col("text")).alias("node"), "text")
-    rows = src.select("node", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("hash"), "text")
-    # classes of equal texts: only (hash, node) is shuffled
-    names = keep(rows.select("node", "hash"), "text-names")
-    least = names.groupBy("hash").agg(F.min("node").alias("text_class"))
-    classes = keep(names.join(least, "hash").select("node", "text_class", "hash").distinct(), "text-classes")
-    heads = classes.where("node = text_class").select("node", "hash")
-    sigs = rows.withColumn("s", signature_column(F.col("text"))).select("node", "hash", "s.*").where("size(bucket) > 0")
-    sigs = keep(sigs, "signatures")
-    # one row for each different text; its copies' signatures are left behind
-    banded = sigs.select("node", "hash", "bucket").join(heads, ["node", "hash"], "left_semi").select(
-        "node", F.explode("bucket").alias("bucket"))
-    centres = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"), F.max("node").alias("last"))
-               .where("centre <> last").select("bucket", "n", "centre"))
-    shared = keep(banded.join(centres, "bucket"), "buckets")
-    briefs = sigs.select("node", "hash", "brief").join(heads, ["node", "hash"], "left_semi").dropDuplicates(["node"]).select(
-        "node", "brief")
-    stars = likely(ordered(shared.select(F.col("node").alias("a"), F.col("centre").alias("b"))), briefs)
-    alone = classes.select(F.col("text_class").alias("node")).distinct().withColumn("comp", F.col("node"))
-    found = keep(_slot_pairs(shared, briefs), "found")
-    pairs = keep(stars.unionByName(found.where("b is not null")).distinct(), "pairs")
-    # shingles move only for texts in some pair or in a bucket of several slots; later rounds pair no others
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(
-        shared.where(F.col("n") > SLOT).select("node")).distinct()
-    details = sigs.join(heads.join(ends, "node"), ["node", "hash"], "left_semi").select("node", "brief", "members")
-    details = keep(details.dropDuplicates(["node"]), "candidates")
-    members, briefs = details.select("node", "members"), details.select("node", "brief")
-    groups, tried, most = alone, pairs, PARTNERS
-    while True:
-        links = keep(verified(pairs, members), "links")
-        if not links.isEmpty():
-            of = lambda x: groups.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))  # noqa: E731,B023
-            joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-            merged = components(groups.select(F.col("comp").alias("node")).distinct(), joined, scratch=scratch)
-            groups = keep(groups.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp")
-                            .select("node", F.col("to").alias("comp")), "groups")
-        # a bucket all of whose pairs have been tried is done: its components only grow
-        more = unfinished(found)
-        if more.isEmpty():
-            break
-        shared = keep(shared.join(more, "bucket", "left_semi"), "buckets")
-        found = keep(_block_pairs(shared, groups, briefs, most), "found")
-        pairs = keep(found.where("b is not null").join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried, most = tried.unionByName(pairs), 4 * most
-    groups = groups.select(F.col("node").alias("text_class"), F.col("comp").alias("class_id"))
-    # rows that share an id are one document: it has the least class of its texts
-    out = stored(classes.join(groups, "text_class").groupBy("node").agg(
-        F.min("text_class").alias("text_class"), F.min("class_id").alias("class_id")), "groups")
+    src = pick(docs, doc_id=id_col, text=text_col)
+    rows = src.withColumn("s", signature_column(F.col("text"))).select(
+        "doc_id", node_key(F.col("doc_id"), F.col("text")).alias("id"),
+        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("node"), "s.*").withColumn("row", F.monotonically_increasing_id())
+    rows = keep(rows, "signatures")
+    # one row for each different text; of its copies only (node, id, row) is shuffled
+    texts = keep(rows.groupBy("node").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies")), "texts")
+    firsts = keep(rows.where(F.size("bucket") > 0).select("row", "node", "bucket", "brief", F.size("members").alias("n"))
+                  .join(texts.select("first.row"), "row", "left_semi"), "firsts")
+    ties = family_ties(firsts, scratch)
+    families = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
+    families = keep(families.join(firsts.select("node", "row", "n"), "node"), "families")
+    sizes = families.groupBy("family").agg(F.greatest(
+        F.ceil(F.count("*") / SLOT), F.ceil(F.sum("n") / SLOT_SHINGLES)).cast("int").alias("slots"))
+    families = keep(families.join(sizes, "family"), "family-slots")
+    details = rows.select("row", "brief", "members")
+    links = keep(within_slots(families, details).distinct(), "links")
+    wide = families.where("slots > 1")
+    if not wide.isEmpty():
+        links = keep(links.unionByName(across_slots(wide, links, details, scratch)).distinct(), "links")
+    groups = keep(components(ends(links), links, scratch=scratch).join(texts, "node"), "groups")
+    least = groups.groupBy("comp").agg(F.min(F.struct("first.id", "node", "first.row")).alias("head"))
+    # labels of the texts that have copies or links; any other row stands for itself
+    label = lambda df, head: df.select("node", F.col("first.id").alias("text_class"), head.alias("head"))
+    alone = texts.where("copies > 1").join(groups, "node", "left_anti")
+    labels = label(groups.join(least, "comp"), F.struct("head.id", "head.row")).unionByName(label(alone, F.col("first")))
+    labels = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = (rows.select("doc_id", "id", "node", "row").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+           .join(labels, ["node", "salt"], "left")
+           .select("doc_id", F.col("id").alias("node"), F.col("node").alias("hash"), F.coalesce("text_class", "id").alias("text_class"),
+                   F.coalesce("head.id", "id").alias("class_id"), F.coalesce(F.col("head.row") == F.col("row"), F.lit(True)).alias("is_kept")))
+    out = stored(out, "near-groups")
     scratch.clear()
     return out
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group; all columns as they were."""
-    heads = near_groups(docs).where("node = class_id").select("node")
-    key, turn = fresh(docs, "near_key"), fresh(docs, "near_turn")
-    kept = docs.withColumn(key, node_key(F.col("doc_id"), F.col("text"))).join(
-        heads.withColumnRenamed("node", key), key, "left_semi")
-    order = Window.partitionBy(key).orderBy(F.xxhash64("text"))
+    key, text, turn = fresh(docs, "near_key"), fresh(docs, "near_hash"), fresh(docs, "near_turn")
+    heads = near_groups(docs).where("is_kept").select(F.col("node").alias(key), F.col("hash").alias(text))
+    kept = (docs.withColumn(key, node_key(F.col("doc_id"), F.col("text"))).withColumn(text, F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+            .join(heads, [key, text], "left_semi"))
+    # rows that repeat both id and text: one, by its other columns
+    others = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    order = Window.partitionBy(key, text).orderBy(F.xxhash64(*others))
     return kept.withColumn(turn, F.row_number().over(order)).where(F.col(turn) == 1).select(*docs.columns)
 
 
 @register("op3_near_dedup")
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    groups = near_groups(docs)
-    rows = docs.select("doc_id", node_key(F.col("doc_id"), F.col("text")).alias("node"))
-    return rows.join(groups, "node").select("doc_id", "text_class", "class_id",
-                                            (F.col("node") == F.col("class_id")).alias("is_kept"))
+    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "text_class", "class_id", "is_kept")
