@@ -11,15 +11,17 @@ enough to fill all coordinates, about (k ln k + 2k) darts however many shingles
 there are.  Two texts agree on a coordinate with probability equal to their
 similarity.  The darts of an Arrow batch are thrown in one pass.
 
-*Candidates.*  Different texts are the nodes, known by a digest.  Signatures are
-cut into bands; texts with an equal band share a bucket; of buckets with the same
+*Candidates.*  Different texts are the nodes: the first row of a digest stands for
+its copies.  Signatures are cut into bands; texts with an equal band share a bucket; of buckets with the same
 texts one is looked at.  Inside a bucket the texts whose signatures (one byte a
 coordinate) do not rule each other out are tied by a spanning forest, never by
 their pairs; a bucket of over ``SLOT`` texts is tied as a whole.  The tied texts
 are families: every two texts that share a bucket and that the estimate allows
 lie in one family.
 
-*Links.*  Shingles move for families only.  A family is one block of one task, or
+*Links.*  Shingles move for families only: a bit map of the families' rows, of at
+most ``MAP_BITS``, holds back nearly all others (a row too many costs its bytes, no
+result).  A family is one block of one task, or
 is dealt into slots of up to ``SLOT`` texts.  In a block the pairs that the
 estimate allows are verified on the shingles, most alike first, leaving out those
 already in one group; only a spanning forest of the verified links comes out, so
@@ -56,6 +58,8 @@ COORDINATES = BANDS * ROWS
 #: standard errors of the estimate under the threshold).
 SLOT, SLOT_SHINGLES = 2048, 1 << 22
 LEAST_ESTIMATE = 0.65
+#: Bits of the map of the rows in families, for each row and at most.
+ROW_BITS, MAP_BITS = 8, 1 << 26
 #: Copies of a class's label, so that a text on very many rows meets it in many tasks.
 SALTS = 16
 #: Cells that darts are thrown into at once, and bytes of a block's bit sets.
@@ -365,7 +369,7 @@ def _in_blocks(rows: DataFrame, run) -> DataFrame:
     """(a, b) of ``run`` over the blocks.  A block's work follows its texts, not its bytes: the number of
     tasks is the session's, so that adaptive execution does not merge them."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks, "block").sortWithinPartitions("block", "node").mapInPandas(run, "a binary, b binary")
+    return rows.repartition(tasks, "block").sortWithinPartitions("block", "node").mapInPandas(run, "a long, b long")
 
 
 def family_ties(firsts: DataFrame, scratch: Scratch) -> DataFrame:
@@ -373,7 +377,7 @@ def family_ties(firsts: DataFrame, scratch: Scratch) -> DataFrame:
     banded = firsts.select("node", F.explode("bucket").alias("bucket"))
     # buckets of the same texts: one of them is enough
     once = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"),
-                                         F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.hash("node").cast("long")).alias("y"))
+                                         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
             .where("n > 1").groupBy("n", "centre", "x", "y").agg(F.min("bucket").alias("bucket")))
     shared = scratch.stored(banded.join(once.select("bucket", "n", "centre"), "bucket"), "buckets")
     small = shared.where(F.col("n") <= SLOT).select("node", F.col("bucket").alias("block")).join(
@@ -395,8 +399,8 @@ def _block(*key: Column) -> Column:
 def within_slots(families: DataFrame, details: DataFrame) -> DataFrame:
     """Edges (a, b) of the links within each slot, for two ways of dealing families into slots."""
     ways = F.when(F.col("slots") > 1, F.array(_dealt(0, "slots"), -1 - _dealt(1, "slots"))).otherwise(F.array(F.lit(0)))
-    rows = families.withColumn("i", F.explode(ways)).select("row", "node", F.col("node").alias("comp"), _block(F.col("i")).alias("block"))
-    return _in_blocks(rows.join(details, "row"), block_links)
+    rows = families.withColumn("i", F.explode(ways)).select("node", F.col("node").alias("comp"), _block(F.col("i")).alias("block"))
+    return _in_blocks(rows.join(details, "node"), block_links)
 
 
 def across_slots(wide: DataFrame, links: DataFrame, details: DataFrame, scratch: Scratch) -> DataFrame:
@@ -414,8 +418,26 @@ def across_slots(wide: DataFrame, links: DataFrame, details: DataFrame, scratch:
     answers = F.transform(upto("asking"), lambda i: _block(i, _dealt(0, "slots")))
     asks = F.transform(upto("slots"), lambda j: _block(_dealt(2, "asking"), j))
     met = F.when(F.col("outside"), F.array_union(answers, asks)).otherwise(answers)
-    rows = named.select("row", "node", "comp", F.explode(met).alias("block"))
-    return _in_blocks(rows.join(details, "row"), block_links)
+    rows = named.select("node", "comp", F.explode(met).alias("block"))
+    return _in_blocks(rows.join(details, "node"), block_links)
+
+
+def maybe_in(node: Column, nodes: DataFrame) -> Column:
+    """True for every node of ``nodes`` and for few others: a bit map whose size is bounded."""
+    bits = min(MAP_BITS, 1 << max(16, (ROW_BITS * nodes.count()).bit_length()))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    at_word = nodes.select(at(F.col("node")).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("has")).toPandas()
+    words = np.zeros(bits // 64, dtype=np.int64)
+    words[at_word["word"].to_numpy(dtype=np.int64)] = at_word["has"].to_numpy(dtype=np.int64)
+    shared = nodes.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for h in batches:
+            h = h.to_numpy(dtype=np.int64)
+            yield pd.Series((shared.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return F.pandas_udf(run, "boolean")(at(node))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -427,34 +449,36 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     src = pick(docs, doc_id=id_col, text=text_col)
     rows = src.withColumn("s", signature_column(F.col("text"))).select(
         "doc_id", node_key(F.col("doc_id"), F.col("text")).alias("id"),
-        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("node"), "s.*").withColumn("row", F.monotonically_increasing_id())
+        F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("hash"), "s.*").withColumn("node", F.monotonically_increasing_id())
     rows = keep(rows, "signatures")
-    # one row for each different text; of its copies only (node, id, row) is shuffled
-    texts = keep(rows.groupBy("node").agg(F.min(F.struct("id", "row")).alias("first"), F.count("*").alias("copies")), "texts")
-    firsts = keep(rows.where(F.size("bucket") > 0).select("row", "node", "bucket", "brief", F.size("members").alias("n"))
-                  .join(texts.select("first.row"), "row", "left_semi"), "firsts")
+    # one row for each different text; of its copies only (hash, id, node) is shuffled
+    texts = keep(rows.groupBy("hash").agg(F.min(F.struct("id", "node")).alias("first"), F.count("*").alias("copies"))
+                 .select("hash", "copies", "first.*"), "texts")
+    firsts = keep(rows.where(F.size("bucket") > 0).select("node", "bucket", "brief", F.size("members").alias("n"))
+                  .join(texts.select("node"), "node", "left_semi"), "firsts")
     ties = family_ties(firsts, scratch)
     families = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
-    families = keep(families.join(firsts.select("node", "row", "n"), "node"), "families")
+    families = keep(families.join(firsts.select("node", "n"), "node"), "families")
     sizes = families.groupBy("family").agg(F.greatest(
         F.ceil(F.count("*") / SLOT), F.ceil(F.sum("n") / SLOT_SHINGLES)).cast("int").alias("slots"))
     families = keep(families.join(sizes, "family"), "family-slots")
-    details = rows.select("row", "brief", "members")
+    details = rows.where(maybe_in(F.col("node"), families)).select("node", "brief", "members")
     links = keep(within_slots(families, details).distinct(), "links")
     wide = families.where("slots > 1")
     if not wide.isEmpty():
         links = keep(links.unionByName(across_slots(wide, links, details, scratch)).distinct(), "links")
     groups = keep(components(ends(links), links, scratch=scratch).join(texts, "node"), "groups")
-    least = groups.groupBy("comp").agg(F.min(F.struct("first.id", "node", "first.row")).alias("head"))
+    least = groups.groupBy("comp").agg(F.min(F.struct("id", "hash", "node")).alias("head"))
     # labels of the texts that have copies or links; any other row stands for itself
-    label = lambda df, head: df.select("node", F.col("first.id").alias("text_class"), head.alias("head"))
-    alone = texts.where("copies > 1").join(groups, "node", "left_anti")
-    labels = label(groups.join(least, "comp"), F.struct("head.id", "head.row")).unionByName(label(alone, F.col("first")))
+    label = lambda df, head: df.select("hash", F.col("id").alias("text_class"), head.alias("head"))
+    alone = texts.where("copies > 1").join(groups, "hash", "left_anti")
+    labels = label(groups.join(least, "comp"), F.struct("head.id", "head.node")).unionByName(label(alone, F.struct("id", "node")))
     labels = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    out = (rows.select("doc_id", "id", "node", "row").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
-           .join(labels, ["node", "salt"], "left")
-           .select("doc_id", F.col("id").alias("node"), F.col("node").alias("hash"), F.coalesce("text_class", "id").alias("text_class"),
-                   F.coalesce("head.id", "id").alias("class_id"), F.coalesce(F.col("head.row") == F.col("row"), F.lit(True)).alias("is_kept")))
+    out = (rows.select("doc_id", "id", "hash", "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+           .join(labels, ["hash", "salt"], "left")
+           .select("doc_id", F.col("id").alias("node"), "hash", F.coalesce("text_class", "id").alias("text_class"),
+                   F.coalesce("head.id", "id").alias("class_id"),
+                   F.coalesce(F.col("head.node") == F.col("node"), F.lit(True)).alias("is_kept")))
     out = stored(out, "near-groups")
     scratch.clear()
     return out
