@@ -58,7 +58,7 @@ COORDINATES = BANDS * ROWS
 #: standard errors of the estimate under the threshold).
 SLOT, SLOT_SHINGLES = 2048, 1 << 22
 LEAST_ESTIMATE = 0.65
-#: Bits of the map of the rows in families, for each row and at most.
+#: Bits of a map of values to look for, for each value and at most.
 ROW_BITS, MAP_BITS = 8, 1 << 26
 #: Copies of a class's label, so that a text on very many rows meets it in many tasks.
 SALTS = 16
@@ -361,6 +361,26 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, scratch
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def maybe_in(values: DataFrame) -> Column:
+    """Of the column that is the only one of ``values`` (longs): true for every one of them and for few others,
+    by a bit map whose size is bounded."""
+    name = values.columns[0]
+    bits = min(MAP_BITS, 1 << max(16, (ROW_BITS * values.count()).bit_length()))
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    at_word = values.select(at(F.col(name)).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("has")).toPandas()
+    words = np.zeros(bits // 64, dtype=np.int64)
+    words[at_word["word"].to_numpy(dtype=np.int64)] = at_word["has"].to_numpy(dtype=np.int64)
+    shared = values.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for h in batches:
+            h = h.to_numpy(dtype=np.int64)
+            yield pd.Series((shared.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return F.pandas_udf(run, "boolean")(at(F.col(name)))
+
+
 def ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
 
@@ -376,10 +396,11 @@ def family_ties(firsts: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): edges that tie every two texts which share a bucket and which the estimate allows."""
     banded = firsts.select("node", F.explode("bucket").alias("bucket"))
     # buckets of the same texts: one of them is enough
-    once = (banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"),
-                                         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-            .where("n > 1").groupBy("n", "centre", "x", "y").agg(F.min("bucket").alias("bucket")))
-    shared = scratch.stored(banded.join(once.select("bucket", "n", "centre"), "bucket"), "buckets")
+    once = scratch.stored(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"),
+                                                        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+            .where("n > 1").groupBy("n", "centre", "x", "y").agg(F.min("bucket").alias("bucket"))
+            .select("bucket", "n", "centre"), "shared")
+    shared = scratch.stored(banded.where(maybe_in(once.select("bucket"))).join(once, "bucket"), "buckets")
     small = shared.where(F.col("n") <= SLOT).select("node", F.col("bucket").alias("block")).join(
         firsts.select("node", "brief"), "node")
     large = shared.where((F.col("n") > SLOT) & (F.col("node") != F.col("centre"))).select(
@@ -422,24 +443,6 @@ def across_slots(wide: DataFrame, links: DataFrame, details: DataFrame, scratch:
     return _in_blocks(rows.join(details, "node"), block_links)
 
 
-def maybe_in(node: Column, nodes: DataFrame) -> Column:
-    """True for every node of ``nodes`` and for few others: a bit map whose size is bounded."""
-    bits = min(MAP_BITS, 1 << max(16, (ROW_BITS * nodes.count()).bit_length()))
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    at_word = nodes.select(at(F.col("node")).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("has")).toPandas()
-    words = np.zeros(bits // 64, dtype=np.int64)
-    words[at_word["word"].to_numpy(dtype=np.int64)] = at_word["has"].to_numpy(dtype=np.int64)
-    shared = nodes.sparkSession.sparkContext.broadcast(words.view(np.uint64))
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for h in batches:
-            h = h.to_numpy(dtype=np.int64)
-            yield pd.Series((shared.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1)
-
-    return F.pandas_udf(run, "boolean")(at(node))
-
-
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, node, hash, text_class, class_id, is_kept of every row: its id or a key made from its text, a digest
     of its text, the least id with the same text, the least of its group of near-duplicates, and
@@ -462,7 +465,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sizes = families.groupBy("family").agg(F.greatest(
         F.ceil(F.count("*") / SLOT), F.ceil(F.sum("n") / SLOT_SHINGLES)).cast("int").alias("slots"))
     families = keep(families.join(sizes, "family"), "family-slots")
-    details = rows.where(maybe_in(F.col("node"), families)).select("node", "brief", "members")
+    details = rows.where(maybe_in(families.select("node"))).select("node", "brief", "members")
     links = keep(within_slots(families, details).distinct(), "links")
     wide = families.where("slots > 1")
     if not wide.isEmpty():
