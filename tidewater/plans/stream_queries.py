@@ -318,3 +318,83 @@ def stream_asof_lookup(spark, sf_dir):
     stream = _replay(spark, rows, "turn", "asof-records", shuffled=True).drop("turn")
     run_to_end(stream.writeStream.foreachBatch(view), scratch_dir(spark, "ckpt-asof"))
     return view.read()
+
+
+@register("stream_idle_totals", """
+WITH g AS (SELECT user_id, CAST(ts AS TIMESTAMP) AS ts, value,
+                  ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 24 HOUR AS anew, event_id FROM events),
+p AS (SELECT *, count(*) FILTER (WHERE anew) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS period FROM g),
+s AS (SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, max(ts) + INTERVAL 24 HOUR AS idle_at, count(*) AS n_events,
+             sum(CAST(value AS DECIMAL(28,8))) AS amount FROM p GROUP BY user_id, period)
+SELECT * FROM s WHERE idle_at <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 3 SECOND FROM events)""")
+def stream_idle_totals(spark, sf_dir):
+    """Each user's totals, reported and forgotten after 24 hours without an event; rows
+    come in the order of their time over several micro-batches."""
+    from tidewater.streaming.retention import totals_until_idle
+    rows = _events_in_turns(spark, sf_dir, "ts")
+    dest, checkpoint = scratch_dir(spark, "idle-totals"), scratch_dir(spark, "ckpt-idle")
+    for stream in rows:
+        out = totals_until_idle(stream.select("user_id", "ts", "value"), ["user_id"], "ts",
+                                [F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(28,8)")).alias("amount")])
+        schema = out.schema
+        run_to_end(out.writeStream.format("parquet").outputMode("append").option("path", dest), checkpoint)
+    return spark.read.schema(schema).parquet(dest).select(
+        "user_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_seen", "last_seen", "idle_at")], "n_events", "amount")
+
+
+#: The turns in which ``_events_in_turns`` lets the events arrive.
+TURNS = 4
+
+
+def _events_in_turns(spark, sf_dir, order_col):
+    """The events' stream, once for each turn: a turn adds the next range of ``order_col`` to its folder."""
+    e = read_table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp")) if order_col == "ts" else F.col(order_col)
+    ends = e.select(F.percentile_approx(at, [k / TURNS for k in range(1, TURNS)]).alias("q")).first().q
+    turn = sum((F.coalesce(at > end, F.lit(False)).cast("int") for end in ends), F.lit(0)) if ends else F.lit(0)
+    path, files = scratch_dir(spark, "turns"), max(1, replay_files(e) // TURNS)
+    for k in range(TURNS):
+        replay_as_files(e.where(turn == k), order_col, files, shuffled=True, path=path)
+        yield file_stream(spark, path, e.schema)
+
+
+ARRIVAL = "event_id"
+
+
+@register("stream_row_watermark", """
+WITH a AS (SELECT event_id, user_id, ts + CASE WHEN event_type = 'error' THEN -INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS ts FROM events),
+w AS (SELECT *, max(ts) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 3 SECOND AS watermark FROM a)
+SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, CAST(watermark AS TIMESTAMP) AS watermark, coalesce(ts < watermark, false) AS late FROM w""")
+def stream_row_watermark(spark, sf_dir):
+    """Every event with the watermark it meets; errors tell of one hour before, so most are late."""
+    from tidewater.operators.lateness import RowWatermarkSink
+    sink, checkpoint = RowWatermarkSink(scratch_dir(spark, "row-watermark"), [ARRIVAL], "ts", "3 seconds"), scratch_dir(spark, "ckpt-rw")
+    hour = F.expr("INTERVAL 1 HOUR")
+    for stream in _events_in_turns(spark, sf_dir, ARRIVAL):
+        rows = stream.select("event_id", "user_id", F.when(F.col("event_type") == "error", F.col("ts") - hour).otherwise(F.col("ts")).alias("ts"))
+        run_to_end(rows.writeStream.foreachBatch(sink), checkpoint)
+    return sink.read(spark, rows.schema)
+
+
+#: The stream sinks' file size in the data model.
+ROLL_BYTES = 1 << 20
+
+
+@register("stream_sized_files", "SELECT event_id, user_id, event_type, value, props FROM events")
+def stream_sized_files(spark, sf_dir):
+    """Events as JSON files of 1 MB, read back whole."""
+    from tidewater.operators.sized_files import SizedFileSink
+    s = _events_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props")
+    sink = SizedFileSink(scratch_dir(spark, "sized-events"), ROLL_BYTES, "json")
+    run_to_end(s.writeStream.foreachBatch(sink), scratch_dir(spark, "ckpt-sized"))
+    return sink.read(spark, s.schema)
+
+
+@register("bulk_export_sized", "SELECT doc_id, lang, source, text, n_chars FROM documents")
+def bulk_export_sized(spark, sf_dir):
+    """Texts of very different lengths as CSV files of 1 MB, read back whole."""
+    from tidewater.operators.sized_files import export_sized, read_sized
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text", "n_chars")
+    path = scratch_dir(spark, "sized-texts")
+    export_sized(d, path, ROLL_BYTES)
+    return read_sized(spark, path, d.schema)

@@ -31,6 +31,8 @@ SESSION_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Rows of a session are merged inside the task before they are shuffled, however hot the key.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
