@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF_MID, SF_SMALL
 from tidewater.llm import base, compress_quality, dart_minhash, license_scan, quality_rules, sentencepiece_scan, toxicity
@@ -321,6 +322,65 @@ def test_op5_edited_notice_and_repeats(spark):
     assert got[3].labels == "" and (got[4].n_base, got[4].first_word, got[4].last_word) == (3, 0, 4)
 
 
+def plain_licenses(text):
+    """Labels and score by trying every diagonal of every template."""
+    w = [x.decode() for x in license_scan.words_of(text)]
+    pairs, labels, score = {}, set(), 0.0
+    for i in range(len(w) - 1):
+        pairs.setdefault((w[i], w[i + 1]), []).append(i)
+    for t in license_scan.TEMPLATES:
+        p = [x.decode() for x in license_scan.words_of(t.text)]
+        if t.base or len(p) <= license_scan.WHOLE_UNTIL:
+            held = len(p) if any(w[i:i + len(p)] == p for i in range(len(w))) else 0
+        else:
+            hits = [(i, at) for at in range(len(p) - 1) for i in pairs.get((p[at], p[at + 1]), [])]
+            held = 0
+            for d in {i - at for i, at in hits}:
+                near = sorted((i, at) for i, at in hits if 0 <= i - at - d <= license_scan.DRIFT)
+                run = []
+                for n, (i, at) in enumerate(near):
+                    run.append(1 + max((run[m] for m in range(n) if near[m][0] < i and near[m][1] < at), default=0))
+                held = max(held, max(run) + 1)
+            held = held if held >= license_scan.MIN_SHARE * len(p) else 0
+        if held:
+            labels.add(t.label)
+            score = max(score, held / len(p))
+    return ",".join(sorted(labels)), score
+
+
+def test_op5_labels_and_scores_against_plain(spark):
+    texts = texts_of(SF_MID)
+    for r in QUERIES["op5_license_scan"](spark, SF_MID).collect():
+        labels, score = plain_licenses(texts[r.doc_id])
+        assert (r.labels, r.score) == (labels, pytest.approx(score)), r.doc_id
+
+
+def test_op5_words_of_a_notice_in_another_order(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for t in license_scan.TEMPLATES:
+        w = t.text.split()
+        pairs = [w[i:i + 2] for i in range(len(w) - 1)]
+        rows += [" ".join(x for p in pairs[::-1] for x in p), " ".join(w[::-1]), " ".join(rng.permutation(w)),
+                 " ".join([*w[:len(w) // 2], *(["and"] * 9), *w[len(w) // 2:]]), f"{t.text} {t.text} so {t.text}"]
+        for _ in range(6):                                          # words put in, left out and replaced
+            e = list(w)
+            for _ in range(rng.integers(1, 5)):
+                i = int(rng.integers(0, len(e) + 1))
+                e[i:i + rng.integers(0, 2)] = ["odd"] * int(rng.integers(0, 2))
+            rows.append(" ".join(e))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
+    for i, text in enumerate(rows):
+        labels, score = plain_licenses(text)
+        assert (got[i].labels, got[i].score) == (labels, pytest.approx(score)), text
+    notice = license_scan.TEMPLATES[4].text.split()
+    reverse = " ".join(x for i in range(len(notice) - 2, -1, -1) for x in notice[i:i + 2])
+    assert plain_licenses(reverse) == ("", 0.0)
+    spans = license_scan.find_spans(docs.where(F.col("text").contains(" so "))).where("label is not null and not base")
+    assert spans.groupBy("doc_id", "label").count().where("count < 3").count() == 0
+
+
 def test_op8_against_plain_sketches(spark):
     rows = QUERIES["op8_fingerprint"](spark, SF_SMALL).collect()
     texts = texts_of(SF_SMALL)

@@ -3,9 +3,11 @@
 A license template is a word sequence.  Every rolling word k-gram of a document
 is hashed; the hashes are joined to the templates' k-gram positions, and each
 match votes for its diagonal (document position - template position).  Votes are
-summed by (document, template, diagonal); diagonals that lie close together
-(words put in or left out) and whose spans meet are merged; a merged span is
-verified by the share of the template's words it holds.
+summed by (document, template, diagonal); a diagonal and those up to ``DRIFT``
+further (words put in or left out) are merged, and as a diagonal is no longer than its template, so do
+their spans meet.  A merged span is verified by order: the longest run of its matches in
+which document and template positions both rise, as a share of the template's words.
+Of merged spans that lie within ``DRIFT`` of each other the best is kept (ties: the first diagonal).
 
 A document's k-grams whose hash is in no template cannot vote, so the scan
 leaves them out before the join: the hash set of the templates is small and its
@@ -17,12 +19,14 @@ longer templates add the method's own labels.
 
 Words: the text with A-Z lower-cased, runs of 0-9, a-z and characters from
 U+0080.  Defined results: a null or empty text has no words and no places;
-repeated rows each get a row; null ids stay null; an empty table gives no rows;
+very long texts are scanned whole; repeated rows each get a row; null ids stay null; an empty table gives no rows;
 extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -147,6 +151,34 @@ def scan_column(text: Column, templates=TEMPLATES, k: int = GRAM) -> Column:
     return F.pandas_udf(run, "n_words long, at array<long>, hash array<long>, gram array<string>")(text)
 
 
+def rising_run(places: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """(length, first, last document position) of the longest run of (document, template) positions in which both rise."""
+    tails, ends, before = [], [], {}
+    places = sorted(places, key=lambda p: (p[0], -p[1]))            # of one document position at most one is taken
+    for n, (_, at) in enumerate(places):
+        spot = bisect_left(tails, at)
+        before[n] = ends[spot - 1] if spot else None
+        tails[spot:spot + 1], ends[spot:spot + 1] = [at], [n]
+    if not ends:
+        return 0, 0, 0
+    n = first = ends[-1]
+    while before[first] is not None:
+        first = before[first]
+    return len(ends), places[first][0], places[n][0]
+
+
+def _rising(merged: Column) -> Column:
+    """struct(n, first, last): ``rising_run`` of diagonals with their template positions (JSON; null: none)."""
+    def run(column: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in column:
+            lines = json.loads(text) if text else []
+            out.append(rising_run([(d["diagonal"] + at, at) for d in lines for at in d["held"]]))
+        return pd.DataFrame(out, columns=["n", "first", "last"])
+
+    return F.pandas_udf(run, "n long, first long, last long")(merged)
+
+
 def find_spans(docs: DataFrame, templates=TEMPLATES, k: int = GRAM, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """row_id, doc_id, n_words, and for every verified span: label, base,
@@ -164,24 +196,27 @@ def find_spans(docs: DataFrame, templates=TEMPLATES, k: int = GRAM, id_col: str
         F.col("m.gram").alias("gram"))
     votes = votes.join(F.broadcast(template_positions(spark, templates, k)), ["hash", "gram"], "left")
     votes = votes.withColumn("diagonal", F.col("pos") - F.col("at"))
-    # one row for each place where the template was begun, on a diagonal
+    # one row for each place where the template was begun, on a diagonal: at most as many matches as it has k-grams
     lines = votes.groupBy("row_id", "doc_id", "n_words", "template", "label", "base", "size", "diagonal").agg(
-        F.count("pos").alias("votes"), F.collect_set("at").alias("held"), F.min("pos").alias("first"),
-        F.max("pos").alias("last"))
-    lines = lines.withColumn("whole", F.col("base") & (F.col("votes") == F.col("size")))
-    # neighbouring diagonals of a long template: a new span starts where the step is too wide
-    near = Window.partitionBy("row_id", "template").orderBy("diagonal")
-    step = F.col("diagonal") - F.lag("diagonal").over(near)
-    lines = lines.withColumn("new", F.when(F.col("base") | step.isNull() | (step > DRIFT), 1).otherwise(0))
-    lines = lines.withColumn("span", F.sum("new").over(near.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = lines.groupBy("row_id", "doc_id", "n_words", "template", "label", "base", "size", "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"), F.min("first").alias("first_word"),
-        (F.max("last") + (k - 1)).alias("last_word"), F.bool_or("whole").alias("whole"))
-    # verified by the template places held (each vote's words were compared in the join)
-    share = F.when(F.col("held") > 0, (F.col("held") + (k - 1)) / (F.col("size") + (k - 1)))
-    fits = F.when(F.col("base"), F.col("whole")).otherwise(
-        share >= F.when(F.col("size") + (k - 1) <= WHOLE_UNTIL, F.lit(1.0)).otherwise(F.lit(MIN_SHARE)))
-    spans = spans.withColumn("fits", F.coalesce(fits, F.lit(False)))
+        F.count("pos").alias("votes"), F.collect_list("at").alias("held"))
+    words = F.col("size") + (k - 1)
+    lines = lines.withColumn("alone", F.col("base") | (words <= WHOLE_UNTIL)).withColumn(
+        "need", F.when(~F.col("alone"), F.ceil(words * MIN_SHARE) - (k - 1)))
+    # a long template's diagonal meets those up to DRIFT further, if together they have votes enough
+    by = Window.partitionBy("row_id", "template").orderBy("diagonal")
+    ahead, behind, around = by.rangeBetween(0, DRIFT), by.rangeBetween(-DRIFT, 0), by.rangeBetween(-DRIFT, DRIFT)
+    lines = lines.withColumn("enough", F.coalesce(F.sum("votes").over(ahead) >= F.col("need"), F.lit(False)))
+    mine = F.when(F.max("enough").over(behind), F.struct("diagonal", "held"))
+    lines = lines.withColumn("merged", F.collect_list(mine).over(ahead))
+    lines = lines.withColumn("run", _rising(F.when(F.col("enough"), F.to_json("merged"))))
+    whole = F.col("alone") & (F.col("votes") == F.col("size"))
+    lines = lines.withColumn("n_held", F.when(whole, F.col("size")).when(F.col("run.n") >= F.col("need"), F.col("run.n")))
+    best = F.max(F.when(~F.col("alone"), F.struct("n_held", -F.col("diagonal")))).over(around)
+    spans = lines.withColumn("best", best).withColumn("fits", F.col("n_held").isNotNull() & (
+        F.col("alone") | (F.col("best") == F.struct("n_held", -F.col("diagonal")))))
+    spans = spans.withColumn("first_word", F.when(F.col("alone"), F.col("diagonal")).otherwise(F.col("run.first")))
+    spans = spans.withColumn("last_word", F.when(F.col("alone"), F.col("diagonal") + words - 1).otherwise(F.col("run.last") + (k - 1)))
+    share = (F.col("n_held") + (k - 1)) / words
     only = lambda c: F.when(F.col("fits"), c)
     return spans.select("row_id", "doc_id", "n_words", only(F.col("label")).alias("label"), only(F.col("base")).alias("base"),
                         only(F.col("first_word")).alias("first_word"), only(F.col("last_word")).alias("last_word"),
