@@ -59,7 +59,7 @@ COORDINATES = BANDS * ROWS
 SLOT, SLOT_SHINGLES = 2048, 1 << 22
 LEAST_ESTIMATE = 0.65
 #: Bits of a map of values to look for, for each value and at most.
-ROW_BITS, MAP_BITS = 8, 1 << 26
+ROW_BITS, MAP_BITS = 32, 1 << 26
 #: Copies of a class's label, so that a text on very many rows meets it in many tasks.
 SALTS = 16
 #: Cells that darts are thrown into at once, and bytes of a block's bit sets.
@@ -395,14 +395,16 @@ def _in_blocks(rows: DataFrame, run) -> DataFrame:
 def family_ties(firsts: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b): edges that tie every two texts which share a bucket and which the estimate allows."""
     banded = firsts.select("node", F.explode("bucket").alias("bucket"))
+    # which buckets are shared at all is asked with nothing but the bucket moving
+    common = scratch.stored(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "n"), "common")
+    held = scratch.stored(banded.where(maybe_in(common.select("bucket"))).join(common, "bucket"), "held")
     # buckets of the same texts: one of them is enough
-    once = scratch.stored(banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"),
-                                                        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-            .where("n > 1").groupBy("n", "centre", "x", "y").agg(F.min("bucket").alias("bucket"))
-            .select("bucket", "n", "centre"), "shared")
-    shared = scratch.stored(banded.where(maybe_in(once.select("bucket"))).join(once, "bucket"), "buckets")
-    small = shared.where(F.col("n") <= SLOT).select("node", F.col("bucket").alias("block")).join(
-        firsts.select("node", "brief"), "node")
+    once = (held.groupBy("bucket", "n").agg(F.min("node").alias("centre"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+            .groupBy("n", "centre", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "centre"))
+    shared = scratch.stored(held.join(once, "bucket"), "buckets")
+    small = shared.where(F.col("n") <= SLOT).select("node", F.col("bucket").alias("block"))
+    small = small.join(firsts.select("node", "brief").where(maybe_in(shared.select("node"))), "node")
     large = shared.where((F.col("n") > SLOT) & (F.col("node") != F.col("centre"))).select(
         F.col("node").alias("a"), F.col("centre").alias("b"))
     return scratch.stored(_in_blocks(small, bucket_ties).unionByName(large).distinct(), "ties")
@@ -457,8 +459,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # one row for each different text; of its copies only (hash, id, node) is shuffled
     texts = keep(rows.groupBy("hash").agg(F.min(F.struct("id", "node")).alias("first"), F.count("*").alias("copies"))
                  .select("hash", "copies", "first.*"), "texts")
-    firsts = keep(rows.where(F.size("bucket") > 0).select("node", "bucket", "brief", F.size("members").alias("n"))
-                  .join(texts.select("node"), "node", "left_semi"), "firsts")
+    # a row whose text may have copies stays if it is the first of them; any other row is alone and does not move
+    copied = texts.where("copies > 1").select(F.xxhash64("hash").alias("h"), "node")
+    held = rows.where(F.size("bucket") > 0).select("node", "bucket", "brief", F.size("members").alias("n"), F.xxhash64("hash").alias("h"))
+    held = held.withColumn("maybe", maybe_in(copied.select("h")))
+    twins = held.where("maybe").join(texts.select("node"), "node", "left_semi")
+    firsts = keep(held.where("not maybe").unionByName(twins).select("node", "bucket", "brief", "n"), "firsts")
     ties = family_ties(firsts, scratch)
     families = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
     families = keep(families.join(firsts.select("node", "n"), "node"), "families")
