@@ -136,6 +136,31 @@ def test_op7_cascade_is_exact(spark):
     assert universe.where(cascade.contains(F.col("key")) != (F.crc32("key") % 50 == 0)).count() == 0
 
 
+def test_op7_jobs_do_not_follow_the_partitions(spark):
+    universe = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    other = universe.where(F.crc32("key") % 2 == 0)
+    is_listed = {"a": F.crc32("key") % 50 == 0, "b": F.crc32("key") % 7 == 0, "none": F.lit(False)}
+    lists = {"a": (universe.where(is_listed["a"]), universe), "b": (other.where(is_listed["b"]), other), "none": (universe.limit(0), universe)}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spark.sparkContext.setJobGroup("one-cascade", "")
+        url_cascade.build_cascade(*lists["a"])
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-cascade"))
+        spark.sparkContext.setJobGroup("three-cascades", "")
+        built = url_cascade.build_cascades(lists)
+        more = len(spark.sparkContext.statusTracker().getJobIdsForGroup("three-cascades"))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert jobs < 60 and more < 60                # a job for each partition of a level would be 60 a level
+    assert not built["none"].levels
+    for name, rows in (("a", universe), ("b", other), ("none", universe)):
+        assert rows.where(built[name].contains(F.col("key")) != is_listed[name]).count() == 0
+
+
 def test_op8(odd_docs, no_docs, spark):
     src = odd_docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     got = by_id(fingerprint.with_next(src, bits=1))

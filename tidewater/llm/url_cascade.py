@@ -19,6 +19,7 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -76,41 +77,65 @@ def _accepts(level: Level, n: int, key: Column) -> Column:
     return hit
 
 
-def _build_level(keys: DataFrame, n: int, count: int) -> Level:
+def _bits(n: int, count: int) -> int:
     bits = 64
     while bits < count * BITS_PER_KEY:
         bits *= 2
     if bits > MAX_FILTER_BITS:
         raise ValueError(f"cascade level {n}: {count} keys need {bits} bits, more than {MAX_FILTER_BITS}")
-    found = (keys.select(F.explode(F.array(*_positions(F.col("key"), n, bits))).alias("p"))
-             .groupBy(F.shiftright("p", 6).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(p, 64) as int))")).alias("v")))
-    out = np.zeros(bits // 64, dtype=np.int64)
-    for r in found.toLocalIterator():           # at most bits / 64 rows
-        out[r["w"]] = r["v"]
-    return Level(bits, out)
-
-
-def build_cascade(listed: DataFrame, universe: DataFrame, max_levels: int = 40) -> Cascade:
-    """The cascade of ``listed`` (column key) over ``universe`` (column key).
+    return bits
+
+
+def _build_levels(keys: DataFrame, n: int, counts: dict[str, int]) -> dict[str, Level]:
+    """Level ``n`` of every list in ``counts``, by one aggregation of ``keys`` (list, key)."""
+    sizes = {name: _bits(n, count) for name, count in counts.items()}
+    bits = F.coalesce(*[F.when(F.col("list") == name, F.lit(b)) for name, b in sizes.items()])
+    found = (keys.select("list", F.explode(F.array(*_positions(F.col("key"), n, bits))).alias("p"))
+             .groupBy("list", F.shiftright("p", 6).alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(p, 64) as int))")).alias("v"))).toArrow()
+    # at most bits / 64 rows of a list, and all in one job: a job for each of its partitions would take longer than the work
+    lists, at, words = (found[c].to_numpy() for c in ("list", "w", "v"))
+    out = {}
+    for name, b in sizes.items():
+        out[name] = Level(b, np.zeros(b // 64, dtype=np.int64))
+        out[name].words[at[lists == name]] = words[lists == name]
+    return out
+
+
+def build_cascades(lists: dict[str, tuple[DataFrame, DataFrame]], max_levels: int = 40) -> dict[str, Cascade]:
+    """The cascade of each (listed, universe), tables with a column key; a level of all of them takes two jobs.
     Exact for every key of either table; null keys are ignored."""
-    marked = (universe.select("key", F.lit(False).alias("listed"))
-              .unionByName(listed.select("key", F.lit(True).alias("listed")))
-              .where(F.col("key").isNotNull()).groupBy("key").agg(F.max("listed").alias("listed")))
+    sides = [df.select(F.lit(name).alias("list"), "key", F.lit(listed).alias("listed"))
+             for name, (mine, universe) in lists.items() for listed, df in ((False, universe), (True, mine))]
+    marked = (functools.reduce(DataFrame.unionByName, sides).where(F.col("key").isNotNull())
+              .groupBy("list", "key").agg(F.max("listed").alias("listed")))
     marked = stored(marked, "url-universe")
-    levels: list[Level] = []
-    sides = {True: marked.where("listed"), False: marked.where("not listed")}
-    count = sides[True].count()
+    levels: dict[str, list[Level]] = {name: [] for name in lists}
+    live = list(lists)
     for n in range(max_levels):
-        if not count:
-            return Cascade(levels)
         inside = n % 2 == 0                     # even levels hold listed keys
-        levels.append(_build_level(sides[inside], n, count))
-        sides[not inside] = sides[not inside].where(_accepts(levels[n], n, F.col("key")))
-        count = sides[not inside].count()
+
+        def asked(name):
+            """The keys of the level: those of its side that no level of the other side has rejected."""
+            before = [_accepts(levels[name][k], k, F.col("key")) for k in range(1 - n % 2, n, 2)]
+            return functools.reduce(Column.__and__, before, (F.col("list") == name) & (F.col("listed") == inside))
+
+        row = marked.agg(*[F.count_if(asked(name)) for name in live]).first()
+        counts = {name: count for name, count in zip(live, row) if count}
+        live = list(counts)
+        if not live:
+            return {name: Cascade(found) for name, found in levels.items()}
+        keys = marked.where(functools.reduce(Column.__or__, map(asked, live)))
+        for name, level in _build_levels(keys, n, counts).items():
+            levels[name].append(level)
     raise ValueError(f"no exact cascade within {max_levels} levels")
 
 
+def build_cascade(listed: DataFrame, universe: DataFrame, max_levels: int = 40) -> Cascade:
+    """The cascade of ``listed`` (column key) over ``universe`` (column key)."""
+    return build_cascades({"": (listed, universe)}, max_levels)[""]
+
+
 def split_url(url: Column) -> tuple[Column, Column]:
     """(host, path) as the contract defines them."""
     at = F.instr(url, "://")
@@ -152,9 +177,12 @@ def judge_urls(pages: DataFrame, rules=RULES, blocked_hosts: DataFrame | None =
     universe = universe.select(F.explode(candidate_keys(F.col("host"), F.col("path"), lengths)).alias("key"))
     hosts = rows.select("host").distinct().select(F.explode(host_suffixes(F.col("host"))).alias("key"))
     as_keys = lambda v: spark.createDataFrame([(h + p,) for h, p, w in rules if w in v], "key string")
-    in_rules = build_cascade(as_keys(("allow", "block")), universe)
-    in_block = build_cascade(as_keys(("block",)), universe)
-    in_hosts = build_cascade(blocked_hosts, hosts) if blocked_hosts is not None else Cascade([])
+    lists = {"rules": (as_keys(("allow", "block")), universe),
+             "block": (as_keys(("block",)), as_keys(("allow",)))}        # asked for the rules that fit, and nothing else
+    if blocked_hosts is not None:
+        lists["hosts"] = blocked_hosts, hosts
+    built = build_cascades(lists)
+    in_rules, in_block, in_hosts = (built.get(name, Cascade([])) for name in ("rules", "block", "hosts"))
     longest = lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a)
     best = F.reduce(F.filter("keys", in_rules.contains), F.lit(""), longest)
     out = keyed.withColumn("rule", F.nullif(best, F.lit("")))
