@@ -114,6 +114,23 @@ def test_left_join_reads_only_the_buckets_it_touches(spark, tmp_out, monkeypatch
     assert view.read().where("y is not null").count() == 1 and view.read().count() == 100
 
 
+def test_left_join_takes_tasks_by_its_rows(spark, tmp_out, monkeypatch):
+    from tidewater.streaming import views
+    monkeypatch.setattr(views, "TASK_ROWS", 25, raising=False)
+    left = StructType().add("k", "long").add("x", "string")
+    right = StructType().add("k", "long").add("y", "string")
+    view = LeftJoinView(spark, tmp_out("tasks"), left, ["k"], right, ["k"], ["k"], buckets=2)
+    rows = lambda schema, ks, text: spark.createDataFrame([(k, text, "I") for k in ks], StructType([*schema]).add("op", "string"))
+    plans, publish = [], view._publish
+    monkeypatch.setattr(view, "_publish", lambda net, n: (plans.append(net._jdf.queryExecution().optimizedPlan().toString()), publish(net, n)))
+    view.apply(rows(left, range(150), "l"), rows(right, range(50), "r"), 0)       # 200 rows, 8 tasks
+    view.apply(rows(left, range(150, 200), "l"), rows(right, range(50, 200), "r"), 1)
+    for plan, tasks in zip(plans, (8, 16)):
+        dealt = [line for line in plan.splitlines() if "RepartitionByExpression" in line and line.rstrip().endswith(f", {tasks}")]
+        assert len(dealt) >= 3, plan                     # the parts of the result, each by itself
+    assert sorted_rows(view.read()) == sorted([(k, "l", "r") for k in range(200)], key=repr) == folded(view)
+
+
 T0 = datetime.datetime(2024, 1, 1)
 
 

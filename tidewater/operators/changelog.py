@@ -17,13 +17,18 @@ from pyspark.sql import functions as F
 OP = "op"
 
 
+def net(changes: DataFrame) -> DataFrame:
+    """The changelog without rows that are both withdrawn and added: one shuffle on the whole row."""
+    cols = [c for c in changes.columns if c != OP]
+    left = changes.groupBy(*cols).agg(F.sum(F.when(F.col(OP) == "D", -1).otherwise(1)).alias("_n")).where("_n <> 0")
+    times = F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))
+    return left.select(F.when(F.col("_n") < 0, "D").otherwise("I").alias(OP), *cols, F.explode(times).alias("_k")).drop("_k")
+
+
 def difference(before: DataFrame, after: DataFrame) -> DataFrame:
-    """The changelog from ``before`` to ``after`` (the same columns): one shuffle on the whole row."""
+    """The changelog from ``before`` to ``after`` (the same columns)."""
     cols = after.columns
-    both = before.select(*cols, F.lit(-1).alias("_n")).unionByName(after.select(*cols, F.lit(1).alias("_n")))
-    net = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
-    times = F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))
-    return net.select(F.when(F.col("_n") < 0, "D").otherwise("I").alias(OP), *cols, F.explode(times).alias("_k")).drop("_k")
+    return net(before.select(F.lit("D").alias(OP), *cols).unionByName(after.select(F.lit("I").alias(OP), *cols)))
 
 
 def fold(changes: DataFrame | Sequence[DataFrame]) -> DataFrame:

@@ -205,7 +205,9 @@ class DeltaTable:
         schema = StructType.fromJson(snapshot["schema"])
         if not files:
             return self.spark.createDataFrame([], schema)
-        return self._newest(self.spark.read.schema(schema).parquet(*[f for f, _ in files]), [*self.order, SEQ])
+        # a key has one row a folder at most: nothing to fold, and so to sort, before the shuffle
+        rows = self.spark.read.schema(schema).parquet(*[f for f, _ in files]).repartition(*self.keys)
+        return self._newest(rows, [*self.order, SEQ])
 
     def read(self, version: int | None = None, buckets: Sequence[int] | None = None, keys: tuple | None = None) -> DataFrame:
         """The live rows of a snapshot (the newest, or ``version``)."""
@@ -220,6 +222,11 @@ class DeltaTable:
             return self.spark.createDataFrame([], schema)
         return self.read(version, buckets).select(*schema.names)
 
+    def stored_rows(self, buckets: Sequence[int] | None = None) -> int:
+        """How many rows a read of ``buckets`` opens: those of all commits, deletes included."""
+        files = self.files(buckets=buckets)
+        return self.spark.read.parquet(*[f for f, _ in files]).count() if files else 0
+
     def touched(self, rows: DataFrame) -> list[int]:
         """The buckets of ``rows`` (which has the ``bucket_by`` columns): at most ``buckets`` numbers."""
         return [r[0] for r in rows.select(self.bucket()).distinct().collect()]

@@ -12,6 +12,7 @@ again with the same outcome.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,8 @@ from tidewater.operators.rank import top_n
 from tidewater.sources import fs
 
 OP = changelog.OP
+#: Stored rows of both sides that a task of a maintained join takes.
+TASK_ROWS = 200_000
 
 
 def _within(rows: DataFrame, groups: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -60,7 +63,8 @@ class _View:
         to = f"{self.path}/changes/batch_id={batch_id}"
         changes.select(OP, *self.result_schema.names).write.mode("overwrite").parquet(to)
         written = self.spark.read.schema(StructType([*self.result_schema]).add(OP, "string")).parquet(to)
-        self.result.upsert(changelog.as_updates(written, self.result.keys), (self.name, batch_id))
+        # a key has two changes at most: nothing to fold before the shuffle
+        self.result.upsert(changelog.as_updates(written.repartition(*self.result.keys), self.result.keys), (self.name, batch_id))
 
 
 class GroupView(_View):
@@ -167,31 +171,31 @@ class LeftJoinView(_View):
             self.sides[side][0].upsert(rows, batch)
         if self.result.applied(batch):
             return
-        changed, own = {}, {s: t.commit_of(self.name)[1] for s, (t, _) in self.sides.items()}
-        numbers = sorted({b for s, (t, _) in self.sides.items() for b in t.touched(own[s])})
-        old, new = {}, {}
-        for s, (t, schema) in self.sides.items():
-            old[s], new[s] = self._states(s, numbers)
-            mine = own[s].select(*t.keys).distinct()
-            changed[s] = changelog.difference(_within(old[s], mine, t.keys), _within(new[s], mine, t.keys))
+        numbers = sorted({b for t, _ in self.sides.values() for b in t.touched(t.commit_of(self.name)[1])})
+        # each input is dealt by the key over tasks of about TASK_ROWS rows, and each part of the result (dealt by its
+        # whole rows) is made in a stage of its own: a task's memory does not depend on the size of batch or table
+        tasks = max(1, -(-sum(t.stored_rows(numbers) for t, _ in self.sides.values()) // TASK_ROWS))
+        dealt = lambda df: df.repartition(tasks, *self.on)
+        old, new, changed = {}, {}, {}
+        for s in self.sides:
+            old[s], new[s] = map(dealt, self._states(s, numbers))
+            changed[s] = changelog.difference(old[s], new[s])       # rows of other keys cancel out
         cols = self.result_schema.names
         padded = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.extra]
-        names = [f.name for f in self.sides["left"][1]]
-        pad = lambda df: df.select(OP, *names, *padded).select(OP, *cols)
-        # inner part: changed left with the new right, old left with changed right
-        inner = (changed["left"].join(new["right"], self.on).select(OP, *cols)
-                 .unionByName(old["left"].join(changed["right"], self.on).select(OP, *cols)))
-        # padded part: changed left rows without a match, and old left rows whose key got its first or lost its last match
-        has = lambda df: df.select(*self.on).distinct()
-        moved = has(changed["right"])
-        had, have = has(old["right"]), has(new["right"])
-        first = moved.join(have, self.on, "left_semi").join(had, self.on, "left_anti").withColumn(OP, F.lit("D"))
-        last = moved.join(had, self.on, "left_semi").join(have, self.on, "left_anti").withColumn(OP, F.lit("I"))
-        outer = pad(changed["left"].join(new["right"], self.on, "left_anti")).unionByName(
-            pad(old["left"].join(first.unionByName(last), self.on)))
-        # a row that both parts add and withdraw is no change
-        both = inner.unionByName(outer)
-        net = changelog.difference(both.where(f"{OP} = 'D'").drop(OP), both.where(f"{OP} = 'I'").drop(OP))
+        # keys that got their first match (the padded row goes) or lost their last (it comes back)
+        count = lambda df, had, gain: df.select(*self.on, had.alias("had"), gain.alias("gain"))
+        gain = F.when(F.col(OP) == "D", -1).otherwise(1)
+        matches = (count(old["right"], F.lit(1), F.lit(0)).unionByName(count(changed["right"], F.lit(0), gain)).dropna(subset=self.on)
+                   .groupBy(*self.on).agg(F.sum("had").alias("had"), F.sum("gain").alias("gain")))
+        flips = matches.where("(had > 0) <> (had + gain > 0)").select(*self.on, F.when(F.col("had") > 0, "I").otherwise("D").alias(OP))
+        parts = (
+            changed["left"].join(new["right"], self.on, "left"),        # changed left rows as they stand now
+            old["left"].join(changed["right"], self.on),                # old left rows with changed right ones
+            old["left"].join(flips, self.on).select("*", *padded),
+        )
+        # a row that two parts add and withdraw is no change
+        both = functools.reduce(DataFrame.unionByName, [part.select(OP, *cols).repartition(tasks, *cols) for part in parts])
+        net = changelog.net(both)
         self._publish(net, batch_id)
 
 
