@@ -5,6 +5,8 @@ import itertools
 import random
 import re
 
+import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import LONG, SF_SMALL
 from tidewater.llm import collocations, filter_audit, ngram_join
@@ -99,6 +101,32 @@ def test_op11_prefixes_keep_every_link():
             assert len(set(prefix(a, la)) & set(prefix(b, lb))) >= need
 
 
+def test_op11_bound_keeps_every_link_and_drops_other_pairs(spark):
+    rng = random.Random(3)
+    sizes = [1, 2, 50, 400, 90_000]                                 # the last fills its cells
+    pairs = []
+    for n in sizes:
+        a = [rng.randrange(2**64) for _ in range(n)]
+        for gone in (0, n // 50, n // 20, n // 10, n):
+            pairs.append((np.unique(np.array(a, dtype=np.uint64)), np.unique(np.array(
+                a[gone:] + [rng.randrange(2**64) for _ in range(gone)], dtype=np.uint64))))
+    rows = [(i, len(a), len(b), ngram_join.cells(a), ngram_join.cells(b)) for i, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "i int, na int, nb int, a binary, b binary")
+    may = {r.i for r in df.where(ngram_join.may_link(F.col("na"), F.col("nb"), F.col("a"), F.col("b"), 90)).collect()}
+    shared = [len(np.intersect1d(a, b)) for a, b in pairs]
+    link = {i for i, (a, b) in enumerate(pairs) if 100 * shared[i] >= 90 * (len(a) + len(b) - shared[i])}
+    assert link <= may and {14, 19}.isdisjoint(may)                 # 50 and 400 other shingles
+
+    # classes whose prefixes meet often, but whose sets differ: their texts are not compared
+    texts = [" ".join(f"t{i}w{j}" if j > 8 else f"common{j}" for j in range(80)) for i in range(40)] + [
+        " ".join(f"n{j}" for j in range(80)), " ".join(f"n{j}" for j in range(79)) + " n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    excess = spark.sparkContext.broadcast(np.zeros(1 << ngram_join.COUNTER_BITS, dtype=np.float32))
+    sets = docs.withColumn("s", ngram_join.prefix_column(F.col("text"), excess)).select("s.*").cache()
+    every = sets.select(F.col("node").alias("a")).crossJoin(sets.select(F.col("node").alias("b"))).where("a < b")
+    assert ngram_join.bounded(every, sets, 90).count() == 1
+
+
 # -- op12 -----------------------------------------------------------------------
 
 def plain_phrases(rows, least, top):

@@ -12,10 +12,12 @@ the smaller ``l`` of the two asks for.
 
 Equal sets are one class from the start.  Shingles that only one prefix holds
 fall away.  A posting list of up to ``SMALL`` classes names its pairs, which are
-counted and verified on the whole sets by joins, each class's least partner first
-and then the pairs that this has not tied together.  Longer lists tie their classes
+counted.  The histograms of two sets over ``CELLS`` cells of the hash bound how many
+shingles they can share; pairs that cannot reach ``PERCENT`` by that bound need no
+texts.  The others are verified on the whole sets by joins, each class's least partner first.
+The pairs that this has not tied together, and longer lists, tie their classes
 into families; a family is dealt into slots, and each slot is searched inside one
-task (shared prefix shingles first, then the whole sets), which emits only edges
+task (histograms first, then, for the classes that may link there, shared prefix shingles and the whole sets), which emits only edges
 that span what it found linked: never more rows than it read.  Families of several
 slots are dealt a second time another way, and then every class outside the
 family's largest component meets every slot, so no link is lost whatever the size
@@ -40,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.base import Scratch, WordHasher, mix, pick, register, stored, table
-from tidewater.llm.dart_minhash import components
+from tidewater.llm.dart_minhash import components, maybe_in
 
 SHINGLE = 3
 PERCENT = 90
@@ -53,9 +55,11 @@ COUNTER_BITS = 18
 SMALL = 64
 SLOT, SLOT_SHINGLES = 2048, 1 << 22
 SALTS = 16
+#: Cells of a set's histogram, a byte each; a cell of ``FULL`` holds that many shingles or more.
+CELLS, FULL = 256, 255
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_PREFIX = "node binary, n int, asks int, tokens array<long>"
+_PREFIX = "node binary, n int, asks int, tokens array<long>, cells binary"
 
 
 class Shingles:
@@ -116,6 +120,18 @@ def shared_to_ask(above: np.ndarray, percent: int = PERCENT) -> int:
     return int(choices[np.argmin(postings * (1 + VERIFY_COST / choices))])
 
 
+def cells(tokens: np.ndarray) -> bytes:
+    """How many shingles of a set lie in each cell."""
+    counts = np.bincount((tokens & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    return np.minimum(counts, FULL).astype(np.uint8).tobytes()
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The most shingles that two sets can share, for rows of cells; cells that are full in both set no bound."""
+    least = np.minimum(a, b)
+    return np.where((least == FULL).any(axis=1), np.iinfo(np.int64).max // 1000, least.sum(axis=1, dtype=np.int64))
+
+
 class Sets:
     """Texts to (set in the corpus order, prefix length, ``l``)."""
 
@@ -131,7 +147,7 @@ class Sets:
 
 
 def prefix_column(text: Column, excess, percent: int = PERCENT) -> Column:
-    """struct of ``_PREFIX``: the set's name (a digest of it, null if empty), size, ``l`` and prefix."""
+    """struct of ``_PREFIX``: the set's name (a digest of it, null if empty), size, ``l``, prefix and histogram."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         sets = Sets(excess.value, percent)
         for batch in batches:
@@ -139,12 +155,23 @@ def prefix_column(text: Column, excess, percent: int = PERCENT) -> Column:
             for t in batch:
                 tokens, p, asks = sets(t)
                 name = hashlib.md5(np.sort(tokens).tobytes()).digest() if len(tokens) else None
-                out.append((name, len(tokens), asks, tokens[:p].view(np.int64)))
-            yield pd.DataFrame(out, columns=["node", "n", "asks", "tokens"])
+                out.append((name, len(tokens), asks, tokens[:p].view(np.int64), cells(tokens) if len(tokens) else None))
+            yield pd.DataFrame(out, columns=["node", "n", "asks", "tokens", "cells"])
 
     return F.pandas_udf(run, _PREFIX)(text)
 
 
+def may_link(n_a: Column, n_b: Column, cells_a: Column, cells_b: Column, percent: int) -> Column:
+    """Whether two sets of these sizes and histograms can reach ``percent``; true for all that do."""
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for n, a, b in batches:
+            grid = lambda x: np.frombuffer(b"".join(x), dtype=np.uint8).reshape(len(x), CELLS)
+            shared = most_shared(grid(a), grid(b))
+            yield pd.Series(100 * shared >= percent * (n.to_numpy(dtype=np.int64) - shared))
+
+    return F.pandas_udf(run, "boolean")(n_a.cast("long") + n_b, cells_a, cells_b)
+
+
 def linked(text_a: Column, text_b: Column, percent: int) -> Column:
     """Whether the similarity of two texts' sets reaches ``percent``."""
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -210,6 +237,45 @@ def spanning(links: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first[moved], to[moved]
 
 
+def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The blocks of rows sorted by (family, i, j); a block may go on in the next batch."""
+    rest = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        at = pd.factorize(pd.MultiIndex.from_frame(rows[["family", "i", "j"]]))[0]
+        starts = np.r_[0, np.flatnonzero(np.diff(at)) + 1]
+        rest = rows.iloc[starts[-1]:]
+        for lo, hi in zip(starts[:-1], starts[1:]):
+            yield rows.iloc[lo:hi]
+    if rest is not None:
+        yield rest
+
+
+def promising(n: np.ndarray, grid: np.ndarray, comp: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which sets of a block (ascending sizes, rows of cells) may link with one of another component."""
+    out = np.zeros(len(n), dtype=bool)
+    for k, end in enumerate(np.searchsorted(n, 100 * n // percent, side="right")):
+        if end > k + 1:
+            shared = most_shared(grid[k + 1:end], grid[k])
+            may = (100 * shared >= percent * (n[k] + n[k + 1:end] - shared)) & (comp[k + 1:end] != comp[k])
+            out[k] |= may.any()
+            out[k + 1:end] |= may
+    return out
+
+
+def block_candidates(percent: int = PERCENT):
+    """The rows of every block that may link inside it: never more than there are."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in blocks(batches):
+            rows = rows.drop_duplicates("node").sort_values("n", kind="stable")
+            grid = np.frombuffer(b"".join(rows["cells"]), dtype=np.uint8).reshape(len(rows), CELLS)
+            may = promising(rows["n"].to_numpy(dtype=np.int64), grid, pd.factorize(rows["comp"])[0], percent)
+            yield rows.loc[may, ["family", "i", "j", "node", "comp"]]
+    return run
+
+
 def block_edges(excess, percent: int = PERCENT):
     """Edges of every block in rows sorted by (family, i, j); a block may go on in the next batch."""
     def edges(rows: pd.DataFrame, sets: Sets) -> pd.DataFrame:
@@ -221,18 +287,9 @@ def block_edges(excess, percent: int = PERCENT):
         return pd.DataFrame({"a": node[a], "b": node[b]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest, sets = None, Sets(excess.value, percent)
-        for batch in batches:
-            if not len(batch):
-                continue
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            at = pd.factorize(pd.MultiIndex.from_frame(rows[["family", "i", "j"]]))[0]
-            starts = np.r_[0, np.flatnonzero(np.diff(at)) + 1]
-            rest = rows.iloc[starts[-1]:]
-            for lo, hi in zip(starts[:-1], starts[1:]):
-                yield edges(rows.iloc[lo:hi], sets)
-        if rest is not None:
-            yield edges(rest, sets)
+        sets = Sets(excess.value, percent)
+        for rows in blocks(batches):
+            yield edges(rows, sets)
     return run
 
 
@@ -248,21 +305,27 @@ def _dealt(salt: int, slots: str) -> Column:
     return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(slots)).cast("int")
 
 
-def _edges(rows: DataFrame, excess, percent: int) -> DataFrame:
-    """(a, b) from rows (family, i, j, node, comp, text)."""
+def _edges(rows: DataFrame, sets_of, texts_of, excess, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b) from rows (family, i, j, node, comp): histograms go to the blocks first, and the texts of
+    those classes alone that may link there."""
     key = ["family", "i", "j"]
-    return (rows.select(*key, "node", "comp", "text").repartition(*key).sortWithinPartitions(*key, "node")
+    rows = scratch.stored(rows.select(*key, "node", "comp"), "blocks")
+    grouped = lambda df: df.repartition(*key).sortWithinPartitions(*key, "node")
+    may = (grouped(rows.join(sets_of(rows.select("node")), "node").select(*key, "node", "comp", "n", "cells"))
+           .mapInPandas(block_candidates(percent), rows.schema))
+    may = scratch.stored(may, "candidates")
+    return (grouped(may.join(texts_of(may.select("node")), "node").select(*key, "node", "comp", "text"))
             .mapInPandas(block_edges(excess, percent), "a binary, b binary"))
 
 
-def within_slots(families: DataFrame, sizes: DataFrame, texts: DataFrame, excess, percent: int) -> DataFrame:
+def within_slots(families: DataFrame, sizes: DataFrame, sets_of, texts_of, excess, percent: int, scratch: Scratch) -> DataFrame:
     """Edges (a, b) that span the links within each slot, for two ways of dealing families into slots."""
-    rows = families.join(sizes, "family").join(texts, "node").withColumn("comp", F.col("node")).withColumn("j", F.lit(0))
+    rows = families.join(sizes, "family").withColumn("comp", F.col("node")).withColumn("j", F.lit(0))
     ways = F.when(F.col("slots") > 1, F.array(_dealt(0, "slots"), F.col("slots") + _dealt(1, "slots"))).otherwise(F.array(F.lit(0)))
-    return _edges(rows.withColumn("i", F.explode(ways)), excess, percent)
+    return _edges(rows.withColumn("i", F.explode(ways)), sets_of, texts_of, excess, percent, scratch)
 
 
-def across_slots(families: DataFrame, wide: DataFrame, links: DataFrame, texts: DataFrame, excess, percent: int, slot: int,
+def across_slots(families: DataFrame, wide: DataFrame, links: DataFrame, sets_of, texts_of, excess, percent: int, slot: int,
                  scratch: Scratch) -> DataFrame:
     """Edges (a, b) that span what is left in families of several slots: classes outside the family's
     largest component, against every slot."""
@@ -281,7 +344,7 @@ def across_slots(families: DataFrame, wide: DataFrame, links: DataFrame, texts:
     asks = F.transform(upto("slots"), lambda j: block(_dealt(2, "asking"), j))
     blocks = F.explode(F.when(F.col("outside"), F.array_union(answers, asks)).otherwise(answers)).alias("x")
     split = split.join(asking, "family").select("family", "node", "comp", blocks).select("*", "x.i", "x.j")
-    return _edges(split.join(texts, "node"), excess, percent)
+    return _edges(split, sets_of, texts_of, excess, percent, scratch)
 
 
 def small_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -312,6 +375,13 @@ def apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
     return named.where("comp_a is null or comp_b is null or comp_a <> comp_b").select("a", "b")
 
 
+def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may link by the sizes and histograms of their sets (rows node, n, cells)."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("cells").alias(f"cells_{c}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .where(may_link(F.col("n_a"), F.col("n_b"), F.col("cells_a"), F.col("cells_b"), percent)).select("a", "b"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
@@ -324,6 +394,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     scratch = Scratch(spark)
     keep = scratch.stored
+    ends = lambda df: df.select(F.col("a").alias("node")).unionByName(df.select(F.col("b").alias("node"))).distinct()
     src = pick(docs, doc_id=id_col, text=text_col).withColumn("hash", F.xxhash64("text")).withColumn(
         "key", F.coalesce("doc_id", "hash"))
     excess = spark.sparkContext.broadcast(excess_counts(src))
@@ -337,28 +408,49 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     postings = firsts.select("node", "n", "asks", F.explode("tokens").alias("token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     lists = keep(postings.join(shared, "token").distinct(), "lists")
-    pairs = keep(small_pairs(lists, percent), "pairs")
+    named = keep(small_pairs(lists, percent), "named-pairs")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """(node, n, cells)"""
+        return firsts.where(maybe_in(nodes.distinct())).select("node", "n", "cells").dropDuplicates(["node"])
+
+    pairs = keep(bounded(named, sets_of(ends(named)), percent), "pairs")
     large = lists.where(F.col("c") > SMALL)
     centre = large.groupBy("token").agg(F.min("node").alias("b"))
     ties = keep(large.join(centre, "token").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "ties")
-    ends = lambda df: df.select(F.col("a").alias("node")).unionByName(df.select(F.col("b").alias("node"))).distinct()
-    families = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
-    families = keep(families.join(classes.select("node", "n"), "node"), "families")
-    sizes = keep(_slots(families, slot), "family-slots")
-    # texts of the classes to be verified: moved once, by class; sets are made again where they are compared
-    wanted = keep(ends(pairs).unionByName(families.select("node")).distinct().join(classes, "node").select("node", "head.*"), "wanted")
-    texts = src.join(wanted, ["key", "hash"]).select("node", "text").dropDuplicates(["node"])
+
+    def families_of(ties: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(family, node, n) of classes tied by ``ties`` (a, b), and the slots of each family."""
+        tied = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
+        tied = keep(tied.join(classes.select("node", "n"), "node"), "families")
+        return tied, keep(_slots(tied, slot), "family-slots")
+
+    families, sizes = families_of(ties)
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(node, text) of the classes to be verified; sets are made again where they are compared.  Only
+        rows that a bounded bit map of their hashes names are moved, and equal rows of an id fold where they are."""
+        wanted = keep(nodes.distinct().join(classes, "node").select("node", "head.*"), "wanted")
+        return (src.where(maybe_in(wanted.select("hash"))).join(wanted, ["key", "hash"])
+                .groupBy("key", "hash", "node").agg(F.first("text").alias("text")).select("node", "text"))
+
     # first each class with its least partner, which ties most groups together; then what still lies apart
     least = both_ways(pairs).groupBy("node").agg(F.min("other").alias("other"))
     stars = least.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    links = keep(verified(stars, texts, percent).unionByName(within_slots(families, sizes, texts, excess, percent)), "links")
+    links = keep(verified(stars, texts_of(ends(stars)), percent).unionByName(
+        within_slots(families, sizes, sets_of, texts_of, excess, percent, scratch)), "links")
     tied = components(ends(links), links, scratch=scratch)
     rest = keep(apart(pairs.join(stars, ["a", "b"], "left_anti"), tied), "rest")
-    if not rest.isEmpty():
-        links = keep(links.unionByName(verified(rest, texts, percent)), "links")
-    wide = sizes.where("slots > 1")
-    if not wide.isEmpty():
-        links = keep(links.unionByName(across_slots(families, wide, links, texts, excess, percent, slot, scratch)), "links")
+    searched = [(families, sizes)]
+    if not rest.isEmpty():      # as families too: their texts move once, not with every pair
+        searched.append(families_of(rest))
+        more = within_slots(*searched[1], sets_of, texts_of, excess, percent, scratch)
+        links = keep(links.unionByName(more), "links")
+    for families, sizes in searched:
+        wide = sizes.where("slots > 1")
+        if not wide.isEmpty():
+            more = across_slots(families, wide, links, sets_of, texts_of, excess, percent, slot, scratch)
+            links = keep(links.unionByName(more), "links")
     named = components(ends(links), links, scratch=scratch).join(classes.select("node", "least_id"), "node")
     least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "comp").select("node", "component_id")
