@@ -27,7 +27,7 @@ def texts_of(sf):
 def test_matches_sql(spark, name):
     from tests.test_oracle import _rows
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     got = QUERIES[name](spark, SF_SMALL)
     cur = con.execute(ORACLE[name])
