@@ -101,6 +101,36 @@ def test_op11_prefixes_keep_every_link():
             assert len(set(prefix(a, la)) & set(prefix(b, lb))) >= need
 
 
+def test_op11_linked_sets_share_a_part():
+    rng = random.Random(5)
+    seen = 0
+    for k in range(3000):
+        percent = (90, 90, 75, 50)[k % 4]
+        n = round(2 ** rng.uniform(1, 9))
+        most = n * (100 - percent) // 100
+        gone, new = rng.randrange(most + 1), rng.randrange(n * 100 // percent - n + 1)
+        pool = np.array([rng.randrange(2**64) for _ in range(n + new)], dtype=np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(pool[gone:])
+        if gone + new and 100 * (n - gone) >= percent * (n + new):
+            seen += 1
+            assert len(np.intersect1d(ngram_join.part_names(a, percent), ngram_join.part_names(b, percent)))
+    assert seen > 500
+    assert not len(ngram_join.part_names(np.zeros(0, dtype=np.uint64)))
+
+
+def test_op11_frequent_shingles_make_no_families(spark, monkeypatch):
+    """Sets that share a third of their shingles, and so long lists, but no part: a block per pair of slots before."""
+    rng = random.Random(6)
+    texts = [" ".join([f"common{j}" for j in range(30)] + [f"t{i}w{j}" for j in range(50)]) for i in range(200)]
+    texts += family(rng, 20, 120, 5) + texts[:3]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(ngram_join, "excess_counts", lambda docs: np.zeros(1 << ngram_join.COUNTER_BITS, dtype=np.float32))
+    searched, edges = [], ngram_join._edges
+    monkeypatch.setattr(ngram_join, "_edges", lambda blocks, *args: searched.append(blocks.count()) or edges(blocks, *args))
+    assert joined(spark, rows, slot=16) == plain_join(rows)
+    assert sum(searched) < len(rows)
+
+
 def test_op11_bound_keeps_every_link_and_drops_other_pairs(spark):
     rng = random.Random(3)
     sizes = [1, 2, 50, 400, 90_000]                                 # the last fills its cells

@@ -41,7 +41,7 @@ ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -361,24 +361,44 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, scratch
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def maybe_in(values: DataFrame) -> Column:
-    """Of the column that is the only one of ``values`` (longs): true for every one of them and for few others,
-    by a bit map whose size is bounded."""
-    name = values.columns[0]
+def bit_map(values: DataFrame, at: Callable[[Column], Column] = F.xxhash64):
+    """(bits, words shared with the tasks): a map, of bounded size, of the hashes ``at`` of the only column of ``values``."""
     bits = min(MAP_BITS, 1 << max(16, (ROW_BITS * values.count()).bit_length()))
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    at_word = values.select(at(F.col(name)).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
+    at_word = values.select(F.pmod(at(F.col(values.columns[0])), F.lit(bits)).alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(h % 64 as int))")).alias("has")).toPandas()
     words = np.zeros(bits // 64, dtype=np.int64)
     words[at_word["word"].to_numpy(dtype=np.int64)] = at_word["has"].to_numpy(dtype=np.int64)
-    shared = values.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+    return bits, values.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+
+def in_map(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return (words[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def maybe_in(values: DataFrame) -> Column:
+    """Of the column that is the only one of ``values``: true for every one of them and for few others,
+    by a bit map whose size is bounded."""
+    bits, shared = bit_map(values)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for h in batches:
-            h = h.to_numpy(dtype=np.int64)
-            yield pd.Series((shared.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1)
+            yield pd.Series(in_map(shared.value, h.to_numpy(dtype=np.int64)))
+
+    return F.pandas_udf(run, "boolean")(F.pmod(F.xxhash64(values.columns[0]), F.lit(bits)))
+
+
+def members_in(arrays: Column, values: DataFrame) -> Column:
+    """The members of arrays of hashes that are in the only column of ``values`` (hashes too), and few others."""
+    bits, shared = bit_map(values, lambda c: c)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            ends = np.cumsum([len(x) for x in batch])
+            flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in batch]) if len(batch) else np.zeros(0, dtype=np.int64)
+            has = in_map(shared.value, flat & (bits - 1))
+            yield pd.Series([x[h] for x, h in zip(np.split(flat, ends[:-1]), np.split(has, ends[:-1]))])
 
-    return F.pandas_udf(run, "boolean")(at(F.col(name)))
+    return F.pandas_udf(run, "array<long>")(arrays)
 
 
 def ends(edges: DataFrame) -> DataFrame:

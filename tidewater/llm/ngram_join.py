@@ -15,7 +15,10 @@ fall away.  A posting list of up to ``SMALL`` classes names its pairs, which are
 counted.  The histograms of two sets over ``CELLS`` cells of the hash bound how many
 shingles they can share; pairs that cannot reach ``PERCENT`` by that bound need no
 texts.  The others are verified on the whole sets by joins, each class's least partner first.
-The pairs that this has not tied together, and longer lists, tie their classes
+A longer list names no pairs: a frequent shingle says little about its classes.  They are cut into
+parts, a few more than the shingles in which two linked sets can differ, so that linked sets have
+whole parts in common (``part_names``); what shares a part is nearly always alike.
+The pairs that this has not tied together, and the common parts, tie their classes
 into families; a family is dealt into slots, and each slot is searched inside one
 task (histograms first, then, for the classes that may link there, shared prefix shingles and the whole sets), which emits only edges
 that span what it found linked: never more rows than it read.  Families of several
@@ -34,6 +37,7 @@ no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.base import Scratch, WordHasher, mix, pick, register, stored, table
-from tidewater.llm.dart_minhash import components, maybe_in
+from tidewater.llm.dart_minhash import components, maybe_in, members_in
 
 SHINGLE = 3
 PERCENT = 90
@@ -52,14 +56,18 @@ MOST_SHARED, VERIFY_COST = 6, 8.0
 #: Counters of the frequency table (one megabyte), classes of a list that names its pairs, and
 #: classes and shingles of a slot.
 COUNTER_BITS = 18
-SMALL = 64
+SMALL = 4
 SLOT, SLOT_SHINGLES = 2048, 1 << 22
 SALTS = 16
+#: Largest sizes of the groups of sets that are cut into equally many parts, each at most 27/20 of the group's least.
+HIGHS = []
+while not HIGHS or HIGHS[-1] < 1 << 40:
+    HIGHS.append((HIGHS[-1] + 1 if HIGHS else 1) * 27 // 20)
 #: Cells of a set's histogram, a byte each; a cell of ``FULL`` holds that many shingles or more.
 CELLS, FULL = 256, 255
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_PREFIX = "node binary, n int, asks int, tokens array<long>, cells binary"
+_PREFIX = "node binary, n int, asks int, tokens array<long>, cells binary, parts array<long>"
 
 
 class Shingles:
@@ -120,6 +128,26 @@ def shared_to_ask(above: np.ndarray, percent: int = PERCENT) -> int:
     return int(choices[np.argmin(postings * (1 + VERIFY_COST / choices))])
 
 
+def part_names(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Names of parts of a set (sorted hashes); two different sets that link share at least one.
+
+    The hashes are cut into ``differ + 1 + spare`` ranges.  Linked sets have at most ``differ`` shingles in one set
+    only, so the same ones in at least ``1 + spare`` ranges.  Each set leaves out its ``spare`` weakest parts, by
+    an order that rests on a part's content alone: the strongest of the common parts is weakest in neither.  A set takes part in the
+    group of every size that a smaller partner, or itself, may have."""
+    n, out = len(tokens), [np.zeros(0, dtype=np.uint64)]
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(tokens, dtype=np.uint64)])
+    for g in range(bisect_left(HIGHS, -(-percent * n // 100)), bisect_left(HIGHS, n) + 1) if n else ():
+        differ = (HIGHS[g] + 100 * HIGHS[g] // percent) * (100 - percent) // (100 + percent)
+        if differ:                                                  # else only equal sets link
+            spare = 2 + differ // 8
+            many = differ + 1 + spare
+            at = np.searchsorted(tokens >> np.uint64(32), -(-(np.arange(many + 1, dtype=np.int64) << 32) // many).astype(np.uint64))
+            name = mix(sums[at[1:]] - sums[at[:-1]] + mix((np.arange(many) + ((g + 1) << 40)).astype(np.uint64)))
+            out.append(name[np.lexsort((name, np.diff(at)))[spare:]])
+    return np.concatenate(out)
+
+
 def cells(tokens: np.ndarray) -> bytes:
     """How many shingles of a set lie in each cell."""
     counts = np.bincount((tokens & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
@@ -147,16 +175,17 @@ class Sets:
 
 
 def prefix_column(text: Column, excess, percent: int = PERCENT) -> Column:
-    """struct of ``_PREFIX``: the set's name (a digest of it, null if empty), size, ``l``, prefix and histogram."""
+    """struct of ``_PREFIX``: the set's name (a digest of it, null if empty), size, ``l``, prefix, histogram and parts."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         sets = Sets(excess.value, percent)
         for batch in batches:
             out = []
             for t in batch:
                 tokens, p, asks = sets(t)
-                name = hashlib.md5(np.sort(tokens).tobytes()).digest() if len(tokens) else None
-                out.append((name, len(tokens), asks, tokens[:p].view(np.int64), cells(tokens) if len(tokens) else None))
-            yield pd.DataFrame(out, columns=["node", "n", "asks", "tokens", "cells"])
+                whole = np.sort(tokens)
+                name, grid = (hashlib.md5(whole.tobytes()).digest(), cells(whole)) if len(whole) else (None, None)
+                out.append((name, len(tokens), asks, tokens[:p].view(np.int64), grid, part_names(whole, percent).view(np.int64)))
+            yield pd.DataFrame(out, columns=["node", "n", "asks", "tokens", "cells", "parts"])
 
     return F.pandas_udf(run, _PREFIX)(text)
 
@@ -348,19 +377,28 @@ def across_slots(families: DataFrame, wide: DataFrame, links: DataFrame, sets_of
 
 
 def small_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of lists of up to ``SMALL`` classes that may share as many prefix shingles as they ask for."""
-    held = lists.where(F.col("c") > SMALL).groupBy("node").agg(F.count("*").alias("in_large"))
-    rows = (lists.where(F.col("c") <= SMALL).join(held, "node", "left")
-            .select("token", F.struct("node", "n", "asks", F.coalesce("in_large", F.lit(0)).alias("in_large")).alias("x")))
+    """Pairs (a, b) of lists of up to ``SMALL`` classes that share as many prefix shingles as they ask for.  Pairs that
+    share one of a longer list are left to ``part_ties``."""
+    rows = lists.where(F.col("c") <= SMALL).select("token", F.struct("node", "n", "asks").alias("x"))
     group = rows.groupBy("token").agg(F.sort_array(F.collect_list("x")).alias("xs"))     # at most SMALL
     pair = F.transform("xs", lambda x, i: F.transform(F.slice("xs", i + 2, SMALL), lambda y: F.struct(
         x["node"].alias("a"), y["node"].alias("b"), F.least(x["n"], y["n"]).alias("low"), F.greatest(x["n"], y["n"]).alias("high"),
-        F.least(x["asks"], y["asks"]).alias("asks"), F.least(x["in_large"], y["in_large"]).alias("in_large"))))
+        F.least(x["asks"], y["asks"]).alias("asks"))))
     return (group.select(F.explode(F.flatten(pair)).alias("x")).select("x.*")
             .where((F.col("a") != F.col("b")) & (100 * F.col("low") >= percent * F.col("high")))
-            .groupBy("a", "b", "asks", "in_large").agg(F.count("*").alias("shared"))
-            # shingles shared in longer lists are not counted here
-            .where(F.col("shared") + F.col("in_large") >= F.col("asks")).select("a", "b"))
+            .groupBy("a", "b", "asks").agg(F.count("*").alias("shared"))
+            .where("shared >= asks").select("a", "b"))
+
+
+def part_ties(firsts: DataFrame, long: DataFrame, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that tie all classes with a part in common, among those (rows node, parts) named in ``long`` and
+    few others, which a bounded bit map lets through."""
+    held = firsts.where(maybe_in(long.select("node"))).select("node", "parts")
+    common = scratch.stored(held.select(F.explode("parts").alias("part")).groupBy("part").agg(F.count("*").alias("c"))
+                            .where("c > 1").select("part"), "common-parts")
+    held = scratch.stored(held.select("node", F.explode(members_in(F.col("parts"), common)).alias("part")), "held-parts")
+    centre = held.groupBy("part").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b <> last").select("part", "b")
+    return held.join(centre, "part").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
@@ -401,12 +439,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = keep(src.withColumn("s", prefix_column(F.col("text"), excess, percent)).select("doc_id", "key", "hash", "s.*"), "prefixes")
     classes = keep(rows.where("n > 0").groupBy("node", "n").agg(
         F.min(F.struct("key", "hash")).alias("head"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "classes")
-    # the rows of one text of each class; classes without copies need no look-up
-    twins = classes.where("copies > 1").select("node", "head")
-    firsts = rows.where("n > 0").join(twins, "node", "left").where(
-        F.col("head").isNull() | (F.col("head") == F.struct("key", "hash")))
+    # the rows of one text of each class; rows that a bounded bit map shows to have no copies stay where they are
+    twins = keep(classes.where("copies > 1").select("node", "head"), "twins")
+    held = rows.where("n > 0").withColumn("maybe", maybe_in(twins.select("node")))
+    copied = held.where("maybe").join(twins, "node", "left").where(F.col("head").isNull() | (F.col("head") == F.struct("key", "hash")))
+    firsts = held.where("not maybe").unionByName(copied.select(held.columns))
     postings = firsts.select("node", "n", "asks", F.explode("tokens").alias("token"))
-    shared = postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
+    shared = keep(postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    # of the postings only those move that a bounded bit map does not show to be alone
+    postings = firsts.select("node", "n", "asks", F.explode(members_in(F.col("tokens"), shared.select("token"))).alias("token"))
     lists = keep(postings.join(shared, "token").distinct(), "lists")
     named = keep(small_pairs(lists, percent), "named-pairs")
 
@@ -415,9 +456,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return firsts.where(maybe_in(nodes.distinct())).select("node", "n", "cells").dropDuplicates(["node"])
 
     pairs = keep(bounded(named, sets_of(ends(named)), percent), "pairs")
-    large = lists.where(F.col("c") > SMALL)
-    centre = large.groupBy("token").agg(F.min("node").alias("b"))
-    ties = keep(large.join(centre, "token").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "ties")
+    long = keep(lists.where(F.col("c") > SMALL).select("node").distinct(), "in-long-lists")
+    ties = keep(part_ties(firsts, long, scratch), "ties")
 
     def families_of(ties: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(family, node, n) of classes tied by ``ties`` (a, b), and the slots of each family."""
