@@ -380,9 +380,9 @@ def maybe_in(values: DataFrame) -> Column:
     by a bit map whose size is bounded."""
     bits, shared = bit_map(values)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for h in batches:
-            yield pd.Series(in_map(shared.value, h.to_numpy(dtype=np.int64)))
+    # no iterators: maps asked of the same rows are then asked by one worker
+    def run(h: pd.Series) -> pd.Series:
+        return pd.Series(in_map(shared.value, h.to_numpy(dtype=np.int64)))
 
     return F.pandas_udf(run, "boolean")(F.pmod(F.xxhash64(values.columns[0]), F.lit(bits)))
 
@@ -391,12 +391,11 @@ def members_in(arrays: Column, values: DataFrame) -> Column:
     """The members of arrays of hashes that are in the only column of ``values`` (hashes too), and few others."""
     bits, shared = bit_map(values, lambda c: c)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            ends = np.cumsum([len(x) for x in batch])
-            flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in batch]) if len(batch) else np.zeros(0, dtype=np.int64)
-            has = in_map(shared.value, flat & (bits - 1))
-            yield pd.Series([x[h] for x, h in zip(np.split(flat, ends[:-1]), np.split(has, ends[:-1]))])
+    def run(batch: pd.Series) -> pd.Series:
+        ends = np.cumsum([len(x) for x in batch])[:-1]
+        flat = np.concatenate([np.zeros(0, dtype=np.int64), *batch])
+        has = in_map(shared.value, flat & (bits - 1))
+        return pd.Series([x[h] for x, h in zip(np.split(flat, ends), np.split(has, ends))])
 
     return F.pandas_udf(run, "array<long>")(arrays)
 

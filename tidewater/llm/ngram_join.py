@@ -14,12 +14,10 @@ Equal sets are one class from the start.  Shingles that only one prefix holds
 fall away.  A posting list of up to ``SMALL`` classes names its pairs, which are
 counted.  The histograms of two sets over ``CELLS`` cells of the hash bound how many
 shingles they can share; pairs that cannot reach ``PERCENT`` by that bound need no
-texts.  The others are verified on the whole sets by joins, each class's least partner first.
-A longer list names no pairs: a frequent shingle says little about its classes.  They are cut into
+texts.  A longer list names no pairs: a frequent shingle says little about its classes.  They are cut into
 parts, a few more than the shingles in which two linked sets can differ, so that linked sets have
 whole parts in common (``part_names``); what shares a part is nearly always alike.
-The pairs that this has not tied together, and the common parts, tie their classes
-into families; a family is dealt into slots, and each slot is searched inside one
+The other pairs and the common parts tie their classes into families; a family is dealt into slots, and each slot is searched inside one
 task (histograms first, then, for the classes that may link there, shared prefix shingles and the whole sets), which emits only edges
 that span what it found linked: never more rows than it read.  Families of several
 slots are dealt a second time another way, and then every class outside the
@@ -201,20 +199,6 @@ def may_link(n_a: Column, n_b: Column, cells_a: Column, cells_b: Column, percent
     return F.pandas_udf(run, "boolean")(n_a.cast("long") + n_b, cells_a, cells_b)
 
 
-def linked(text_a: Column, text_b: Column, percent: int) -> Column:
-    """Whether the similarity of two texts' sets reaches ``percent``."""
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        shingles = Shingles()
-        for a, b in batches:
-            out = []
-            for x, y in zip(map(shingles, a), map(shingles, b)):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pd.Series(out, dtype=bool)
-
-    return F.pandas_udf(run, "boolean")(text_a, text_b)
-
-
 # -- inside one block ---------------------------------------------------------
 
 def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -343,7 +327,7 @@ def _edges(rows: DataFrame, sets_of, texts_of, excess, percent: int, scratch: Sc
     may = (grouped(rows.join(sets_of(rows.select("node")), "node").select(*key, "node", "comp", "n", "cells"))
            .mapInPandas(block_candidates(percent), rows.schema))
     may = scratch.stored(may, "candidates")
-    return (grouped(may.join(texts_of(may.select("node")), "node").select(*key, "node", "comp", "text"))
+    return (grouped(texts_of(may).select(*key, "node", "comp", "text"))
             .mapInPandas(block_edges(excess, percent), "a binary, b binary"))
 
 
@@ -401,18 +385,6 @@ def part_ties(firsts: DataFrame, long: DataFrame, scratch: Scratch) -> DataFrame
     return held.join(centre, "part").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
-def both_ways(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-        pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
-
-
-def apart(pairs: DataFrame, tied: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose ends are not yet in one component (rows node, comp)."""
-    of = lambda c: tied.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
-    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return named.where("comp_a is null or comp_b is null or comp_a <> comp_b").select("a", "b")
-
-
 def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that may link by the sizes and histograms of their sets (rows node, n, cells)."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("cells").alias(f"cells_{c}"))
@@ -420,12 +392,6 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(may_link(F.col("n_a"), F.col("n_b"), F.col("cells_a"), F.col("cells_b"), percent)).select("a", "b"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(linked(F.col("text_a"), F.col("text_b"), percent)).select("a", "b"))
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                        slot: int = SLOT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; see the module's docstring."""
@@ -457,40 +423,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     pairs = keep(bounded(named, sets_of(ends(named)), percent), "pairs")
     long = keep(lists.where(F.col("c") > SMALL).select("node").distinct(), "in-long-lists")
-    ties = keep(part_ties(firsts, long, scratch), "ties")
-
-    def families_of(ties: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(family, node, n) of classes tied by ``ties`` (a, b), and the slots of each family."""
-        tied = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
-        tied = keep(tied.join(classes.select("node", "n"), "node"), "families")
-        return tied, keep(_slots(tied, slot), "family-slots")
+    ties = keep(pairs.unionByName(part_ties(firsts, long, scratch)), "ties")
 
-    families, sizes = families_of(ties)
+    # (family, node, n) of classes tied by pairs that may link or by common parts, and the slots of each family
+    families = components(ends(ties), ties, scratch=scratch).withColumnRenamed("comp", "family")
+    families = keep(families.join(classes.select("node", "n"), "node"), "families")
+    sizes = keep(_slots(families, slot), "family-slots")
 
     def texts_of(nodes: DataFrame) -> DataFrame:
-        """(node, text) of the classes to be verified; sets are made again where they are compared.  Only
-        rows that a bounded bit map of their hashes names are moved, and equal rows of an id fold where they are."""
-        wanted = keep(nodes.distinct().join(classes, "node").select("node", "head.*"), "wanted")
-        return (src.where(maybe_in(wanted.select("hash"))).join(wanted, ["key", "hash"])
-                .groupBy("key", "hash", "node").agg(F.first("text").alias("text")).select("node", "text"))
-
-    # first each class with its least partner, which ties most groups together; then what still lies apart
-    least = both_ways(pairs).groupBy("node").agg(F.min("other").alias("other"))
-    stars = least.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    links = keep(verified(stars, texts_of(ends(stars)), percent).unionByName(
-        within_slots(families, sizes, sets_of, texts_of, excess, percent, scratch)), "links")
-    tied = components(ends(links), links, scratch=scratch)
-    rest = keep(apart(pairs.join(stars, ["a", "b"], "left_anti"), tied), "rest")
-    searched = [(families, sizes)]
-    if not rest.isEmpty():      # as families too: their texts move once, not with every pair
-        searched.append(families_of(rest))
-        more = within_slots(*searched[1], sets_of, texts_of, excess, percent, scratch)
+        """``nodes`` with the text of each class; sets are made again where they are compared.  Only rows that a
+        bounded bit map of their hashes names are moved, once, and equal rows of an id fold where they are."""
+        wanted = keep(nodes.join(classes.select("node", "head.*"), "node"), "wanted")
+        heads = (src.where(maybe_in(wanted.select("hash"))).join(wanted.select("key", "hash"), ["key", "hash"], "left_semi")
+                 .groupBy("key", "hash").agg(F.first("text").alias("text")))
+        return wanted.join(heads, ["key", "hash"]).drop("key", "hash")
+
+    links = keep(within_slots(families, sizes, sets_of, texts_of, excess, percent, scratch), "links")
+    wide = sizes.where("slots > 1")
+    if not wide.isEmpty():
+        more = across_slots(families, wide, links, sets_of, texts_of, excess, percent, slot, scratch)
         links = keep(links.unionByName(more), "links")
-    for families, sizes in searched:
-        wide = sizes.where("slots > 1")
-        if not wide.isEmpty():
-            more = across_slots(families, wide, links, sets_of, texts_of, excess, percent, slot, scratch)
-            links = keep(links.unionByName(more), "links")
     named = components(ends(links), links, scratch=scratch).join(classes.select("node", "least_id"), "node")
     least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
     named = named.join(least, "comp").select("node", "component_id")
